@@ -456,11 +456,11 @@ def label_index_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """SELECT feature, value, row_number() OVER (PARTITION BY feature
                   ORDER BY value <> 0, value) - 1 AS category_index
-       FROM (SELECT DISTINCT feature, value FROM (
-                 SELECT 'quality' AS feature, CAST(quality AS DOUBLE) AS value FROM labels
-                 UNION ALL SELECT 'toxic', CAST(toxic AS DOUBLE) FROM labels
-                 UNION ALL SELECT 'doc_id', CAST(doc_id AS DOUBLE) FROM labels)
-             QUALIFY count(*) OVER (PARTITION BY feature) <= 4)"""
+       FROM (SELECT feature, value, count(*) OVER (PARTITION BY feature) AS categories
+             FROM (SELECT 'quality' AS feature, CAST(quality AS DOUBLE) AS value FROM labels
+                   UNION SELECT 'toxic', CAST(toxic AS DOUBLE) FROM labels
+                   UNION SELECT 'doc_id', CAST(doc_id AS DOUBLE) FROM labels))
+       WHERE categories <= 4"""
 )
 def feature_category_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
