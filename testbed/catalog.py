@@ -463,8 +463,7 @@ def label_index_map(spark: SparkSession, sf_dir: str) -> DataFrame:
        WHERE categories <= 4"""
 )
 def feature_category_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    found = learning.category_map(labels, ["quality", "toxic", "doc_id"])
+    found = learning.category_map(roles.labels(spark, sf_dir), ["quality", "toxic", "doc_id"])
     return found.withColumn("category_index", F.col("category_index").cast("bigint"))
 
 
@@ -534,8 +533,7 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return learning.confusion(labels, "quality", "toxic")
+    return learning.confusion(roles.labels(spark, sf_dir), "quality", "toxic")
 
 
 @query(
@@ -601,7 +599,7 @@ def score_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def score_requests_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases arrive as a stream; each verdict is compared with the batch job's."""
-    events = spark.readStream.schema(roles.events(spark, sf_dir).schema).option(
+    events = spark.readStream.schema(roles.EVENTS_SCHEMA).option(
         "pathGlobFilter", "events.parquet"
     ).parquet(sf_dir)
     averages = scratch(spark, "daily")

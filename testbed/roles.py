@@ -10,8 +10,19 @@ SUBSYSTEM = "error"
 KIND_LIMITS = [("AircraftOnGround", 200), ("Safety", 150), ("Delay", 100)]
 
 
+# Given schemas spare a job per read that would look them up.
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+)
+LABELS_SCHEMA = "doc_id bigint, quality int, toxic int"
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(LABELS_SCHEMA).parquet(f"{sf_dir}/labels.parquet")
 
 
 def asset() -> Column:

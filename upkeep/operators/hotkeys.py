@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from math import ceil
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from upkeep.fixed import KEYS
 from upkeep.operators.copies import CHUNK, pack_copies, unpack_copies
@@ -16,15 +19,23 @@ def hot_keys(
 
     None if there are none. At most ``1 / share`` keys can hold that much, so
     the result is gathered and handed on as a small literal table; that bound
-    is what makes broadcasting it safe. Reads the key columns of ``frame``
-    twice, with partial aggregation.
+    is what makes broadcasting it safe. One pass over the key columns of
+    ``frame``, with partial counts; the total is observed on the way.
     """
-    keyed = frame.select(*keys).dropna()
-    limit = max(keyed.count() * share, at_least, 1)
-    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
-    pieces = counts.select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_pieces"))
-    found = pieces.collect()  # at most 1 / share rows
-    return frame.sparkSession.createDataFrame(found, pieces.schema) if found else None
+    counts = frame.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    seen = Observation()
+    largest = (
+        counts.observe(seen, F.sum("_n").alias("total"))
+        .orderBy(F.desc("_n"))
+        .limit(ceil(1 / share))
+        .collect()
+    )
+    limit = max((seen.get["total"] or 0) * share, at_least, 1)
+    found = [(*row[:-1], ceil(row["_n"] / limit)) for row in largest if row["_n"] > limit]
+    if not found:
+        return None
+    schema = T.StructType([*counts.schema.fields[:-1], T.StructField("_pieces", T.IntegerType())])
+    return frame.sparkSession.createDataFrame(found, schema)
 
 
 def join_on_keys(

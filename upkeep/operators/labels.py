@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.fixed import ASSET, DAY, HORIZON_DAYS, KEYS, LABEL, NEGATIVE, POSITIVE
 
 
+def _known(interruptions: DataFrame) -> DataFrame:
+    return interruptions.filter(F.col(ASSET).isNotNull() & F.col("start_day").isNotNull())
+
+
+def _window(before: int, after: int) -> Column:
+    return F.explode(
+        F.sequence(F.date_sub("start_day", before), F.date_add("start_day", after))
+    ).alias(DAY)
+
+
 def interruption_days(
     interruptions: DataFrame, before: int = HORIZON_DAYS, after: int = 0
 ) -> DataFrame:
@@ -17,12 +27,7 @@ def interruption_days(
     without an asset or a start are ignored. Overlapping windows collapse,
     partly on the map side, so a much-interrupted asset stays small.
     """
-    window = F.sequence(F.date_sub("start_day", before), F.date_add("start_day", after))
-    return (
-        interruptions.filter(F.col(ASSET).isNotNull() & F.col("start_day").isNotNull())
-        .select(ASSET, F.explode(window).alias(DAY))
-        .distinct()
-    )
+    return _known(interruptions).select(ASSET, _window(before, after)).distinct()
 
 
 def horizon_label(
@@ -45,19 +50,20 @@ def horizon_label(
     one row per key, before joining tables that repeat keys: they arrive
     partitioned by key, so the paired join only shuffles the interruptions.
     """
-    hits = interruption_days(interruptions, before, after)
     if match == "pair":
+        hits = interruption_days(interruptions, before, after)
         flagged = base.join(hits.withColumn("_hit", F.lit(True)), KEYS, "left")
         hit = F.col("_hit")
-        helpers = ["_hit"]
     elif match == "independent":
-        # Distinct calendar days: a DATE has some 3.7 million values in all.
-        days = hits.select(DAY).distinct().withColumn("_day_hit", F.lit(True))
-        assets = hits.select(ASSET).distinct().withColumn("_asset_hit", F.lit(True))
+        known = _known(interruptions)
+        assets = known.select(ASSET).distinct().withColumn("_asset_hit", F.lit(True))
+        # One row per calendar day: a DATE has some 3.7 million values in all,
+        # which bounds what is broadcast however many interruptions there are.
+        starts = known.select("start_day").distinct()
+        days = starts.select(_window(before, after)).distinct().withColumn("_day_hit", F.lit(True))
         flagged = base.join(F.broadcast(days), DAY, "left").join(assets, ASSET, "left")
         hit = F.col("_day_hit") & F.col("_asset_hit")
-        helpers = ["_day_hit", "_asset_hit"]
     else:
         raise ValueError(f"unknown match: {match}")
     label = F.when(hit, POSITIVE).otherwise(NEGATIVE).alias(LABEL)
-    return flagged.select(*base.columns, label).drop(*helpers)
+    return flagged.select(*base.columns, label)

@@ -28,9 +28,20 @@ def is_valid() -> Column:
     return F.col(ASSET).isNotNull() & F.col(DAY).isNotNull()
 
 
-def distinct_requests(requests: DataFrame) -> DataFrame:
-    """One row per different request, with ``requests``, the number of copies."""
-    return requests.groupBy(*requests.columns).agg(F.count(F.lit(1)).alias("requests"))
+def distinct_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Valid and invalid requests, each once, with ``requests``, the number of copies.
+
+    The valid ones are grouped by key, so the joins by key need no other
+    shuffle of them. The invalid ones have no key to join by; kept apart, they
+    cannot pile up in one partition of a join.
+    """
+    copies = F.count(F.lit(1)).alias("requests")
+    valid = requests.filter(is_valid()).groupBy(*KEYS).agg(copies)
+    columns = [*requests.columns, "requests"]
+    return (
+        valid.withColumn("requested_day", F.date_format(DAY, "yyyy-MM-dd")).select(*columns),
+        requests.filter(~is_valid()).groupBy(*requests.columns).agg(copies).select(*columns),
+    )
 
 
 def utilization_for_requests(
@@ -60,18 +71,11 @@ def request_features(
     Keys stay attached throughout and no request is lost. A request repeats if
     utilization repeats its key. ``hot`` is ``hot_keys(utilization)``.
     """
-    asked = distinct_requests(requests)
-    valid = asked.filter(is_valid())
+    valid, invalid = distinct_requests(requests)
     averaged = valid.join(averages_for_requests(daily, valid), KEYS, "left")
     used = utilization_for_requests(utilization, valid, max_rows)
-    joined = join_on_keys(averaged, used, "left", hot)
-
-    # Invalid requests have no key to join by; kept apart they cannot pile up
-    # in one partition.
-    columns = [*asked.columns, *FEATURES]
-    invalid = asked.filter(~is_valid()).select(
-        "*", *[F.lit(None).cast("double").alias(name) for name in FEATURES]
-    )
+    joined = join_on_keys(averaged, used, "left", hot).select(*valid.columns, *FEATURES)
+    nothing = {name: F.lit(None).cast("double") for name in FEATURES}
     has_kpis = F.lit(True)
     for name in KPIS:
         has_kpis = has_kpis & F.col(name).isNotNull()
@@ -81,4 +85,4 @@ def request_features(
         .when(~has_kpis, NO_UTILIZATION)
         .otherwise(SCORED)
     )
-    return joined.select(*columns).unionByName(invalid).withColumn("status", status)
+    return joined.unionByName(invalid.withColumns(nothing)).withColumn("status", status)

@@ -13,18 +13,16 @@ from upkeep.functions import parse_day
 def read_requests(frame: DataFrame, day: str = "timeid", asset: str = "aircraftid") -> DataFrame:
     """Requests as (asset_id, day, requested_day text).
 
-    A text day must read ``YYYY-MM-DD``, otherwise ``day`` is NULL and the text
-    tells why; a date or timestamp column is taken as it is. Works row by row,
-    so ``frame`` may be a stream.
+    A text day must read ``YYYY-MM-DD``, otherwise ``day`` is NULL and
+    ``requested_day`` keeps the text; a date or timestamp column is taken as it
+    is. Works row by row, so ``frame`` may be a stream.
     """
     if isinstance(frame.schema[day].dataType, T.StringType):
-        text = F.col(day)
-        parsed = parse_day(text)
+        parsed, given = parse_day(F.col(day)), F.col(day)
     else:
-        parsed = F.to_date(day)
-        text = F.date_format(parsed, "yyyy-MM-dd")
+        parsed, given = F.to_date(day), F.lit(None)
     return frame.select(
         F.col(asset).cast("string").alias(ASSET),
         parsed.alias(DAY),
-        text.alias("requested_day"),
+        F.coalesce(F.date_format(parsed, "yyyy-MM-dd"), given).alias("requested_day"),
     )
