@@ -237,7 +237,7 @@ def matrix_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def matrix_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "matrix")
-    sinks.write_matrix(matrix(spark, sf_dir), path)
+    sinks.write_by_month(matrix(spark, sf_dir), path)
     stored = sources.read_matrix(spark, path)
     return rounded(stored).withColumn("month", F.col("month").cast("string"))
 
@@ -350,8 +350,8 @@ def join_hot_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
        WHERE (asset_id, day) IN (SELECT (asset_id, day) FROM requests WHERE day IS NOT NULL)"""
 )
 def readings_for_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = requests(spark, sf_dir).filter(operators.is_valid())
-    return rounded(operators.averages_for_requests(daily(spark, sf_dir), wanted))
+    asked = operators.wanted(requests(spark, sf_dir))
+    return rounded(operators.for_requests(daily(spark, sf_dir), asked))
 
 
 @query(

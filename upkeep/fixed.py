@@ -11,6 +11,7 @@ KEYS = [ASSET, DAY]
 AVERAGE = "average"
 KPIS = ["flighthours", "flightcycles", "delayedminutes"]
 LABEL = "maintenance"
+MONTH = "month"
 
 # Order of the features inside the vector.
 FEATURES = [*KPIS, AVERAGE]

@@ -23,7 +23,7 @@ from upkeep.learning.features import (
     label_indexer,
 )
 from upkeep.operators.copies import spread
-from upkeep.operators.split import split
+from upkeep.operators.split import random_split, split
 
 SEED = 17
 PARTITIONS = 8
@@ -38,9 +38,19 @@ class Training:
     validation: DataFrame
 
 
+def sides(
+    matrix: DataFrame, percent: int, random: bool, seed: int
+) -> tuple[DataFrame, DataFrame]:
+    """Training and validation rows; a matrix without keys is split by chance."""
+    if random or not set(KEYS) <= set(matrix.columns):
+        return random_split(matrix, percent, seed)
+    return split(matrix, percent)
+
+
 def train(
     matrix: DataFrame,
     percent: int = 70,
+    random: bool = False,
     features: Sequence[str] = FEATURES,
     label: str = LABEL,
     label_order: str = "fixed",
@@ -50,7 +60,9 @@ def train(
     seed: int = SEED,
     **tree: Any,
 ) -> Training:
-    """Split the keyed matrix and fit assembler, indexers, tree and decoder.
+    """Split the matrix and fit assembler, indexers, tree and decoder.
+
+    The split goes by key, or with ``random`` by a seeded draw.
 
     Above some 10 000 rows MLlib samples its split candidates by partition, so
     a tree repeats only for the same rows in the same partitions. The training
@@ -63,8 +75,8 @@ def train(
     """
     if fit_indexers_on not in ("training", "all"):
         raise ValueError(f"unknown fit_indexers_on: {fit_indexers_on}")
-    training, validation = split(matrix, percent)
-    stored = spread(training.select(*KEYS, *features, label), partitions).persist(
+    training, validation = sides(matrix, percent, random, seed)
+    stored = spread(training.select(*features, label), partitions).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:

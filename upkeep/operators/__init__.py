@@ -1,30 +1,34 @@
 """Relational operators."""
 
-from upkeep.operators.averages import averages_for_requests, daily_average
+from upkeep.operators.averages import daily_average
 from upkeep.operators.copies import pack_copies, spread, unpack_copies
 from upkeep.operators.hotkeys import hot_keys, join_on_keys
 from upkeep.operators.labels import horizon_label, interruption_days
 from upkeep.operators.requests import (
+    Wanted,
     distinct_requests,
+    for_requests,
     is_valid,
     request_features,
-    utilization_for_requests,
+    wanted,
 )
-from upkeep.operators.split import split
+from upkeep.operators.split import random_split, split
 
 __all__ = [
-    "averages_for_requests",
+    "Wanted",
     "daily_average",
     "distinct_requests",
+    "for_requests",
     "horizon_label",
     "hot_keys",
     "interruption_days",
     "is_valid",
     "join_on_keys",
     "pack_copies",
+    "random_split",
     "request_features",
     "split",
     "spread",
     "unpack_copies",
-    "utilization_for_requests",
+    "wanted",
 ]

@@ -21,14 +21,3 @@ def daily_average(readings: DataFrame, series: str | None = None) -> DataFrame:
         .groupBy(*KEYS)
         .agg(F.avg("value").alias(AVERAGE))
     )
-
-
-def averages_for_requests(daily: DataFrame, requests: DataFrame) -> DataFrame:
-    """The daily averages that are asked for.
-
-    Written as a semi-join above the aggregate. While the requests are small
-    enough to broadcast, Catalyst moves it below the aggregate, so that other
-    readings are dropped while scanning; beyond that size it stays above, where
-    both sides are already grouped by key and no raw reading is shuffled.
-    """
-    return daily.join(requests.select(*KEYS).distinct(), KEYS, "left_semi")

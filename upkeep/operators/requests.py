@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,11 +16,12 @@ from upkeep.fixed import (
     INVALID_REQUEST,
     KEYS,
     KPIS,
+    MONTH,
     NO_READINGS,
     NO_UTILIZATION,
     SCORED,
 )
-from upkeep.operators.averages import averages_for_requests
+from upkeep.functions import month_of
 from upkeep.operators.hotkeys import join_on_keys
 
 BROADCAST_REQUESTS = 200_000
@@ -44,19 +48,46 @@ def distinct_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def utilization_for_requests(
-    utilization: DataFrame, requests: DataFrame, max_rows: int = BROADCAST_REQUESTS
+@dataclass
+class Wanted:
+    """Requested keys, each once, with their number and range of days."""
+
+    keys: DataFrame
+    rows: int
+    first: datetime.date | None
+    last: datetime.date | None
+
+
+def wanted(requests: DataFrame) -> Wanted:
+    """The keys of the valid requests. Measured in one pass over the requests."""
+    keys = requests.filter(is_valid()).select(*KEYS).distinct()
+    measured = keys.agg(F.count(F.lit(1)), F.min(DAY), F.max(DAY)).first()
+    return Wanted(keys, *measured)
+
+
+def for_requests(
+    frame: DataFrame,
+    asked: Wanted,
+    max_rows: int = BROADCAST_REQUESTS,
+    exact: bool = True,
 ) -> DataFrame:
-    """Utilization rows that may be asked for.
+    """The rows of a keyed table, or of the daily averages, that are asked for.
 
-    With at most ``max_rows`` requested keys these are broadcast and the rest
-    of the table is dropped while scanning. With more, the table is passed on
-    whole, as the join that follows selects the same rows.
+    The range of days goes to the scan as a literal, where it prunes months,
+    row groups or database rows. At most ``max_rows`` keys are broadcast, and
+    all other rows are dropped while scanning; for averages Catalyst moves that
+    semi-join below the aggregate. More keys are joined by shuffle, above the
+    aggregate, where averages are grouped by key already; ``exact=False`` leaves
+    that out for a frame that is joined by key anyway.
     """
-    keys = requests.select(*KEYS).distinct()
-    if keys.limit(max_rows + 1).count() > max_rows:
-        return utilization
-    return utilization.join(F.broadcast(keys), KEYS, "left_semi")
+    frame = frame.filter(F.col(DAY).between(F.lit(asked.first), F.lit(asked.last)))
+    if MONTH in frame.columns:
+        frame = frame.filter(
+            F.col(MONTH).between(month_of(F.lit(asked.first)), month_of(F.lit(asked.last)))
+        )
+    if asked.rows <= max_rows:
+        return frame.join(F.broadcast(asked.keys), KEYS, "left_semi")
+    return frame.join(asked.keys, KEYS, "left_semi") if exact else frame
 
 
 def request_features(
@@ -71,10 +102,11 @@ def request_features(
     Keys stay attached throughout and no request is lost. A request repeats if
     utilization repeats its key. ``hot`` is ``hot_keys(utilization)``.
     """
+    asked = wanted(requests)
     valid, invalid = distinct_requests(requests)
-    averaged = valid.join(averages_for_requests(daily, valid), KEYS, "left")
-    used = utilization_for_requests(utilization, valid, max_rows)
-    joined = join_on_keys(averaged, used, "left", hot).select(*valid.columns, *FEATURES)
+    averages = for_requests(daily, asked, max_rows, exact=False).select(*KEYS, AVERAGE)
+    kpis = for_requests(utilization, asked, max_rows, exact=False).select(*KEYS, *KPIS)
+    joined = join_on_keys(valid.join(averages, KEYS, "left"), kpis, "left", hot)
     nothing = {name: F.lit(None).cast("double") for name in FEATURES}
     has_kpis = F.lit(True)
     for name in KPIS:
@@ -85,4 +117,8 @@ def request_features(
         .when(~has_kpis, NO_UTILIZATION)
         .otherwise(SCORED)
     )
-    return joined.unionByName(invalid.withColumns(nothing)).withColumn("status", status)
+    return (
+        joined.select(*valid.columns, *FEATURES)
+        .unionByName(invalid.withColumns(nothing))
+        .withColumn("status", status)
+    )

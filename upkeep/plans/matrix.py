@@ -4,14 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from upkeep.fixed import HORIZON_DAYS, KEYS, KPIS, LABEL, AVERAGE
-from upkeep.operators import (
-    averages_for_requests,
-    horizon_label,
-    is_valid,
-    join_on_keys,
-    utilization_for_requests,
-)
+from upkeep.fixed import AVERAGE, FEATURES, HORIZON_DAYS, KEYS, KPIS, LABEL
+from upkeep.operators import for_requests, horizon_label, join_on_keys, wanted
 from upkeep.operators.requests import BROADCAST_REQUESTS
 
 
@@ -30,7 +24,7 @@ def build_matrix(
     are labelled first. Utilization, the only input that may repeat a key, is
     joined last; pass ``hot=hot_keys(utilization)`` unless its keys are unique.
     """
-    labelled = horizon_label(daily, interruptions, before, after, match)
+    labelled = horizon_label(daily.select(*KEYS, AVERAGE), interruptions, before, after, match)
     return join_on_keys(labelled, utilization, "inner", hot).select(*KEYS, AVERAGE, *KPIS, LABEL)
 
 
@@ -42,7 +36,7 @@ def score_features(
     max_rows: int = BROADCAST_REQUESTS,
 ) -> DataFrame:
     """Features of the requested keys that have both readings and utilization."""
-    valid = requests.filter(is_valid())
-    averages = averages_for_requests(daily, valid)
-    used = utilization_for_requests(utilization, valid, max_rows)
-    return join_on_keys(averages, used, "inner", hot).select(*KEYS, *KPIS, AVERAGE)
+    asked = wanted(requests)
+    averages = for_requests(daily, asked, max_rows).select(*KEYS, AVERAGE)
+    kpis = for_requests(utilization, asked, max_rows, exact=False)
+    return join_on_keys(averages, kpis, "inner", hot).select(*KEYS, *FEATURES)

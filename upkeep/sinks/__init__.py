@@ -1,6 +1,6 @@
 """Sinks."""
 
-from upkeep.sinks.matrix import write_matrix, write_matrix_csv
+from upkeep.sinks.matrix import write_by_month, write_matrix_csv
 from upkeep.sinks.model import read_model, write_model
 
-__all__ = ["read_model", "write_matrix", "write_matrix_csv", "write_model"]
+__all__ = ["read_model", "write_by_month", "write_matrix_csv", "write_model"]

@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.fixed import DAY, MATRIX_CSV_SCHEMA
+from upkeep.fixed import DAY, MATRIX_CSV_SCHEMA, MONTH
 from upkeep.functions import month_of
 
 
-def write_matrix(matrix: DataFrame, path: str) -> None:
-    """Keyed Parquet, partitioned by month of day.
+def write_by_month(keyed: DataFrame, path: str) -> None:
+    """The matrix, or the daily averages, as Parquet partitioned by month of day.
 
     Rebalancing by month first lets AQE merge small months and split large
     ones, so there are few files and no single task writes a whole month.
     """
     (
-        matrix.withColumn("month", month_of(F.col(DAY)))
-        .hint("rebalance", F.col("month"))
+        keyed.withColumn(MONTH, month_of(F.col(DAY)))
+        .hint("rebalance", F.col(MONTH))
         .write.mode("overwrite")
-        .partitionBy("month")
+        .partitionBy(MONTH)
         .parquet(path)
     )
 

@@ -51,16 +51,20 @@ def read_jdbc(
     return frame if columns is None else frame.select(*columns)
 
 
-def read_source(spark: SparkSession, spec: dict[str, Any]) -> DataFrame:
+def read_source(spark: SparkSession, spec: dict[str, Any], stream: bool = False) -> DataFrame:
     """A table named by a small spec, so that jobs need not know where it lives.
 
     ``{"format": "jdbc", "options": {...}, "table": t, "partitioning": {...}}``
-    or ``{"format": "parquet", "path": p, "options": {...}}``.
+    or ``{"format": "parquet", "path": p, "schema": ddl, "options": {...}}``,
+    the latter also as a stream; the schema may be left out for a batch.
     """
     options = spec.get("options", {})
     if spec["format"] == "jdbc":
         return read_jdbc(spark, options, spec["table"], partitioning=spec.get("partitioning"))
-    return spark.read.format(spec["format"]).options(**options).load(spec["path"])
+    reader = (spark.readStream if stream else spark.read).format(spec["format"])
+    if "schema" in spec:
+        reader = reader.schema(spec["schema"])
+    return reader.options(**options).load(spec.get("path"))
 
 
 def utilization_from(

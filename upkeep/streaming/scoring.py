@@ -36,8 +36,12 @@ def score_stream(
     """
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
-        scored = score(batch, daily, utilization, model, hot, max_rows)
-        scored.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.persist()
+        try:
+            scored = score(batch, daily, utilization, model, hot, max_rows)
+            scored.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (
         requests.writeStream.foreachBatch(score_batch)
