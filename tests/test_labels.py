@@ -1,0 +1,138 @@
+import datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from tests.frames import daily, day, interruptions, rows
+from upkeep.fixed import NEGATIVE, POSITIVE
+from upkeep.operators import daily_average, horizon_label, interruption_days
+
+
+def positives(frame):
+    return {(r["asset_id"], str(r["day"])) for r in frame.collect() if r["maintenance"] == POSITIVE}
+
+
+def base_of(spark, pairs):
+    return daily(spark, [(a, d, 1.0) for a, d in pairs])
+
+
+def days(*numbers):
+    return [f"2024-03-{n:02d}" for n in numbers]
+
+
+def test_window_borders_before(spark):
+    base = base_of(spark, [("a", d) for d in days(11, 12, 13, 19, 20, 21)])
+    labelled = horizon_label(base, interruptions(spark, [("a", "2024-03-20")]))
+    # 20 is the day itself, 13 is seven days ahead, 12 is eight.
+    assert positives(labelled) == {("a", d) for d in days(13, 19, 20)}
+    assert {r["maintenance"] for r in labelled.collect()} == {POSITIVE, NEGATIVE}
+
+
+def test_window_borders_after(spark):
+    base = base_of(spark, [("a", d) for d in days(19, 20, 27, 28)])
+    labelled = horizon_label(base, interruptions(spark, [("a", "2024-03-20")]), 0, 7)
+    assert positives(labelled) == {("a", d) for d in days(20, 27)}
+
+
+def test_overlaps_repeat_no_row(spark):
+    base = base_of(spark, [("a", d) for d in days(18, 19, 20)])
+    overlapping = interruptions(
+        spark, [("a", "2024-03-20"), ("a", "2024-03-21"), ("a", "2024-03-20")]
+    )
+    for match in ["pair", "independent"]:
+        assert horizon_label(base, overlapping, match=match).count() == 3
+    assert interruption_days(overlapping).count() == 9
+
+
+def test_pair_and_independent_differ_in_pairing(spark):
+    base = base_of(spark, [("a", "2024-03-20"), ("b", "2024-03-20"), ("c", "2024-03-20")])
+    broken = interruptions(spark, [("a", "2024-03-20"), ("b", "2024-05-01")])
+    assert positives(horizon_label(base, broken, 0, 0)) == {("a", "2024-03-20")}
+    # b broke on another day, but a broke on this one.
+    assert positives(horizon_label(base, broken, 0, 0, "independent")) == {
+        ("a", "2024-03-20"),
+        ("b", "2024-03-20"),
+    }
+    # The day counts too: nobody broke on the 21st.
+    later = base_of(spark, [("a", "2024-03-21")])
+    assert positives(horizon_label(later, broken, 0, 0, "independent")) == set()
+
+
+def test_rows_without_key_or_start_are_ignored(spark):
+    base = daily(spark, [("a", "2024-03-20", 1.0), (None, "2024-03-20", 2.0), ("a", None, 3.0)])
+    broken = interruptions(spark, [("a", None), (None, "2024-03-20")])
+    for match in ["pair", "independent"]:
+        labelled = horizon_label(base, broken, match=match)
+        assert positives(labelled) == set()
+        assert labelled.count() == 3
+
+
+def test_no_interruptions_at_all(spark):
+    base = base_of(spark, [("a", "2024-03-20")])
+    for match in ["pair", "independent"]:
+        labelled = horizon_label(base, interruptions(spark, []), match=match)
+        assert [r["maintenance"] for r in labelled.collect()] == [NEGATIVE]
+
+
+def test_leap_day_and_year_end(spark):
+    base = base_of(spark, [("a", "2024-02-29"), ("a", "2023-02-28"), ("a", "2023-12-31")])
+    broken = interruptions(
+        spark, [("a", "2024-03-07"), ("a", "2023-03-08"), ("a", "2024-01-07")]
+    )
+    assert positives(horizon_label(base, broken)) == {("a", "2024-02-29"), ("a", "2023-12-31")}
+
+
+def test_unknown_match(spark):
+    with pytest.raises(ValueError):
+        horizon_label(base_of(spark, []), interruptions(spark, []), match="near")
+
+
+def test_columns_and_order_are_kept(spark):
+    base = base_of(spark, [("a", "2024-03-20")]).select("average", "day", "asset_id")
+    for match in ["pair", "independent"]:
+        labelled = horizon_label(base, interruptions(spark, []), match=match)
+        assert labelled.columns == ["average", "day", "asset_id", "maintenance"]
+
+
+assets = st.sampled_from(["a", "b", "c"])
+dates = st.dates(datetime.date(2024, 2, 20), datetime.date(2024, 3, 10))
+pairs = st.lists(st.tuples(assets, dates), max_size=12)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(pairs, pairs, st.integers(0, 9), st.integers(0, 9))
+def test_same_as_a_range_test_of_every_pair(spark, base, broken, before, after):
+    base = sorted(set(base))
+    window = [
+        (a, s - datetime.timedelta(days=before), s + datetime.timedelta(days=after))
+        for a, s in broken
+    ]
+    paired = {(a, str(d)) for a, d in base if any(a == b and f <= d <= t for b, f, t in window)}
+    independent = {
+        (a, str(d))
+        for a, d in base
+        if any(f <= d <= t for _, f, t in window) and any(a == b for b, _, _ in window)
+    }
+    rows_in = base_of(spark, [(a, str(d)) for a, d in base]).coalesce(1)
+    starts = interruptions(spark, [(a, str(d)) for a, d in broken]).coalesce(1)
+    assert positives(horizon_label(rows_in, starts, before, after)) == paired
+    assert positives(horizon_label(rows_in, starts, before, after, "independent")) == independent
+
+
+def test_daily_average(spark):
+    readings = spark.createDataFrame(
+        [
+            ("a", datetime.datetime(2024, 1, 1, 0, 0), "s", 1.0),
+            ("a", datetime.datetime(2024, 1, 1, 23, 59, 59, 999999), "t", 4.0),
+            ("a", datetime.datetime(2024, 1, 1, 12, 0), "s", None),
+            ("a", datetime.datetime(2024, 1, 2, 0, 0), "s", None),
+            ("b", None, "s", 7.0),
+        ],
+        "asset_id string, date timestamp, series string, value double",
+    )
+    first, second = day("2024-01-01"), day("2024-01-02")
+    assert rows(daily_average(readings)) == sorted(
+        [("a", first, 2.5), ("a", second, None), ("b", None, 7.0)], key=repr
+    )
+    assert rows(daily_average(readings, "t")) == [("a", first, 4.0)]
