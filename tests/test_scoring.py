@@ -1,0 +1,184 @@
+import pytest
+from pyspark.sql import functions as F
+
+from testbed import catalog
+from tests.conftest import DATA
+from tests.frames import daily, day, rows, utilization
+from upkeep import sources
+from upkeep.operators import for_requests, hot_keys, request_features, wanted
+from upkeep.plans import report, score, score_features
+from upkeep.session import scratch
+from upkeep.streaming import score_stream
+
+SF = f"{DATA}/sf0.01"
+COLUMNS = ["asset_id", "day", "requested_day", "requests", "status", "verdict"]
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return catalog.model(spark, SF)
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    averages = daily(
+        spark,
+        [("a", "2024-01-01", 10.0), ("a", "2024-01-02", None), ("b", "2024-01-01", 90.0),
+         ("c", "2024-01-01", 5.0), ("n", "2024-01-01", 5.0)],
+    )
+    kpis = utilization(
+        spark,
+        [("a", "2024-01-01", 1, 1, 1), ("a", "2024-01-02", 1, 1, 1), ("b", "2024-01-01", 500, 9, 400),
+         ("b", "2024-01-01", 1, 1, 1), ("x", "2024-01-01", 1, 1, 1)],
+    ).unionByName(
+        utilization(spark, [("n", "2024-01-01", 1, 1, 1)]).withColumn(
+            "flightcycles", F.lit(None).cast("double")
+        )
+    )
+    return averages, kpis
+
+
+ASKED = [
+    ("2024-01-01", "a"),
+    ("2024-1-1", "a"),
+    ("2024-01-01", "a"),
+    ("2024-01-02", "a"),
+    ("2024-01-01", "b"),
+    ("2024-01-01", "c"),
+    ("2024-01-01", "n"),
+    ("2024-01-01", "x"),
+    ("2031-01-01", "a"),
+    ("soon", "a"),
+    ("soon", "a"),
+    (None, "a"),
+    ("2024-01-01", None),
+]
+
+
+@pytest.fixture(scope="module")
+def requests(spark):
+    return sources.read_requests(
+        spark.createDataFrame(ASKED, "timeid string, aircraftid string")
+    )
+
+
+EXPECTED = {
+    ("a", "2024-01-01", 3, "scored"): 1,
+    ("a", "2024-01-02", 1, "no_readings"): 1,
+    ("b", "2024-01-01", 1, "scored"): 2,
+    ("c", "2024-01-01", 1, "no_utilization"): 1,
+    ("n", "2024-01-01", 1, "no_utilization"): 1,
+    ("x", "2024-01-01", 1, "no_readings"): 1,
+    ("a", "2031-01-01", 1, "no_readings"): 1,
+    ("a", "soon", 2, "invalid_request"): 1,
+    ("a", None, 1, "invalid_request"): 1,
+    (None, "2024-01-01", 1, "invalid_request"): 1,
+}
+
+
+def counted(frame):
+    found = {}
+    for r in frame.collect():
+        key = (r["asset_id"], r["requested_day"], r["requests"], r["status"])
+        found[key] = found.get(key, 0) + 1
+    return found
+
+
+@pytest.mark.parametrize("max_rows", [0, 1000])
+def test_no_request_is_lost(tables, requests, max_rows):
+    """Few requests are broadcast, many are not; both give the same rows."""
+    assert counted(request_features(requests, *tables, max_rows=max_rows)) == EXPECTED
+
+
+def test_no_request_is_lost_with_hot_utilization(tables, requests):
+    averages, kpis = tables
+    many = kpis
+    for _ in range(6):
+        many = many.unionByName(kpis.filter("asset_id = 'b'"))
+    hot = hot_keys(many, share=0.2, at_least=2)
+    plain = request_features(requests, averages, many, max_rows=0)
+    dealt = request_features(requests, averages, many, hot, max_rows=0)
+    assert hot.count() == 1
+    assert rows(dealt.select(*plain.columns)) == rows(plain)
+
+
+def test_only_complete_requests_get_a_verdict(tables, requests, model):
+    scored = score(requests, *tables, model)
+    assert counted(scored) == EXPECTED
+    for row in scored.collect():
+        complete = row["status"] == "scored"
+        assert (row["prediction"] is not None) == complete
+        assert (row["verdict"] is not None) == complete
+    gaps = scored.filter("status = 'no_readings'").select("average").distinct().collect()
+    assert [r[0] for r in gaps] == [None]
+
+
+def test_no_requests_at_all(tables, requests, model):
+    assert score(requests.limit(0), *tables, model).count() == 0
+    only_invalid = requests.filter("day IS NULL")
+    assert {r["status"] for r in score(only_invalid, *tables, model).collect()} == {
+        "invalid_request"
+    }
+
+
+def test_report_shows_days_as_text(tables, requests, model):
+    shown = report(score(requests, *tables, model))
+    assert shown.columns == ["asset_id", "day", "requests", "status", "prediction", "verdict"]
+    assert dict(shown.dtypes)["day"] == "string"
+    assert {"2024-01-01", "soon"} <= {r["day"] for r in shown.collect()}
+
+
+def test_scores_equal_predictions_of_the_matrix(spark, model):
+    """A requested key gets what the model says of its matrix row."""
+    predicted = model.transform(catalog.matrix(spark, SF)).select(
+        "asset_id", "day", F.col("verdict").alias("expected")
+    )
+    scored = catalog.scores(spark, SF).filter("status = 'scored'")
+    compared = scored.join(predicted, ["asset_id", "day"], "left")
+    assert compared.count() > 0
+    assert compared.filter(~F.col("verdict").eqNullSafe(F.col("expected"))).count() == 0
+
+
+@pytest.mark.parametrize("max_rows", [0, 1000])
+def test_score_features(tables, requests, max_rows):
+    found = score_features(requests, *tables, max_rows=max_rows)
+    first = day("2024-01-01")
+    assert rows(found.select("asset_id", "day", "flighthours", "average")) == sorted(
+        [
+            ("a", first, 1.0, 10.0),
+            ("a", day("2024-01-02"), 1.0, None),
+            ("b", first, 1.0, 90.0),
+            ("b", first, 500.0, 90.0),
+            ("n", first, 1.0, 5.0),
+        ],
+        key=repr,
+    )
+
+
+@pytest.mark.parametrize("max_rows", [0, 1000])
+def test_averages_for_requests(tables, requests, max_rows):
+    averages, _ = tables
+    found = for_requests(averages, wanted(requests), max_rows)
+    assert {(r["asset_id"], str(r["day"])) for r in found.collect()} == {
+        ("a", "2024-01-01"), ("a", "2024-01-02"), ("b", "2024-01-01"),
+        ("c", "2024-01-01"), ("n", "2024-01-01"),
+    }
+
+
+def test_stream_gives_the_rows_of_the_batch_job(spark, tables, requests, model):
+    averages, kpis = tables
+    incoming = scratch(spark, "incoming")
+    # Each file is a micro-batch of its own; a request is in one file only.
+    requests.repartition(3, "asset_id", "requested_day").write.parquet(incoming)
+    stream = (
+        spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", 1).parquet(incoming)
+    )
+    out = scratch(spark, "scores")
+    progress = scratch(spark, "progress")
+    for _ in range(2):  # the second start finds nothing new
+        query = score_stream(stream, averages, kpis, model, out, progress)
+        query.awaitTermination()
+    scored = spark.read.parquet(out)
+    assert scored.select("batch_id").distinct().count() > 1
+    batch = score(requests, averages, kpis, model)
+    assert rows(scored.select(*COLUMNS)) == rows(batch.select(*COLUMNS))
