@@ -47,7 +47,7 @@ def utilization_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per asset and day, named as the operational table is."""
     return (
         events(spark, sf_dir)
-        .groupBy(F.to_date("ts").alias("timeid"), asset().alias("aircraftid"))
+        .groupBy(asset().alias("aircraftid"), F.to_date("ts").alias("timeid"))
         .agg(
             F.sum("value").alias("flighthours"),
             F.count(F.lit(1)).cast("double").alias("flightcycles"),
