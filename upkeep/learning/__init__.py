@@ -8,10 +8,9 @@ from upkeep.learning.features import (
     label_index,
     label_indexer,
 )
-from upkeep.learning.tree import PARTITIONS, SEED, Training, predict, preview, train, tree_summary
+from upkeep.learning.tree import SEED, Training, predict, preview, train, tree_summary
 
 __all__ = [
-    "PARTITIONS",
     "SEED",
     "Training",
     "accuracy",

@@ -26,7 +26,6 @@ from upkeep.operators.copies import spread
 from upkeep.operators.split import random_split, split
 
 SEED = 17
-PARTITIONS = 8
 
 
 @dataclass
@@ -56,7 +55,7 @@ def train(
     label_order: str = "fixed",
     max_categories: int = MAX_CATEGORIES,
     fit_indexers_on: str = "training",
-    partitions: int = PARTITIONS,
+    partitions: int | None = None,
     seed: int = SEED,
     **tree: Any,
 ) -> Training:
@@ -67,8 +66,8 @@ def train(
     Above some 10 000 rows MLlib samples its split candidates by partition, so
     a tree repeats only for the same rows in the same partitions. The training
     rows are therefore laid out by content over a fixed number of
-    ``partitions``; choose about twice the cores of the cluster and keep it.
-    They are cached while fitting, as every level of the tree reads them.
+    ``partitions``, by default ``spark.sql.shuffle.partitions``. They are cached
+    while fitting, as every level of the tree reads them.
 
     ``fit_indexers_on="all"`` lets the indexers see the validation rows too.
     Further keywords go to ``DecisionTreeClassifier``.
@@ -76,6 +75,8 @@ def train(
     if fit_indexers_on not in ("training", "all"):
         raise ValueError(f"unknown fit_indexers_on: {fit_indexers_on}")
     training, validation = sides(matrix, percent, random, seed)
+    if partitions is None:
+        partitions = int(matrix.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stored = spread(training.select(*features, label), partitions).persist(
         StorageLevel.MEMORY_AND_DISK
     )

@@ -52,7 +52,7 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--matrix", required=True)
     train.add_argument("--format", choices=["parquet", "csv"], default="parquet")
     train.add_argument("--percent", type=int, default=70)
-    train.add_argument("--partitions", type=int, default=learning.PARTITIONS)
+    train.add_argument("--partitions", type=int, help="of the training rows, fixes the tree")
     train.add_argument("--seed", type=int, default=learning.SEED)
     train.add_argument("--model", required=True)
     train.add_argument("--metrics", required=True)
