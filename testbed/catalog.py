@@ -13,7 +13,16 @@ from pyspark.sql import functions as F
 from testbed import roles
 from testbed.files import write_reading_files
 from upkeep import learning, operators, plans, sinks, sources
-from upkeep.fixed import AVERAGE, FEATURES, KEYS, KPIS, LABEL, UNSCHEDULED_KINDS
+from upkeep.fixed import (
+    AVERAGE,
+    FEATURES,
+    KEYS,
+    KPIS,
+    LABEL,
+    NEGATIVE,
+    POSITIVE,
+    UNSCHEDULED_KINDS,
+)
 from upkeep.functions import key_bucket
 from upkeep.session import scratch
 from upkeep.streaming import score_stream
@@ -140,6 +149,13 @@ def rounded(frame: DataFrame, names: list[str] = MEASURES) -> DataFrame:
     return frame.withColumns({name: F.round(name, 6) for name in names if name in frame.columns})
 
 
+def stored_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix as the training job finds it."""
+    path = scratch(spark, "matrix")
+    sinks.write_by_month(matrix(spark, sf_dir), path)
+    return sources.read_matrix(spark, path)
+
+
 _models: dict[tuple[str, str], PipelineModel] = {}
 
 
@@ -147,7 +163,7 @@ def model(spark: SparkSession, sf_dir: str) -> PipelineModel:
     """The tree for a data directory, trained once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _models:
-        _models[key] = learning.train(matrix(spark, sf_dir)).model
+        _models[key] = learning.train(stored_matrix(spark, sf_dir)).model
     return _models[key]
 
 
@@ -236,10 +252,7 @@ def matrix_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM labelled"""
 )
 def matrix_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch(spark, "matrix")
-    sinks.write_by_month(matrix(spark, sf_dir), path)
-    stored = sources.read_matrix(spark, path)
-    return rounded(stored).withColumn("month", F.col("month").cast("string"))
+    return rounded(stored_matrix(spark, sf_dir)).withColumn("month", F.col("month").cast("string"))
 
 
 @query("SELECT asset_id, day, requested_day FROM requests")
@@ -487,14 +500,34 @@ def split_train_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def tree_train_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions for the validation rows by a tree fitted on the training rows."""
-    trained = learning.train(matrix(spark, sf_dir))
+    trained = learning.train(stored_matrix(spark, sf_dir))
     predicted = learning.predict(trained.model, trained.validation)
     return predicted.select(*KEYS, LABEL, "indexedLabel", "prediction", "verdict")
 
 
+@query(
+    """SELECT asset_id, day, maintenance,
+              CASE WHEN maintenance = 'no maintenance' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END
+              AS label_index, TRUE AS verdict_fits
+       FROM labelled
+       WHERE CAST(('0x' || substr(md5(asset_id || '|' || day), 1, 8)) AS BIGINT) % 100 >= 70"""
+)
+def tree_predict_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every validation row is predicted once, under its key and label, and the
+    verdict is the text of the predicted index."""
+    _, validation = operators.split(matrix(spark, sf_dir))
+    text = F.when(F.col("prediction") == 0, NEGATIVE).when(F.col("prediction") == 1, POSITIVE)
+    return learning.predict(model(spark, sf_dir), validation).select(
+        *KEYS,
+        LABEL,
+        F.col("indexedLabel").alias("label_index"),
+        F.col("verdict").eqNullSafe(text).alias("verdict_fits"),
+    )
+
+
 @query()
 def tree_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, measured = plans.train_and_evaluate(matrix(spark, sf_dir))
+    _, measured = plans.train_and_evaluate(stored_matrix(spark, sf_dir))
     return measured
 
 
@@ -589,6 +622,24 @@ def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(scores(spark, sf_dir))
 
 
+@query(
+    f"""SELECT s.asset_id, s.day, requested_day, requests, status, {MEASURES_SQL},
+               status = 'scored' AS has_verdict
+        FROM status s LEFT JOIN daily USING (asset_id, day)
+        LEFT JOIN utilization USING (asset_id, day)"""
+)
+def score_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request appears once with what is known of it; the complete ones,
+    and only these, have a verdict."""
+    both = F.col("prediction").isNotNull() & F.col("verdict").isNotNull()
+    neither = F.col("prediction").isNull() & F.col("verdict").isNull()
+    return (
+        rounded(scores(spark, sf_dir))
+        .withColumn("has_verdict", F.when(both, True).when(neither, False))
+        .drop("prediction", "verdict")
+    )
+
+
 @query()
 def score_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.report(scores(spark, sf_dir))

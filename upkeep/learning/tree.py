@@ -63,6 +63,9 @@ def train(
 
     The split goes by key, or with ``random`` by a seeded draw.
 
+    Let the matrix be a stored one: its rows are then the same to the last bit
+    whenever a lost part of them is computed again.
+
     Above some 10 000 rows MLlib samples its split candidates by partition, so
     a tree repeats only for the same rows in the same partitions. The training
     rows are therefore laid out by content over a fixed number of

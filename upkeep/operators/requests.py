@@ -50,19 +50,22 @@ def distinct_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 @dataclass
 class Wanted:
-    """Requested keys, each once, with their number and range of days."""
+    """Requested keys, each once, a bound of their number and their range of days."""
 
     keys: DataFrame
-    rows: int
+    at_most: int
     first: datetime.date | None
     last: datetime.date | None
 
 
 def wanted(requests: DataFrame) -> Wanted:
-    """The keys of the valid requests. Measured in one pass over the requests."""
-    keys = requests.filter(is_valid()).select(*KEYS).distinct()
+    """The keys of the valid requests, measured in one pass without a shuffle.
+
+    The number of requests, copies included, bounds the number of keys.
+    """
+    keys = requests.filter(is_valid()).select(*KEYS)
     measured = keys.agg(F.count(F.lit(1)), F.min(DAY), F.max(DAY)).first()
-    return Wanted(keys, *measured)
+    return Wanted(keys.distinct(), *measured)
 
 
 def for_requests(
@@ -85,7 +88,7 @@ def for_requests(
         frame = frame.filter(
             F.col(MONTH).between(month_of(F.lit(asked.first)), month_of(F.lit(asked.last)))
         )
-    if asked.rows <= max_rows:
+    if asked.at_most <= max_rows:
         return frame.join(F.broadcast(asked.keys), KEYS, "left_semi")
     return frame.join(asked.keys, KEYS, "left_semi") if exact else frame
 

@@ -12,12 +12,15 @@ def build_session(app: str, conf: dict[str, str] | None = None) -> SparkSession:
     """Session for a job. Master, memory and jars are left to spark-submit.
 
     The time zone is pinned because a reading's day is taken in the session zone.
+    Joins of shuffled inputs whose partitions prove small enough are hashed
+    rather than sorted; their size is known at run time.
     """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
     )
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
