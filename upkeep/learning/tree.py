@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from math import ceil
 from typing import Any
 
 from pyspark import StorageLevel
@@ -26,6 +27,7 @@ from upkeep.operators.copies import spread
 from upkeep.operators.split import random_split, split
 
 SEED = 17
+ROWS_PER_PARTITION = 200_000
 
 
 @dataclass
@@ -69,8 +71,9 @@ def train(
     Above some 10 000 rows MLlib samples its split candidates by partition, so
     a tree repeats only for the same rows in the same partitions. The training
     rows are therefore laid out by content over a fixed number of
-    ``partitions``, by default ``spark.sql.shuffle.partitions``. They are cached
-    while fitting, as every level of the tree reads them.
+    ``partitions``, which by default follows from the number of rows and from
+    nothing else. They are cached while fitting, as every level of the tree
+    reads them.
 
     ``fit_indexers_on="all"`` lets the indexers see the validation rows too.
     Further keywords go to ``DecisionTreeClassifier``.
@@ -79,7 +82,7 @@ def train(
         raise ValueError(f"unknown fit_indexers_on: {fit_indexers_on}")
     training, validation = sides(matrix, percent, random, seed)
     if partitions is None:
-        partitions = int(matrix.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(1, ceil(training.count() / ROWS_PER_PARTITION))
     stored = spread(training.select(*features, label), partitions).persist(
         StorageLevel.MEMORY_AND_DISK
     )

@@ -56,6 +56,7 @@ def horizon_label(
         hit = F.col("_hit")
     elif match == "independent":
         known = _known(interruptions)
+        # Averages have at most one row per asset and day, so none is a hot asset.
         assets = known.select(ASSET).distinct().withColumn("_asset_hit", F.lit(True))
         # One row per calendar day: a DATE has some 3.7 million values in all,
         # which bounds what is broadcast however many interruptions there are.
