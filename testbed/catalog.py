@@ -668,6 +668,5 @@ def score_requests_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["asset_id", "requested_day"]
     batch = scores(spark, sf_dir).select(*keys, F.col("verdict").alias("expected"))
     streamed = spark.read.parquet(out).join(batch, keys, "left")
-    return streamed.select(
-        *keys, "requests", "status", F.col("verdict").eqNullSafe(F.col("expected")).alias("as_batch")
-    )
+    as_batch = F.col("verdict").eqNullSafe(F.col("expected"))
+    return streamed.select(*keys, "requests", "status", as_batch.alias("as_batch"))

@@ -11,7 +11,7 @@ DATA = "/root/testdata"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("upkeep-tests")
@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

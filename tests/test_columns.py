@@ -46,7 +46,8 @@ def test_parse_day_takes_only_well_formed_days(spark):
         "": None,
     }
     frame = spark.createDataFrame([*[(t,) for t in texts], (None,)], "text string")
-    got = {r["text"]: r["d"] for r in frame.select("text", parse_day(F.col("text")).alias("d")).collect()}
+    parsed = frame.select("text", parse_day(F.col("text")).alias("d"))
+    got = {r["text"]: r["d"] for r in parsed.collect()}
     assert got == {**{t: day(d) for t, d in texts.items()}, None: None}
 
 

@@ -90,7 +90,8 @@ def test_metrics_equal_the_evaluator(trained):
     measured = {(r["metric"], r["label"]): r["value"] for r in learning.metrics(found).collect()}
 
     def evaluator(**settings):
-        return MulticlassClassificationEvaluator(labelCol="indexedLabel", **settings).evaluate(found)
+        measure = MulticlassClassificationEvaluator(labelCol="indexedLabel", **settings)
+        return measure.evaluate(found)
 
     accuracy = evaluator(metricName="accuracy")
     assert measured[("accuracy", None)] == pytest.approx(accuracy)
@@ -167,13 +168,14 @@ def test_an_unseen_category_still_gets_a_verdict(spark):
 
 
 def test_category_map(spark):
+    pairs = [(-1.0, 5.0), (0.0, 5.0), (3.0, 9.0), (3.0, 5.0), (0.0, 5.0)]
     frame = spark.createDataFrame(
-        [(float(n), float(v), float(w)) for n, (v, w) in enumerate([(-1, 5), (0, 5), (3, 9), (3, 5)])]
-        + [(9.0, 0.0, 5.0)],
-        "a double, b double, c double",
+        [(float(n), *pair) for n, pair in enumerate(pairs)], "a double, b double, c double"
     )
-    found = {(r["feature"], r["value"]): r["category_index"] for r in
-             learning.category_map(frame, ["a", "b", "c"]).collect()}
+    found = {
+        (r["feature"], r["value"]): r["category_index"]
+        for r in learning.category_map(frame, ["a", "b", "c"]).collect()
+    }
     assert found == {
         ("b", 0.0): 0, ("b", -1.0): 1, ("b", 3.0): 2, ("c", 5.0): 0, ("c", 9.0): 1,
     }
@@ -197,3 +199,8 @@ def test_a_missing_feature_fails_the_job(spark):
     broken = small_matrix(spark).withColumn("average", F.lit(None).cast("double"))
     with pytest.raises(Py4JJavaError, match="null"):
         learning.train(broken)
+    partly = small_matrix(spark).withColumn(
+        "average", F.when(F.col("flighthours") > 100, F.col("average"))
+    )
+    model = learning.train(partly, incomplete="skip").model
+    assert learning.predict(model, partly).count() == partly.dropna().count()

@@ -28,8 +28,13 @@ def tables(spark):
     )
     kpis = utilization(
         spark,
-        [("a", "2024-01-01", 1, 1, 1), ("a", "2024-01-02", 1, 1, 1), ("b", "2024-01-01", 500, 9, 400),
-         ("b", "2024-01-01", 1, 1, 1), ("x", "2024-01-01", 1, 1, 1)],
+        [
+            ("a", "2024-01-01", 1, 1, 1),
+            ("a", "2024-01-02", 1, 1, 1),
+            ("b", "2024-01-01", 500, 9, 400),
+            ("b", "2024-01-01", 1, 1, 1),
+            ("x", "2024-01-01", 1, 1, 1),
+        ],
     ).unionByName(
         utilization(spark, [("n", "2024-01-01", 1, 1, 1)]).withColumn(
             "flightcycles", F.lit(None).cast("double")

@@ -19,9 +19,15 @@ from upkeep.fixed import FEATURES, LABEL, LABELS
 MAX_CATEGORIES = 4
 
 
-def assembler(features: Sequence[str] = FEATURES) -> VectorAssembler:
-    """Features vector. A NULL feature fails the job rather than losing the row."""
-    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
+def assembler(features: Sequence[str] = FEATURES, incomplete: str = "error") -> VectorAssembler:
+    """Features vector.
+
+    A NULL feature fails the job, unless ``incomplete`` says "skip" (such rows
+    are left out) or "keep" (it becomes NaN).
+    """
+    return VectorAssembler(
+        inputCols=list(features), outputCol="features", handleInvalid=incomplete
+    )
 
 
 def label_indexer(

@@ -57,6 +57,7 @@ def train(
     label_order: str = "fixed",
     max_categories: int = MAX_CATEGORIES,
     fit_indexers_on: str = "training",
+    incomplete: str = "error",
     partitions: int | None = None,
     seed: int = SEED,
     **tree: Any,
@@ -75,6 +76,7 @@ def train(
     nothing else. They are cached while fitting, as every level of the tree
     reads them.
 
+    ``incomplete`` is for rows with a NULL feature, as in ``assembler``.
     ``fit_indexers_on="all"`` lets the indexers see the validation rows too.
     Further keywords go to ``DecisionTreeClassifier``.
     """
@@ -88,7 +90,7 @@ def train(
     )
     try:
         seen = matrix if fit_indexers_on == "all" else stored
-        vectors = assembler(features)
+        vectors = assembler(features, incomplete)
         labels = label_indexer(seen, label, label_order)
         indexer = feature_indexer(max_categories)
         if fit_indexers_on == "all":

@@ -52,6 +52,8 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--matrix", required=True)
     train.add_argument("--format", choices=["parquet", "csv"], default="parquet")
     train.add_argument("--percent", type=int, default=70)
+    train.add_argument("--random", action="store_true", help="split by a seeded draw, not by key")
+    train.add_argument("--incomplete", choices=["error", "skip", "keep"], default="error")
     train.add_argument("--partitions", type=int, help="of the training rows, fixes the tree")
     train.add_argument("--seed", type=int, default=learning.SEED)
     train.add_argument("--model", required=True)
@@ -105,6 +107,8 @@ def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
     model, measured = train_and_evaluate(
         read(spark, args.matrix),
         percent=args.percent,
+        random=args.random,
+        incomplete=args.incomplete,
         partitions=args.partitions,
         seed=args.seed,
     )
