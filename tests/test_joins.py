@@ -48,6 +48,15 @@ def test_dealt_out_join_gives_the_plain_rows(inputs, how, chunk):
     assert rows(dealt.select(*plain.columns)) == rows(plain)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_keys_that_are_gone(inputs, how):
+    few, many = inputs
+    hot = hot_keys(many, share=0.01, at_least=20)
+    left_over = many.filter("NOT (asset_id = 'a' AND day = '2024-01-03')")
+    plain = join_on_keys(few, left_over, how)
+    assert rows(join_on_keys(few, left_over, how, hot).select(*plain.columns)) == rows(plain)
+
+
 def test_hot_rows_go_to_many_partitions(spark, inputs):
     few, many = inputs
     hot = hot_keys(many, share=0.01, at_least=20)

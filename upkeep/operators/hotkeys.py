@@ -59,6 +59,11 @@ def join_on_keys(
     if hot is None:
         return left.join(right, keys, how)
 
+    if how == "left":
+        # Deal out only keys that right holds now; a key found hot in an earlier
+        # state of it may be gone. Distinct keys out of the few hot ones.
+        held = right.join(F.broadcast(hot), keys, "left_semi").select(*keys).distinct()
+        hot = hot.join(F.broadcast(held), keys, "left_semi")
     hot = F.broadcast(hot)
     cold_rows = right.join(hot, keys, "left_anti").select(
         "*",
@@ -78,7 +83,7 @@ def join_on_keys(
     repeated = left.join(hot, keys, "left").withColumn("_piece", F.explode(pieces))
     joined = repeated.join(cold_rows.unionByName(hot_rows), [*keys, "_piece"], how)
     if how == "left":
-        # A hot key has right rows, so a piece of it without any is no result.
+        # Some piece of a hot key has right rows; the pieces without are no result.
         joined = joined.filter(F.col("_copies").isNotNull() | F.col("_pieces").isNull())
         joined = joined.withColumn("_copies", F.coalesce("_copies", F.lit(1)))
     return unpack_copies(joined).drop("_piece", "_pieces")
