@@ -327,35 +327,69 @@ HUB_SQL = """
            CASE WHEN value > 40 THEN DATE '2024-01-15' ELSE CAST(ts AS DATE) END AS day,
            event_type, floor(value / 10) AS value
     FROM events"""
+HUB_DAILY_SQL = f"""
+    SELECT asset_id, day, avg(value) AS average FROM ({HUB_SQL})
+    WHERE event_type = 'view' GROUP BY 1, 2"""
+HUB_UTILIZATION_SQL = f"""
+    SELECT asset_id, day, value AS flighthours, 1.0::DOUBLE AS flightcycles,
+           value AS delayedminutes FROM ({HUB_SQL})"""
 
 
-@query(
-    f"""SELECT asset_id, day, round(average, 6) AS average, flighthours, flightcycles,
-               delayedminutes
-        FROM (SELECT asset_id, day, avg(value) AS average FROM ({HUB_SQL})
-              WHERE event_type = 'view' GROUP BY 1, 2)
-        JOIN (SELECT asset_id, day, value AS flighthours, 1.0::DOUBLE AS flightcycles,
-                     value AS delayedminutes FROM ({HUB_SQL})) USING (asset_id, day)"""
-)
-def join_hot_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Utilization that repeats keys, where one key holds a large part of all
-    rows and many of its rows are alike."""
+def hub(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events where one key holds a large part of all rows, many of them alike."""
     far = F.col("value") > 40
-    hub = roles.events(spark, sf_dir).select(
+    return roles.events(spark, sf_dir).select(
         F.when(far, "hub").otherwise(roles.asset()).alias("asset_id"),
         F.when(far, F.lit("2024-01-15").cast("date")).otherwise(F.to_date("ts")).alias("day"),
         "event_type",
         F.floor(F.col("value") / 10).cast("double").alias("value"),
     )
-    repeated = hub.select(
+
+
+def hub_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views = hub(spark, sf_dir).filter(F.col("event_type") == "view")
+    return operators.daily_average(views.withColumnRenamed("day", "date"))
+
+
+def hub_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hub(spark, sf_dir).select(
         *KEYS,
         F.col("value").alias("flighthours"),
         F.lit(1.0).alias("flightcycles"),
         F.col("value").alias("delayedminutes"),
     )
-    views = hub.filter(F.col("event_type") == "view").withColumnRenamed("day", "date")
+
+
+@query(
+    f"""SELECT asset_id, day, round(average, 6) AS average, flighthours, flightcycles,
+               delayedminutes
+        FROM ({HUB_DAILY_SQL}) JOIN ({HUB_UTILIZATION_SQL}) USING (asset_id, day)"""
+)
+def join_hot_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Utilization that repeats keys, one of them very often."""
+    repeated = hub_utilization(spark, sf_dir)
+    hot = operators.hot_keys(repeated, at_least=100)
+    return rounded(operators.join_on_keys(hub_daily(spark, sf_dir), repeated, "inner", hot))
+
+
+@query(
+    f"""SELECT r.asset_id, r.day, requests, round(average, 6) AS average, flighthours,
+               CASE WHEN average IS NULL THEN 'no_readings'
+                    WHEN flighthours IS NULL THEN 'no_utilization' ELSE 'scored' END AS status
+        FROM (SELECT asset_id, day, count(*) AS requests FROM ({HUB_SQL})
+              WHERE event_type = 'purchase' GROUP BY 1, 2) r
+        LEFT JOIN ({HUB_DAILY_SQL}) USING (asset_id, day)
+        LEFT JOIN ({HUB_UTILIZATION_SQL}) USING (asset_id, day)"""
+)
+def request_features_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests where one key is asked for, and repeated in utilization, very often."""
+    asked = sources.read_requests(
+        hub(spark, sf_dir).filter(F.col("event_type") == "purchase"), "day", "asset_id"
+    )
+    repeated = hub_utilization(spark, sf_dir)
     hot = operators.hot_keys(repeated, at_least=100)
-    return rounded(operators.join_on_keys(operators.daily_average(views), repeated, "inner", hot))
+    known = operators.request_features(asked, hub_daily(spark, sf_dir), repeated, hot)
+    return rounded(known).select(*KEYS, "requests", AVERAGE, "flighthours", "status")
 
 
 @query(

@@ -22,6 +22,7 @@ RELATIONAL = [
     "readings_for_requests",
     "score_features",
     "request_status",
+    "request_features_hot",
     "eval_confusion",
 ]
 
