@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tests.frames import daily, day, rows, utilization
+from tests.frames import daily, rows, utilization
 from upkeep.operators import hot_keys, join_on_keys, pack_copies, spread, unpack_copies
 
 
