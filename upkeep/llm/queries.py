@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from upkeep.llm.blocks import token_blocks
+from upkeep.llm.bpe import digests
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,3 +26,10 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, through files of patched frame-of-reference blocks."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return token_blocks(spark, docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+@query
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts encoded by speculation and check, and decoded again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return digests(docs, public_tokenizers.path("word_bpe_49k.json"))
