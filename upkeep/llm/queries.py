@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from upkeep.llm.blocks import token_blocks
 from upkeep.llm.bpe import digests
+from upkeep.llm.near_copies import near_copies
+from upkeep.llm.packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,3 +35,16 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts encoded by speculation and check, and decoded again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, size=1024)
+
+
+@query
+def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose five-word shingles have a weighted similarity of 0.8 or more."""
+    return near_copies(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -8,7 +8,9 @@ which such a cut is not certain are encoded whole.
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +31,14 @@ def tokenizer(path: str):
     return loaded
 
 
-#: Units whose ids a worker remembers from one batch to the next, at most.
-REMEMBERED = 300_000
+#: A fixed value: the split of the tokenizer whose units can be cut further.
+WORDS_AND_SIGNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Units, and parts of units, whose ids a worker remembers from batch to batch, at most.
+REMEMBERED = 250_000
 _KNOWN: dict[str, dict[str, bytes]] = {}
+_KNOWN_PARTS: dict[str, dict[str, bytes]] = {}
+#: Letters and what stands behind them, which tokenizers that split there encode apart.
+LETTERS = re.compile(r"([A-Za-z]+)([!-&(-/:;=>?@\[-`{-~]*)")
 
 
 def encode_units(path: str, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -39,7 +46,8 @@ def encode_units(path: str, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
     known = _KNOWN.setdefault(path, {})
     found = [known.get(unit) for unit in units]
     missing = [i for i, ids in enumerate(found) if ids is None]
-    for i, ids in zip(missing, _encode(path, [units[i] for i in missing])):
+    encode = _encode_parts if splits_letters(path) else _encode
+    for i, ids in zip(missing, encode(path, [units[i] for i in missing])):
         found[i] = ids
         if len(known) < REMEMBERED:
             known[units[i]] = ids
@@ -48,6 +56,30 @@ def encode_units(path: str, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(found), np.uint32), places
 
 
+@functools.lru_cache(maxsize=4)
+def splits_letters(path: str) -> bool:
+    """Whether the tokenizer lowers case and keeps letters apart from other signs."""
+    config = json.loads(tokenizer(path).to_str())
+    lower = "Lowercase" in [n["type"] for n in (config["normalizer"] or {}).get("normalizers", [])]
+    steps = (config["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return lower and any(s["type"] == "Split" and s["pattern"].get("Regex") == WORDS_AND_SIGNS for s in steps)
+
+
+def _encode_parts(path: str, units: list[str]) -> list[bytes]:
+    """Each unit as letters and the signs after them, where it has that form."""
+    known = _KNOWN_PARTS.setdefault(path, {})
+    split = [m.groups() if (m := LETTERS.fullmatch(unit)) else (unit, "") for unit in units]
+    split = [(a.lower() if a.isascii() and a.isalpha() else a, b) for a, b in split]
+    wanted = list({part: None for pair in split for part in pair if part and part not in known})
+    coded = dict(zip(wanted, _encode(path, wanted)))
+    out = [(known.get(a) or coded.get(a, b"")) + (known.get(b) or coded.get(b, b"")) for a, b in split]
+    for part, ids in coded.items():
+        if len(known) >= REMEMBERED:
+            break
+        known[part] = ids
+    return out
+
+
 def _encode(path: str, units: list[str]) -> list[bytes]:
     library = tokenizer(path)
     mark = "<|endoftext|>"
