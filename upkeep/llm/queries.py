@@ -11,6 +11,8 @@ from upkeep.llm.blocks import token_blocks
 from upkeep.llm.bpe import digests
 from upkeep.llm.near_copies import near_copies
 from upkeep.llm.packing import pack
+from upkeep.llm.passages import passages
+from upkeep.llm.suffixes import repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,3 +50,15 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents whose five-word shingles have a weighted similarity of 0.8 or more."""
     return near_copies(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of at least 50 words that stand, nearly alike, in another document."""
+    return passages(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of at least 50 words that stand word for word in another document."""
+    return repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
