@@ -39,3 +39,15 @@ def components(edges: DataFrame, kept: Kept) -> DataFrame:
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
+
+
+def blocked(rows: DataFrame, node: str, size: int) -> DataFrame:
+    """Rows with a count n of their group, once for each pair of blocks they belong to.
+
+    Adds block, low, side. A group of up to ``size`` rows is one block; in a larger one
+    each pair of blocks is a task's work of its own.
+    """
+    rows = rows.withColumn("blocks", F.ceil(F.col("n") / size).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64(node), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("beside", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.withColumn("low", F.least("block", "beside")).withColumn("side", F.greatest("block", "beside")).drop("blocks", "beside")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.components import components
+from upkeep.llm.components import blocked, components
 from upkeep.llm.store import Kept
 from upkeep.llm.words import Words, mix, parts, sequence_hash
 
@@ -194,10 +194,7 @@ def remaining_pairs(open_rows: DataFrame) -> DataFrame:
     Signatures are compared inside tasks. A bucket of more than ``BLOCK`` rows is
     compared block by block, so no task holds more than two blocks.
     """
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = open_rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumn("low", F.least("block", "other")).withColumn("side", F.greatest("block", "other"))
+    rows = blocked(open_rows, "node", BLOCK)
     return rows.groupBy("band", "key", "low", "side").applyInPandas(_agreeing, "a long, b long").distinct()
 
 

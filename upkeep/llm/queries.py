@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from upkeep.llm.blocks import token_blocks
 from upkeep.llm.bpe import digests
+from upkeep.llm.fingerprints import edited_fingerprints, fingerprint_classes
 from upkeep.llm.near_copies import near_copies
 from upkeep.llm.packing import pack
 from upkeep.llm.passages import passages
+from upkeep.llm.shards import sharding
 from upkeep.llm.suffixes import repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +64,15 @@ def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of at least 50 words that stand word for word in another document."""
     return repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query
+def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents shuffled into 16 shards of equal numbers of rows."""
+    return sharding(spark.read.parquet(f"{sf_dir}/documents.parquet"), shards=16)
+
+
+@query
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of whole and of edited texts, and classes of near fingerprints."""
+    return fingerprint_classes(edited_fingerprints(spark.read.parquet(f"{sf_dir}/documents.parquet")))
