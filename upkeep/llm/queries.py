@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from upkeep.llm.blocks import token_blocks
 from upkeep.llm.bpe import digests
 from upkeep.llm.fingerprints import edited_fingerprints, fingerprint_classes
+from upkeep.llm.language import languages
 from upkeep.llm.near_copies import near_copies
 from upkeep.llm.packing import pack
 from upkeep.llm.passages import passages
 from upkeep.llm.shards import sharding
 from upkeep.llm.suffixes import repeats
+from upkeep.llm.vectors import nearest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,3 +79,15 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of whole and of edited texts, and classes of near fingerprints."""
     return fingerprint_classes(edited_fingerprints(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+
+
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text by error-correcting output codes."""
+    return languages(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of every hundredth vector, by counting collisions."""
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 100 == 0, k=10)
