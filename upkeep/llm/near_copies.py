@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +27,6 @@ BANDS = K // BAND
 SIMILARITY = 0.8
 #: Ranks below 2**LOWEST are one level; each further level doubles the rank.
 LOWEST = -5
-#: Pairs at the threshold agree in fewer coordinates with probability 1e-5.
-LEAST_AGREED = 48
 #: Rows compared with one another in one task.
 BLOCK = 1000
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -148,14 +145,20 @@ def buckets(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", F.explode(F.array(*keys)).alias("b")).select("b.band", "b.key", "node")
 
 
-def verify(pairs: DataFrame, docs: DataFrame, kept: Kept, least: float) -> DataFrame:
-    """Pairs (a, b) with their exact similarity, of at least ``least``.
+def texts_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id and text of the documents named by ``nodes`` (node), one row each.
+
+    Sorted and merged at any size: ids grow with the data, so none are broadcast.
+    """
+    named = nodes.select(F.col("node").alias("doc_id")).distinct()
+    return docs.join(named.hint("merge"), "doc_id").select("doc_id", "text").dropDuplicates(["doc_id"])
+
+
+def verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of exact similarity ``least`` or more.
 
-    Texts of documents that are in no pair leave the first join; the rest is small.
     A document in very many pairs makes a large partition, which AQE splits.
     """
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = kept.keep(docs.join(wanted, "doc_id").select("doc_id", "text").dropDuplicates(["doc_id"]), "texts")
     one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
 
@@ -163,39 +166,97 @@ def verify(pairs: DataFrame, docs: DataFrame, kept: Kept, least: float) -> DataF
         for batch in batches:
             for piece in parts(batch, "text_a"):
                 found = similarity(Words(piece.column("text_a")), Words(piece.column("text_b")))
-                frame = pa.RecordBatch.from_arrays([piece.column("a"), piece.column("b"), pa.array(found)], ["a", "b", "similarity"])
+                frame = pa.RecordBatch.from_arrays([piece.column("a"), piece.column("b")], ["a", "b"])
                 yield frame.filter(pa.array(found >= least))
 
-    found = kept.keep(pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similarity double"), "links")
-    kept.drop(texts)
-    return found
-
-
-def _agreeing(frame: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of nodes of different components that agree in enough coordinates."""
-    node, part = frame["node"].to_numpy(), frame["component"].to_numpy()
-    grid = np.frombuffer(b"".join(frame["signature"]), "<u4").reshape(len(frame), K)
-    block, side = frame["block"].to_numpy(), frame["side"].iloc[0]
-    low = frame["low"].iloc[0]
-    rows = np.flatnonzero(block == low)
-    others = rows if low == side else np.flatnonzero(block == side)
-    a, b = [], []
-    for i in rows:
-        rest = others[(part[others] != part[i]) & ((node[others] > node[i]) | (low != side))]
-        rest = rest[(grid[rest] == grid[i]).sum(axis=1) >= LEAST_AGREED]
-        a.append(np.minimum(node[i], node[rest]))
-        b.append(np.maximum(node[i], node[rest]))
-    return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
-
-
-def remaining_pairs(open_rows: DataFrame) -> DataFrame:
-    """Pairs across components within a bucket: band, key, node, component, signature, n.
-
-    Signatures are compared inside tasks. A bucket of more than ``BLOCK`` rows is
-    compared block by block, so no task holds more than two blocks.
+    joined = pairs.join(two.hint("merge"), "b").join(one.hint("merge"), "a")
+    return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+
+
+def _across(words: Words, component: np.ndarray, block: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Links that join components of one group: a forest over them, by exact similarity.
+
+    Rows outside the most frequent component are compared with all rows (of the other
+    block, if there are two). Counts become sets by numbering equal shingles, and how
+    many two rows share is a product of 0/1 matrices over shingles in several rows.
+    """
+    row, hashes, weight = weighted_shingles(words)
+    total = np.bincount(row, weight, len(component))
+    again = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+    row, unit = np.repeat(row, weight), mix(np.repeat(hashes, weight) + again.astype(np.uint64), 14)
+    _, column, held = np.unique(unit, return_inverse=True, return_counts=True)
+    row, column = row[held[column] > 1], column[held[column] > 1]
+    _, column = np.unique(column, return_inverse=True)
+    names, size = np.unique(component, return_counts=True)
+    minor = np.flatnonzero(component != names[size.argmax()])
+    shared = np.zeros((len(minor), len(component)), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    width = max(1, (16 << 20) // (4 * len(component)))
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        i, j = np.searchsorted(column, (low, low + width))
+        grid = np.zeros((len(component), min(width, int(column[-1]) + 1 - low)), np.float32)
+        grid[row[i:j], column[i:j] - low] = 1
+        shared += grid[minor] @ grid.T
+    near = shared >= least * (total[minor][:, None] + total - shared) - 1e-6
+    near &= component[minor][:, None] != component
+    if block.min() != block.max():
+        near &= block[minor][:, None] != block
+    root = {c: c for c in names.tolist()}
+
+    def find(c):
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    out = []
+    for i, j in zip(*np.nonzero(near)):
+        a, b = find(int(component[minor[i]])), find(int(component[j]))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((max(a, b), min(a, b)))
+    return out
+
+
+def join_across(open_rows: DataFrame, least: float) -> DataFrame:
+    """Pairs of components (a, b) with a link between them within a bucket.
+
+    open_rows: band, key, n, node, component, text. Of a bucket of more than ``BLOCK``
+    rows every two blocks are a group of their own, so no task holds more than two.
+    A group gives no more rows than it has components.
     """
     rows = blocked(open_rows, "node", BLOCK)
-    return rows.groupBy("band", "key", "low", "side").applyInPandas(_agreeing, "a long, b long").distinct()
+    group = ["band", "key", "low", "side"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        now = None
+
+        def done() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            texts = table.column("text")
+            texts = texts.chunk(0) if texts.num_chunks == 1 else pa.concat_arrays(texts.chunks)
+            found = _across(Words(texts), table.column("component").to_numpy(), table.column("block").to_numpy(), least)
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            codes = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in group])
+            cuts = [0, *(np.flatnonzero((codes[:, 1:] != codes[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for i, j in zip(cuts, cuts[1:]):
+                if i == j:
+                    continue
+                mine = tuple(codes[:, i].tolist())
+                if now is not None and mine != now:
+                    yield done()
+                    held = []
+                now = mine
+                held.append(batch.slice(i, j - i))
+        if held:
+            yield done()
+
+    dealt = rows.select(*group, "block", "component", "text").repartition(*group).sortWithinPartitions(*group)
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -204,11 +265,16 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     Documents are linked if the weighted Jaccard similarity of their shingles is at
     least ``least``; a class is what links connect, named by its smallest doc_id. Equal
     word sequences are one node. Per bucket every node is compared with one centre;
-    then nodes of a bucket that are still in different components are compared with
-    one another, so no candidate is left out. A text of fewer than five words has one
+    then components that still share a bucket are compared row by row within tasks, so
+    no candidate is left out. A text of fewer than five words has one
     shingle of them all. Texts without words (null, empty) and rows without doc_id are
     alone in their class. Further columns are not read.
+
+    The bands miss a pair at 0.8 with probability 3e-5, and far more below, so lower
+    thresholds are refused.
     """
+    if least < SIMILARITY:
+        raise ValueError(f"the bands are laid out for similarities of {SIMILARITY} and more")
     kept = Kept(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     signed = kept.keep(sign(docs), "signatures")
@@ -218,22 +284,20 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     rows = kept.keep(buckets(nodes), "buckets")
     centres = rows.groupBy("band", "key").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("node", "band")).alias("centre")).where("n > 1")
     shared = kept.keep(rows.join(centres, ["band", "key"]), "shared")
-    pairs = kept.keep(
-        shared.where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), "pairs"
-    )
-    links = verify(pairs, docs, kept, least)
-    parts_of = kept.keep(components(links, kept), "components")
+    pairs = shared.where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    texts = kept.keep(texts_of(shared, docs), "texts")
+    kept.release()
+    parts_of = kept.keep(components(verify(pairs, texts, least), kept), "components")
 
     placed = shared.join(parts_of, "node", "left").select("band", "key", "node", "n", F.coalesce("component", "node").alias("component"))
     placed = kept.keep(placed, "placed")
     still = placed.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    open_rows = placed.join(still.select("band", "key"), ["band", "key"]).join(nodes.select("node", "signature"), "node")
-    more = kept.keep(remaining_pairs(open_rows).join(pairs, ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
-        links = links.unionAll(verify(more, docs, kept, least))
-        parts_of = components(links, kept)
+    open_rows = placed.join(still.select("band", "key"), ["band", "key"])
+    open_rows = open_rows.join(texts.withColumnRenamed("doc_id", "node").hint("merge"), "node")
+    merged = components(join_across(open_rows, least), kept).select(F.col("node").alias("component"), F.col("component").alias("whole"))
 
-    classes = nodes.join(parts_of, "node", "left").select("one", "two", F.coalesce("component", "node").alias("class_id"))
+    placed = nodes.join(parts_of, "node", "left").select("one", "two", F.coalesce("component", "node").alias("component"))
+    classes = placed.join(merged, "component", "left").select("one", "two", F.coalesce("whole", "component").alias("class_id"))
     named = signed.join(classes, ["one", "two"], "left")
     alone = F.col("signature").isNull() | F.col("doc_id").isNull()
     named = kept.keep(named.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), alone.alias("alone")), "classes")
