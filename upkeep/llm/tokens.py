@@ -38,6 +38,7 @@ REMEMBERED = 250_000
 _KNOWN: dict[str, dict[str, bytes]] = {}
 _KNOWN_PARTS: dict[str, dict[str, bytes]] = {}
 #: Letters and what stands behind them, which tokenizers that split there encode apart.
+ONE_WORD = re.compile(r"[a-z]+|[!-&(-/:;=>?@\[-`{-~]+")
 LETTERS = re.compile(r"([A-Za-z]+)([!-&(-/:;=>?@\[-`{-~]*)")
 
 
@@ -81,15 +82,38 @@ def _encode_parts(path: str, units: list[str]) -> list[bytes]:
 
 
 def _encode(path: str, units: list[str]) -> list[bytes]:
+    """Ids of each unit. Units whose tokens show where they begin or end are encoded
+    many at a time side by side, the others with a special token between them."""
     library = tokenizer(path)
+    out: list[bytes] = [b""] * len(units)
+    whole, first = borders(path)
+    if first:  # a blank before each unit, and none elsewhere
+        beside = [i for i, u in enumerate(units) if u[:1] == " " and len(u) > 1 and not u[1].isspace() and not u[-1].isspace() and "<|" not in u]
+        glue = ""
+    elif splits_letters(path):  # a unit of letters or of signs is one word
+        beside = [i for i, u in enumerate(units) if ONE_WORD.fullmatch(u)]
+        glue = " "
+    else:
+        beside, glue = [], ""
+    left = set(range(len(units)))
+    groups = [beside[k : k + GROUP] for k in range(0, len(beside), GROUP)]
+    for group, found in zip(groups, library.encode_batch_fast([glue.join([units[i] for i in g]) for g in groups], add_special_tokens=False)):
+        got = np.asarray(found.ids, np.uint32)
+        cuts = np.flatnonzero(whole[got]) * 4 if first else (np.flatnonzero(whole[got]) + 1) * 4
+        if len(cuts) != len(group):
+            continue
+        cuts = [*cuts.tolist(), 4 * len(got)] if first else [0, *cuts.tolist()]
+        raw = got.tobytes()
+        for i, a, b in zip(group, cuts, cuts[1:]):
+            out[i] = raw[a:b]
+        left.difference_update(group)
+
     mark = "<|endoftext|>"
     stop = library.token_to_id(mark)
-    plain = [i for i, unit in enumerate(units) if "<|" not in unit]
-    odd = [i for i, unit in enumerate(units) if "<|" in unit]
-    out: list[bytes] = [b""] * len(units)
+    plain = [i for i in sorted(left) if "<|" not in units[i]]
+    odd = [i for i in sorted(left) if "<|" in units[i]]
     groups = [plain[k : k + GROUP] for k in range(0, len(plain), GROUP)]
-    texts = [mark.join([units[i] for i in group]) for group in groups]
-    for group, found in zip(groups, library.encode_batch_fast(texts, add_special_tokens=False)):
+    for group, found in zip(groups, library.encode_batch_fast([mark.join([units[i] for i in g]) for g in groups], add_special_tokens=False)):
         got = np.append(np.asarray(found.ids, np.uint32), np.uint32(stop))
         ends = np.flatnonzero(got == stop) * 4
         raw, start = got.tobytes(), 0
@@ -100,6 +124,17 @@ def _encode(path: str, units: list[str]) -> list[bytes]:
     return out
 
 
+@functools.lru_cache(maxsize=4)
+def borders(path: str) -> tuple[np.ndarray, bool]:
+    """Which ids are tokens that begin with a blank (then true), or that end a word."""
+    library = tokenizer(path)
+    suffix = json.loads(library.to_str())["model"].get("end_of_word_suffix")
+    marked = np.zeros(library.get_vocab_size(), bool)
+    for token, i in library.get_vocab().items():
+        marked[i] = token.endswith(suffix) if suffix else token.startswith("Ġ")
+    return marked, not suffix
+
+
 def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """start[0], start[0] + 1, ..., one run of ``size`` numbers for each start."""
     total = int(size.sum())
