@@ -20,7 +20,7 @@ from upkeep.llm.near_copies import near_copies
 from upkeep.llm.packing import pack
 from upkeep.llm.passages import passages
 from upkeep.llm.spans import cut
-from upkeep.llm.store import Kept, new_path
+from upkeep.llm.store import Kept, free_name, new_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -33,8 +33,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that is known. Rejected are texts that are null or
     without letters, and ambiguous ones to which no language is half likely."""
     model = learn(docs.where(F.col("doc_id").isNotNull() & ~held_out()))
-    found = identify(docs, model)
-    rejected = (F.col("lang_pred") == UNKNOWN) | F.col("ambiguous") & (F.col("score") < 0.5)
+    name = free_name(docs, "language")
+    found = identify(docs, model, name)
+    rejected = (F.col(f"{name}.lang_pred") == UNKNOWN) | F.col(f"{name}.ambiguous") & (F.col(f"{name}.score") < 0.5)
     return found.where(~rejected).select(*docs.columns)
 
 
@@ -42,7 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """The document with the smallest doc_id of each class; repeated rows once."""
     kept = Kept(spark)
     classes = kept.keep(near_copies(docs), "classes")
-    rest = docs.join(classes.where("doc_id <> class_id").select("doc_id"), "doc_id", "left_anti")
+    rest = docs.join(classes.where("doc_id <> class_id").select("doc_id").hint("merge"), "doc_id", "left_anti")
     again = kept.keep(classes.groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id is not null and n > 1").select("doc_id"), "again")
     if not again.isEmpty():
         once = rest.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])

@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from upkeep.llm.store import free_name
 from upkeep.llm.words import buffers, parts
 
 FEATURES = 1 << 15
@@ -161,34 +162,41 @@ def learn(docs: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     return Model(languages, code, weights)
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with lang_pred, score, ambiguous and wrong_bits; all rows and columns stay.
+RESULT = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_()), ("wrong_bits", pa.int32())])
+
+
+def identify(docs: DataFrame, model: Model, column: str = "language") -> DataFrame:
+    """docs with a struct ``column`` of lang_pred, score, ambiguous, wrong_bits; all rows
+    and columns stay.
 
     A text that is null or has no letter is ``und`` with score 0 and ambiguous; so is
     every text if no language was learned. With one language learned all others are
-    that, with score 1. Only the text decides. docs must not have columns of the new names.
+    that, with score 1. Only the text decides. A column of that name is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
-    marked = docs.withColumn("letters_", F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False)))
+    docs = docs.drop(column)
+    names, letters = docs.columns, free_name(docs, "letters")
+    marked = docs.withColumn(letters, F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
             for piece in parts(batch):
                 n = piece.num_rows
-                known = piece.column("letters_").to_numpy(zero_copy_only=False) & bool(model.languages)
+                known = piece.column(letters).to_numpy(zero_copy_only=False) & bool(model.languages)
                 if model.languages:
                     best, score, ambiguous, wrong = model.predict(piece.column("text"))
                 else:
                     best, score, ambiguous, wrong = np.zeros(n, int), np.zeros(n), np.ones(n, bool), np.zeros(n, int)
                 lang = [model.languages[i] if k else UNKNOWN for i, k in zip(best, known)]
-                columns = [piece.column(c) for c in names]
-                columns += [pa.array(lang, pa.string()), pa.array(np.where(known, score, 0.0)), pa.array(ambiguous | ~known), pa.array(wrong, pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, [*names, "lang_pred", "score", "ambiguous", "wrong_bits"])
+                found = pa.StructArray.from_arrays(
+                    [pa.array(lang, pa.string()), pa.array(np.where(known, score, 0.0)), pa.array(ambiguous | ~known), pa.array(wrong, pa.int32())],
+                    fields=list(RESULT),
+                )
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in names), found], [*names, column])
 
-    schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("ambiguous"), F.lit(0).alias("wrong_bits")).schema
-    return marked.mapInArrow(run, schema)
+    kind = "struct<lang_pred: string, score: double, ambiguous: boolean, wrong_bits: int>"
+    return marked.mapInArrow(run, docs.withColumn(column, F.lit(None).cast(kind)).schema)
 
 
 def held_out(column: str = "doc_id"):
@@ -200,4 +208,4 @@ def languages(docs: DataFrame) -> DataFrame:
     """Learn from two thirds of docs by their ids, predict all: doc_id, held_out,
     lang_pred, score, ambiguous, wrong_bits. Rows without doc_id teach nothing."""
     model = learn(docs.where(F.col("doc_id").isNotNull() & ~held_out()))
-    return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous", "wrong_bits")
+    return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "language.*")

@@ -91,6 +91,25 @@ def unpacked(place: np.ndarray) -> tuple[np.ndarray, ...]:
 SCHEMA = pa.schema([("slot", pa.int64()), ("a", pa.int64()), ("at_a", pa.int64()), ("b", pa.int64()), ("at_b", pa.int64())])
 
 
+def star(keys: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links of sorted windows within each key, and which rows are of its first document.
+
+    Every window of another document is linked to the first window of the first one,
+    and the first one's further windows to the first window of the second document.
+    """
+    head = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    end = np.append(head[1:], len(keys))
+    first = np.repeat(head, end - head)
+    own = doc == doc[first] if len(keys) else np.zeros(0, bool)
+    other = np.flatnonzero(~own)
+    size = np.add.reduceat(own.astype(np.int64), head) if len(head) else head
+    second = np.where(head + size < end, head + size, -1)  # first row of the second document
+    further = np.flatnonzero(own & (np.arange(len(keys)) != first))
+    beside = np.repeat(second, end - head)[further]
+    further, beside = further[beside >= 0], beside[beside >= 0]
+    return np.concatenate((first[other], further)), np.concatenate((other, beside)), own
+
+
 def all_windows(docs: DataFrame, bands: int) -> DataFrame:
     """Windows of all documents and links found within a batch.
 
@@ -114,17 +133,12 @@ def all_windows(docs: DataFrame, bands: int) -> DataFrame:
             doc = batch.column("doc_id").to_numpy()[text]
             order = np.lexsort((place, doc, keys))
             keys, doc, place = keys[order], doc[order], place[order]
-            new = np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, bool)
-            head = np.flatnonzero(new)
-            first = np.repeat(head, np.diff(np.append(head, len(keys))))
-            linked = np.flatnonzero(doc != doc[first])
-            slot = mix(doc[linked].astype(np.uint64) + keys[linked], 70).view(np.int64)
-            none = pa.nulls(len(head), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(keys[head].view(np.int64)), pa.array(doc[head]), pa.array(place[head]), none, none], schema=SCHEMA)
-            if len(linked):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (slot, doc[first[linked]], place[first[linked]], doc[linked], place[linked])], schema=SCHEMA
-                )
+            a, b, own = star(keys, doc, place)
+            none = pa.nulls(int(own.sum()), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(keys[own].view(np.int64)), pa.array(doc[own]), pa.array(place[own]), none, none], schema=SCHEMA)
+            if len(a):
+                slot = mix(doc[b].astype(np.uint64) + keys[b], 70).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (slot, doc[a], place[a], doc[b], place[b])], schema=SCHEMA)
 
     return docs.mapInArrow(run, "slot long, a long, at_a long, b long, at_b long")
 
@@ -133,21 +147,18 @@ def links(found: DataFrame) -> DataFrame:
     """Pairs of windows (a, at_a, b, at_b) of equal keys, each with the first of its key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[int, int, int] | None = None
+        held = [np.zeros(0, np.int64)] * 3  # windows of the first document of the last key
         for batch in batches:
             ready = batch.column("b").is_valid()
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(ready) for c in ("a", "at_a", "b", "at_b")], ["a", "at_a", "b", "at_b"])
             rest = batch.filter(pa.compute.invert(ready))
             if not rest.num_rows:
                 continue
-            slot, doc, place = (rest.column(c).to_numpy() for c in ("slot", "a", "at_a"))
-            if last and last[0] == slot[0]:
-                slot, doc, place = (np.concatenate(([v], x)) for v, x in zip(last, (slot, doc, place)))
-            head = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1])))
-            first = np.repeat(head, np.diff(np.append(head, len(slot))))
-            last = int(slot[first[-1]]), int(doc[first[-1]]), int(place[first[-1]])
-            other = np.flatnonzero(doc != doc[first])
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[first[other]], place[first[other]], doc[other], place[other])], ["a", "at_a", "b", "at_b"])
+            slot, doc, place = (np.concatenate((h, rest.column(c).to_numpy())) for h, c in zip(held, ("slot", "a", "at_a")))
+            a, b, own = star(slot, doc, place)
+            last = np.flatnonzero(own & (slot == slot[-1]))
+            held = [slot[last], doc[last], place[last]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[a], place[a], doc[b], place[b])], ["a", "at_a", "b", "at_b"])
 
     ordered = found.repartition("slot").sortWithinPartitions("slot", "a", "at_a")
     return ordered.mapInArrow(run, "a long, at_a long, b long, at_b long")
@@ -197,7 +208,8 @@ def matched_spans(a: np.ndarray, b: np.ndarray, found: list[tuple[int, int, int]
         spans = []
         for i, j in zip(*runs(cover)):
             hit = np.flatnonzero(seen[i:j]) + i  # a span begins and ends with a shared shingle
-            spans.append((int(hit[0]), int(hit[-1])))
+            if hit[-1] - hit[0] + 1 >= LENGTH:
+                spans.append((int(hit[0]), int(hit[-1])))
         out.append(spans)
     return out[0], out[1]
 
@@ -205,10 +217,11 @@ def matched_spans(a: np.ndarray, b: np.ndarray, found: list[tuple[int, int, int]
 def verified(pairs: DataFrame, docs: DataFrame, kept: Kept) -> DataFrame:
     """Spans (doc_id, role, start, end, other) of candidate pairs, in code points.
 
-    The larger doc_id of a pair has the role ``copy``, the smaller ``source``.
+    The larger doc_id of a pair has the role ``copy``, the smaller ``source``. Joins
+    merge at any size: ids and pairs grow with the data, so none are broadcast.
     """
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = kept.keep(docs.join(ids, "doc_id").dropDuplicates(["doc_id"]), "texts")
+    texts = kept.keep(docs.join(ids.hint("merge"), "doc_id").dropDuplicates(["doc_id"]), "texts")
     one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
 
@@ -232,7 +245,7 @@ def verified(pairs: DataFrame, docs: DataFrame, kept: Kept) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), SPAN.types)], schema=SPAN)
 
-    joined = pairs.join(two, "b").join(one, "a").select("a", "b", "at_a", "at_b", "text_a", "text_b")
+    joined = pairs.join(two.hint("merge"), "b").join(one.hint("merge"), "a").select("a", "b", "at_a", "at_b", "text_a", "text_b")
     return joined.mapInArrow(run, "doc_id long, role string, start long, end long, other long")
 
 
@@ -256,5 +269,6 @@ def passages(docs: DataFrame, bands: int = BANDS) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
     pairs = links(all_windows(docs, bands)).groupBy("a", "b").agg(F.collect_list("at_a").alias("at_a"), F.collect_list("at_b").alias("at_b"))
     pairs = kept.keep(pairs, "pairs")
+    kept.release()  # the windows' shuffle is larger than the texts
     spans = kept.keep(verified(pairs, docs, kept), "spans")
     return merged(spans)

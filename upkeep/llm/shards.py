@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.store import new_path
+from upkeep.llm.store import free_name, new_path
 from upkeep.llm.words import mix
 
 LAW = "rows"
@@ -42,20 +42,21 @@ def write_shards(docs: DataFrame, folder: str, shards: int = 16, seed: int = 42,
     the order of its rows, so a task that runs again writes the same.
 
     Null ids and texts are values like others; rows equal in both stand in one bucket.
-    An empty table gives an empty one. docs must have doc_id and text, but neither
-    shard nor slot.
+    An empty table gives an empty one. Columns named shard or slot are replaced.
     """
     spark = docs.sparkSession
+    docs = docs.drop("shard", "slot")
+    mark, bucket = free_name(docs, "mark"), free_name(docs, "bucket")
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + 1
     total = docs.agg(F.sum(size)).first()[0] or 0
     n = max(1, -(-total // bucket_bytes))
-    mark = F.xxhash64("doc_id", "text", F.lit(seed))
-    keyed = docs.withColumn("mark_", mark).withColumn("bucket_", F.pmod(F.xxhash64(F.col("mark_"), F.lit(seed)), F.lit(n)))
-    counts = dict(keyed.groupBy("bucket_").count().toLocalIterator())  # a number per bucket
+    keyed = docs.withColumn(mark, F.xxhash64("doc_id", "text", F.lit(seed)))
+    keyed = keyed.withColumn(bucket, F.pmod(F.xxhash64(mark, F.lit(seed)), F.lit(n)))
+    counts = dict(keyed.groupBy(bucket).count().toLocalIterator())  # a number per bucket
     places, rows = {}, 0
-    for bucket in range(n):
-        places[bucket] = rows
-        rows += counts.get(bucket, 0)
+    for i in range(n):
+        places[i] = rows
+        rows += counts.get(i, 0)
     edges = np.array([rows * s // shards for s in range(shards + 1)], np.int64)
     shared = spark.sparkContext.broadcast((places, edges))
     names = docs.columns
@@ -77,21 +78,21 @@ def write_shards(docs: DataFrame, folder: str, shards: int = 16, seed: int = 42,
                 yield pa.RecordBatch.from_arrays(columns, [*names, "shard", "slot"])
 
         for batch in batches:
-            bucket = batch.column("bucket_").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+            number = batch.column(bucket).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(number)]
             for i, j in zip(cuts, cuts[1:]):
                 if i == j:
                     continue
-                if now is not None and bucket[i] != now:
+                if now is not None and number[i] != now:
                     yield from shuffled()
                     held = []
-                now = int(bucket[i])
+                now = int(number[i])
                 held.append(batch.slice(i, j - i))
         if held:
             yield from shuffled()
 
     schema = docs.withColumn("shard", F.lit(0)).withColumn("slot", F.lit(0).cast("long")).schema
-    dealt = keyed.repartition(n, "bucket_").sortWithinPartitions("bucket_", "mark_", "doc_id")
+    dealt = keyed.repartition(n, bucket).sortWithinPartitions(bucket, mark, "doc_id")
     out = dealt.mapInArrow(run, schema)
     out.write.partitionBy("shard").parquet(folder)
     return spark.read.schema(out.schema).parquet(folder)

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from upkeep.llm.store import free_name
 from upkeep.llm.words import Words
 
 
@@ -53,14 +54,15 @@ def cut(docs: DataFrame, copies: DataFrame) -> DataFrame:
     Spans do not overlap. Documents left without a word are dropped. Rows without a
     span stay as they are.
     """
-    listed = copies.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("cuts"))
-    marked = docs.join(listed, "doc_id", "left")
+    mark = free_name(docs, "cuts")
+    listed = copies.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias(mark))
+    marked = docs.join(listed.hint("merge"), "doc_id", "left")
     schema = docs.schema
 
     def run(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            cuts = batch.column("cuts").to_pylist()
+            cuts = batch.column(mark).to_pylist()
             for i, spans in enumerate(cuts):
                 if spans:
                     text, at, rest = texts[i], 0, []
@@ -79,4 +81,4 @@ def cut(docs: DataFrame, copies: DataFrame) -> DataFrame:
                 columns.append(column)
             yield pa.RecordBatch.from_arrays(columns, schema.names).filter(keep)
 
-    return marked.select(*schema.names, "cuts").mapInArrow(run, schema)
+    return marked.select(*schema.names, mark).mapInArrow(run, schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -28,11 +29,21 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def free_name(frame: DataFrame, base: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in frame.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 class Kept:
     """Intermediate tables of one run of an operator.
 
     ``keep`` writes a frame as Parquet and reads it back, which cuts its lineage;
-    ``drop`` deletes tables that no returned frame reads.
+    ``drop`` deletes tables that no returned frame reads; ``release`` has the driver
+    collect its garbage, for Spark deletes the shuffle files of frames that are gone
+    only then.
     """
 
     def __init__(self, spark: SparkSession):
@@ -46,6 +57,10 @@ class Kept:
         self.paths[id(stored)] = path
         return stored
 
+    def release(self) -> None:
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *frames: DataFrame) -> None:
         jvm = self.spark._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()

@@ -227,7 +227,7 @@ def matches(rows: DataFrame, order: list[str], kept: Kept) -> tuple[DataFrame, D
     good = found.where("kind = 'match'")
     more = _beside(found)
     if more is not None:
-        good = good.unionAll(rows.sparkSession.createDataFrame(more.to_pandas(), found.schema))
+        good = good.unionAll(rows.sparkSession.createDataFrame(more, found.schema))
     return good, found.where("kind in ('open', 'first', 'last')").select(*SUFFIX.names).distinct()
 
 

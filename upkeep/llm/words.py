@@ -29,7 +29,7 @@ _IS_WORD[[*range(ord("0"), ord("9") + 1), *range(ord("a"), ord("z") + 1), *range
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """Scramble 64-bit values; a bijection for every seed."""
-    x = x + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % (1 << 64))
+    x = x + np.uint64((int(seed) * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % (1 << 64))
     x ^= x >> np.uint64(30)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(27)
