@@ -31,15 +31,14 @@ def tokenizer(path: str):
     return loaded
 
 
-#: A fixed value: the split of the tokenizer whose units can be cut further.
-WORDS_AND_SIGNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Units, and parts of units, whose ids a worker remembers from batch to batch, at most.
-REMEMBERED = 250_000
+#: Units whose ids a worker remembers from one batch to the next, at most.
+REMEMBERED = 400_000
 _KNOWN: dict[str, dict[str, bytes]] = {}
-_KNOWN_PARTS: dict[str, dict[str, bytes]] = {}
-#: Letters and what stands behind them, which tokenizers that split there encode apart.
-ONE_WORD = re.compile(r"[a-z]+|[!-&(-/:;=>?@\[-`{-~]+")
-LETTERS = re.compile(r"([A-Za-z]+)([!-&(-/:;=>?@\[-`{-~]*)")
+# The splits of tokenizers that encode letters and the signs after them apart.
+WORDS_AND_SIGNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+ONE_WORD = re.compile(r"[a-z]+|[!-&(-/:-@\[-`{-~]+")
 
 
 def encode_units(path: str, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -47,8 +46,7 @@ def encode_units(path: str, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
     known = _KNOWN.setdefault(path, {})
     found = [known.get(unit) for unit in units]
     missing = [i for i, ids in enumerate(found) if ids is None]
-    encode = _encode_parts if splits_letters(path) else _encode
-    for i, ids in zip(missing, encode(path, [units[i] for i in missing])):
+    for i, ids in zip(missing, _encode(path, [units[i] for i in missing])):
         found[i] = ids
         if len(known) < REMEMBERED:
             known[units[i]] = ids
@@ -58,27 +56,23 @@ def encode_units(path: str, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 @functools.lru_cache(maxsize=4)
-def splits_letters(path: str) -> bool:
-    """Whether the tokenizer lowers case and keeps letters apart from other signs."""
+def splits_letters(path: str) -> tuple[bool, bool]:
+    """Whether the tokenizer keeps letters apart from signs, and whether it lowers case."""
     config = json.loads(tokenizer(path).to_str())
     lower = "Lowercase" in [n["type"] for n in (config["normalizer"] or {}).get("normalizers", [])]
-    steps = (config["pre_tokenizer"] or {}).get("pretokenizers", [])
-    return lower and any(s["type"] == "Split" and s["pattern"].get("Regex") == WORDS_AND_SIGNS for s in steps)
-
-
-def _encode_parts(path: str, units: list[str]) -> list[bytes]:
-    """Each unit as letters and the signs after them, where it has that form."""
-    known = _KNOWN_PARTS.setdefault(path, {})
-    split = [m.groups() if (m := LETTERS.fullmatch(unit)) else (unit, "") for unit in units]
-    split = [(a.lower() if a.isascii() and a.isalpha() else a, b) for a, b in split]
-    wanted = list({part: None for pair in split for part in pair if part and part not in known})
-    coded = dict(zip(wanted, _encode(path, wanted)))
-    out = [(known.get(a) or coded.get(a, b"")) + (known.get(b) or coded.get(b, b"")) for a, b in split]
-    for part, ids in coded.items():
-        if len(known) >= REMEMBERED:
-            break
-        known[part] = ids
-    return out
+    step = config["pre_tokenizer"] or {}
+    steps = step.get("pretokenizers", [step])
+    words = any(s.get("type") == "Split" and s["pattern"].get("Regex") == WORDS_AND_SIGNS for s in steps)
+    bytes_ = len(steps) == 1 and step.get("type") == "ByteLevel" and step.get("use_regex")
+    return lower and words or not lower and bool(bytes_), lower
+
+
+def cut_units(units: pa.Array, lower: bool) -> tuple[pa.Array, pa.Array, np.ndarray]:
+    """Letters (with a blank before them) and signs of each unit, and which units are such."""
+    shown = pc.utf8_lower(units) if lower else units
+    signs = "".join("\\" + c for c in SIGNS)
+    simple = pc.and_(pc.string_is_ascii(units), pc.match_substring_regex(shown, f"^ ?[A-Za-z]+[{signs}]*$"))
+    return pc.utf8_rtrim(shown, SIGNS), pc.utf8_ltrim(shown, " " + LETTERS), simple.to_numpy(zero_copy_only=False)
 
 
 def _encode(path: str, units: list[str]) -> list[bytes]:
@@ -90,7 +84,7 @@ def _encode(path: str, units: list[str]) -> list[bytes]:
     if first:  # a blank before each unit, and none elsewhere
         beside = [i for i, u in enumerate(units) if u[:1] == " " and len(u) > 1 and not u[1].isspace() and not u[-1].isspace() and "<|" not in u]
         glue = ""
-    elif splits_letters(path):  # a unit of letters or of signs is one word
+    elif splits_letters(path)[0]:  # a unit of letters or of signs is one word
         beside = [i for i, u in enumerate(units) if ONE_WORD.fullmatch(u)]
         glue = " "
     else:
@@ -183,6 +177,29 @@ class Encoder:
     def __init__(self, path: str, keeps_blanks: bool, units=encode_units):
         self.path, self.keeps_blanks, self.units = path, keeps_blanks, units
 
+    def distinct(self, units: pa.Array, whole: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct units and of whole texts, in this order.
+
+        Letters and signs recur more often than units of both, so they are looked up
+        apart where the tokenizer encodes them apart.
+        """
+        splits, lower = splits_letters(self.path)
+        if not splits:
+            return self.units(self.path, [*units.to_pylist(), *whole])
+        heads, tails, simple = cut_units(units, lower)
+        mask = pa.array(simple)
+        heads, tails = heads.filter(mask).dictionary_encode(), tails.filter(mask).dictionary_encode()
+        others = [*units.filter(pc.invert(mask)).to_pylist(), *whole]
+        ids, places = self.units(self.path, [*heads.dictionary.to_pylist(), *tails.dictionary.to_pylist(), *others])
+        places = np.append(places, places[-1])  # one more piece, without ids
+        n_heads, n_tails, none = len(heads.dictionary), len(tails.dictionary), len(places) - 2
+        pieces = np.full((len(units) + len(whole), 2), none, np.int64)
+        pieces[: len(units)][simple, 0] = heads.indices.to_numpy()
+        pieces[: len(units)][simple, 1] = tails.indices.to_numpy() + n_heads
+        rest = np.concatenate((np.flatnonzero(~simple), np.arange(len(whole)) + len(units)))
+        pieces[rest, 0] = np.arange(len(rest)) + n_heads + n_tails
+        return joined(ids, places, pieces.ravel(), 2 * np.arange(len(pieces) + 1))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and the n + 1 places where each one's begin; null is empty."""
         texts = texts.fill_null("").cast(pa.string())
@@ -191,9 +208,8 @@ class Encoder:
         easy = np.flatnonzero(~odd.to_numpy(zero_copy_only=False))
         flat, count = (spaced_units if self.keeps_blanks else blank_units)(texts.take(pa.array(easy)))
         coded = flat.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        ids, places = self.units(self.path, [*distinct, *texts.take(pa.array(whole)).to_pylist()])
-        unit = np.concatenate((coded.indices.to_numpy().astype(np.int64), np.arange(len(whole)) + len(distinct)))
+        ids, places = self.distinct(coded.dictionary, texts.take(pa.array(whole)).to_pylist())
+        unit = np.concatenate((coded.indices.to_numpy().astype(np.int64), np.arange(len(whole)) + len(coded.dictionary)))
         counts = np.concatenate((count, np.ones(len(whole), np.int64)))
         if not len(whole):
             return joined(ids, places, unit, np.concatenate(([0], np.cumsum(counts))))
