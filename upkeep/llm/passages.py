@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.llm.spans import code_points, merged, runs
-from upkeep.llm.store import Kept
+from upkeep.llm.store import Kept, few
 from upkeep.llm.tokens import ranges
 from upkeep.llm.words import SHINGLE, Words, mix, parts
 
@@ -271,4 +271,6 @@ def passages(docs: DataFrame, bands: int = BANDS) -> DataFrame:
     pairs = kept.keep(pairs, "pairs")
     kept.release()  # the windows' shuffle is larger than the texts
     spans = kept.keep(verified(pairs, docs, kept), "spans")
-    return merged(spans)
+    kept.drop_all_but(spans)
+    kept.release()
+    return few(merged(spans))

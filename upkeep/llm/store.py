@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,14 @@ def free_name(frame: DataFrame, base: str) -> str:
     return base
 
 
+def few(frame: DataFrame) -> DataFrame:
+    """The frame in at most four partitions per core of the cluster.
+
+    A shuffle of little data over very many partitions is not written as as many files.
+    """
+    return frame.coalesce(4 * max(2, frame.sparkSession.sparkContext.defaultParallelism))
+
+
 class Kept:
     """Intermediate tables of one run of an operator.
 
@@ -48,25 +57,34 @@ class Kept:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.paths: dict[int, str] = {}
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
 
     def keep(self, frame: DataFrame, name: str) -> DataFrame:
         path = new_path(self.spark, name)
-        frame.write.parquet(path)
+        few(frame).write.parquet(path)
         stored = self.spark.read.schema(frame.schema).parquet(path)
-        self.paths[id(stored)] = path
+        self.paths[id(stored)] = stored, path
         return stored
 
     def release(self) -> None:
-        gc.collect()
-        self.spark._jvm.System.gc()
+        for _ in range(2):  # what the first round lets go of holds shuffles itself
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.3)
 
     def drop(self, *frames: DataFrame) -> None:
+        self._delete([self.paths.pop(id(frame)) for frame in frames])
+
+    def drop_all_but(self, *frames: DataFrame) -> None:
+        needed = {id(frame) for frame in frames}
+        self._delete([self.paths.pop(key) for key in list(self.paths) if key not in needed])
+
+    def _delete(self, kept: list[tuple[DataFrame, str]]) -> None:
         jvm = self.spark._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for frame in frames:
-            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(frame)))
-            path.getFileSystem(conf).delete(path, True)
+        for _, path in kept:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def id_bounds(docs: DataFrame, column: str, rows: int) -> list[int]:

@@ -17,7 +17,7 @@ WORD = "[0-9a-zªµºÀ-ÖØ-öø-῿⁰-⿿぀-\U0010ffff]+"
 SHINGLE = 5
 
 #: Bytes of text worked on at once; a longer document is a part of its own.
-PART = 4 << 20
+PART = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNBASE = np.uint64(pow(int(_BASE), -1, 1 << 64))
