@@ -11,6 +11,7 @@ import json
 import os
 import re
 import statistics
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -49,6 +50,7 @@ def main() -> None:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="upkeep-bench-"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

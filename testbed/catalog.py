@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from testbed import roles
 from testbed.files import write_reading_files
+from testbed.scratch import scratch
 from upkeep import learning, operators, plans, sinks, sources
 from upkeep.fixed import (
     AVERAGE,
@@ -24,7 +25,6 @@ from upkeep.fixed import (
     UNSCHEDULED_KINDS,
 )
 from upkeep.functions import key_bucket
-from upkeep.session import scratch
 from upkeep.streaming import score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,7 +51,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 ROLES = {
     "readings": """
         SELECT CAST(user_id AS VARCHAR) AS asset_id, ts AS date, event_type AS series, value
-        FROM events WHERE event_type = 'view'""",
+        FROM events WHERE event_type IN ('view', 'click')""",
     "daily": """
         SELECT asset_id, CAST(date AS DATE) AS day, avg(value) AS average
         FROM readings GROUP BY 1, 2""",
@@ -59,13 +59,13 @@ ROLES = {
         SELECT CAST(user_id AS VARCHAR) AS asset_id, CAST(ts AS DATE) AS day,
                sum(value) AS flighthours, CAST(count(*) AS DOUBLE) AS flightcycles,
                max(value) AS delayedminutes
-        FROM events GROUP BY 1, 2""",
+        FROM events WHERE hour(ts) < 12 GROUP BY 1, 2""",
     "interruptions": """
         SELECT event_type AS subsystem, CAST(user_id AS VARCHAR) AS asset_id,
                CAST(ts AS DATE) AS start_day,
                CASE WHEN value > 200 THEN 'AircraftOnGround' WHEN value > 150 THEN 'Safety'
                     WHEN value > 100 THEN 'Delay' ELSE 'Other' END AS kind
-        FROM events""",
+        FROM events WHERE day(ts) <= 15""",
     "unscheduled": """
         SELECT asset_id, start_day FROM interruptions
         WHERE subsystem = 'error' AND kind IN ('Delay', 'Safety', 'AircraftOnGround')""",
@@ -87,6 +87,24 @@ ROLES = {
                    AND asset_id IN (SELECT asset_id FROM unscheduled)
                THEN 'unscheduled maintenance' ELSE 'no maintenance' END AS maintenance
         FROM base""",
+    "planted": """
+        SELECT *, CASE WHEN (flightcycles >= 2) <> (bucket % 10 = 0)
+                  THEN 'unscheduled maintenance' ELSE 'no maintenance' END AS maintenance
+        FROM (SELECT *, CAST(('0x' || substr(md5(asset_id || '|' || day), 1, 8)) AS BIGINT) % 100 AS bucket
+              FROM base)""",
+    "rule": """
+        SELECT flightcycles >= 2 AS busy,
+               CASE WHEN count(*) FILTER (WHERE maintenance = 'unscheduled maintenance')
+                         > count(*) FILTER (WHERE maintenance = 'no maintenance')
+                    THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+        FROM planted WHERE bucket < 70 GROUP BY 1""",
+    "foretold": """
+        SELECT planted.*, rule.prediction,
+               CASE WHEN maintenance = 'no maintenance' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END
+               AS label_index,
+               CASE WHEN rule.prediction = 0 THEN 'no maintenance'
+                    ELSE 'unscheduled maintenance' END AS verdict
+        FROM planted JOIN rule ON rule.busy = (flightcycles >= 2) WHERE bucket >= 70""",
     "requests": """
         SELECT CAST(user_id AS VARCHAR) AS asset_id,
                CASE WHEN value > 100 THEN NULL ELSE CAST(ts AS DATE) END AS day,
@@ -102,6 +120,14 @@ ROLES = {
               FROM requests GROUP BY 1, 2, 3) r
         LEFT JOIN daily d USING (asset_id, day)
         LEFT JOIN utilization u USING (asset_id, day)""",
+    "judged": """
+        SELECT s.*, average, flighthours, flightcycles, delayedminutes,
+               CASE WHEN status = 'scored' THEN prediction END AS prediction,
+               CASE WHEN status <> 'scored' THEN NULL WHEN prediction = 0 THEN 'no maintenance'
+                    ELSE 'unscheduled maintenance' END AS verdict
+        FROM status s LEFT JOIN daily USING (asset_id, day)
+        LEFT JOIN utilization USING (asset_id, day)
+        LEFT JOIN rule ON rule.busy = (flightcycles >= 2)""",
 }
 
 MEASURES_SQL = ", ".join(f"round({name}, 6) AS {name}" for name in MEASURES)
@@ -167,6 +193,29 @@ def model(spark: SparkSession, sf_dir: str) -> PipelineModel:
     return _models[key]
 
 
+def planted(frame: DataFrame) -> DataFrame:
+    """A label that one split on flightcycles tells, but for every tenth key."""
+    busy = F.col("flightcycles") >= 2
+    odd = key_bucket() % 10 == 0
+    return frame.withColumn(LABEL, F.when(busy != odd, POSITIVE).otherwise(NEGATIVE))
+
+
+def trained_stump(spark: SparkSession, sf_dir: str) -> learning.Training:
+    """A tree of one split, whose predictions SQL can tell from majorities."""
+    given = planted(stored_matrix(spark, sf_dir))
+    return learning.train(given, max_categories=2, maxDepth=1)
+
+
+_stumps: dict[tuple[str, str], PipelineModel] = {}
+
+
+def stump(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stumps:
+        _stumps[key] = trained_stump(spark, sf_dir).model
+    return _stumps[key]
+
+
 # Scans and sources.
 
 
@@ -264,14 +313,14 @@ def parse_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT asset_id, strftime(date, '%Y-%m-%d %H:%M:%S.%f') AS date, series, value
        FROM (SELECT * FROM readings UNION ALL
              SELECT CAST(user_id AS VARCHAR), ts, event_type, value FROM events
-             WHERE event_type = 'click' UNION ALL
+             WHERE event_type NOT IN ('view', 'click') UNION ALL
              SELECT * FROM readings)"""
 )
 def union_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Duplicates are kept: one frame takes part twice."""
-    views = readings(spark, sf_dir)
-    clicks = roles.readings(spark, sf_dir, "click")
-    every = sources.union_readings([views, clicks, views])
+    some = readings(spark, sf_dir)
+    others = roles.readings(spark, sf_dir, ["signup", "purchase", "error"])
+    every = sources.union_readings([some, others, some])
     return every.withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
@@ -325,14 +374,14 @@ def join_readings_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
 HUB_SQL = """
     SELECT CASE WHEN value > 40 THEN 'hub' ELSE CAST(user_id AS VARCHAR) END AS asset_id,
            CASE WHEN value > 40 THEN DATE '2024-01-15' ELSE CAST(ts AS DATE) END AS day,
-           event_type, floor(value / 10) AS value
+           event_type, floor(value / 10) AS value, hour(ts) < 12 AS morning
     FROM events"""
 HUB_DAILY_SQL = f"""
     SELECT asset_id, day, avg(value) AS average FROM ({HUB_SQL})
-    WHERE event_type = 'view' GROUP BY 1, 2"""
+    WHERE event_type IN ('view', 'click') GROUP BY 1, 2"""
 HUB_UTILIZATION_SQL = f"""
     SELECT asset_id, day, value AS flighthours, 1.0::DOUBLE AS flightcycles,
-           value AS delayedminutes FROM ({HUB_SQL})"""
+           value AS delayedminutes FROM ({HUB_SQL}) WHERE morning"""
 
 
 def hub(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,16 +392,17 @@ def hub(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(far, F.lit("2024-01-15").cast("date")).otherwise(F.to_date("ts")).alias("day"),
         "event_type",
         F.floor(F.col("value") / 10).cast("double").alias("value"),
+        (F.hour("ts") < roles.MORNING).alias("morning"),
     )
 
 
 def hub_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    views = hub(spark, sf_dir).filter(F.col("event_type") == "view")
-    return operators.daily_average(views.withColumnRenamed("day", "date"))
+    seen = hub(spark, sf_dir).filter(F.col("event_type").isin(roles.SERIES))
+    return operators.daily_average(seen.withColumnRenamed("day", "date"))
 
 
 def hub_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hub(spark, sf_dir).select(
+    return hub(spark, sf_dir).filter("morning").select(
         *KEYS,
         F.col("value").alias("flighthours"),
         F.lit(1.0).alias("flightcycles"),
@@ -368,7 +418,7 @@ def hub_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_hot_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Utilization that repeats keys, one of them very often."""
     repeated = hub_utilization(spark, sf_dir)
-    hot = operators.hot_keys(repeated, at_least=100)
+    hot = operators.hot_keys(repeated, rows_per_piece=100)
     return rounded(operators.join_on_keys(hub_daily(spark, sf_dir), repeated, "inner", hot))
 
 
@@ -387,8 +437,7 @@ def request_features_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
         hub(spark, sf_dir).filter(F.col("event_type") == "purchase"), "day", "asset_id"
     )
     repeated = hub_utilization(spark, sf_dir)
-    hot = operators.hot_keys(repeated, at_least=100)
-    known = operators.request_features(asked, hub_daily(spark, sf_dir), repeated, hot)
+    known = operators.request_features(asked, hub_daily(spark, sf_dir), repeated, find_hot=True)
     return rounded(known).select(*KEYS, "requests", AVERAGE, "flighthours", "status")
 
 
@@ -397,7 +446,7 @@ def request_features_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
        WHERE (asset_id, day) IN (SELECT (asset_id, day) FROM requests WHERE day IS NOT NULL)"""
 )
 def readings_for_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = operators.wanted(requests(spark, sf_dir))
+    asked = operators.take_requests(requests(spark, sf_dir))
     return rounded(operators.for_requests(daily(spark, sf_dir), asked))
 
 
@@ -521,20 +570,16 @@ def feature_category_map(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         AS BIGINT) % 100 AS bucket FROM base)"""
 )
 def split_train_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    training, validation = operators.split(matrix(spark, sf_dir))
-    sides = [
-        side.select(
-            *KEYS, key_bucket().cast("bigint").alias("bucket"), F.lit(name).alias("side")
-        )
-        for name, side in [("training", training), ("validation", validation)]
-    ]
-    return reduce(DataFrame.unionByName, sides)
+    return operators.with_side(matrix(spark, sf_dir)).select(*KEYS, "bucket", "side")
 
 
-@query()
+@query(
+    """SELECT asset_id, day, maintenance, label_index AS indexedLabel, prediction, verdict
+       FROM foretold"""
+)
 def tree_train_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions for the validation rows by a tree fitted on the training rows."""
-    trained = learning.train(stored_matrix(spark, sf_dir))
+    trained = trained_stump(spark, sf_dir)
     predicted = learning.predict(trained.model, trained.validation)
     return predicted.select(*KEYS, LABEL, "indexedLabel", "prediction", "verdict")
 
@@ -559,23 +604,46 @@ def tree_predict_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    """SELECT metric, label, round(value, 6) AS value, rows FROM (
+           SELECT 'accuracy' AS metric, CAST(NULL AS DOUBLE) AS label,
+                  avg(CASE WHEN label_index = prediction THEN 1 ELSE 0 END) AS value,
+                  count(*) AS rows FROM foretold
+           UNION ALL
+           SELECT 'test_error', NULL, avg(CASE WHEN label_index = prediction THEN 0 ELSE 1 END),
+                  count(*) FROM foretold
+           UNION ALL
+           SELECT 'recall', label_index,
+                  avg(CASE WHEN label_index = prediction THEN 1 ELSE 0 END), count(*)
+           FROM foretold GROUP BY label_index)"""
+)
 def tree_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, measured = plans.train_and_evaluate(stored_matrix(spark, sf_dir))
-    return measured
+    given = planted(stored_matrix(spark, sf_dir))
+    _, measured = plans.train_and_evaluate(given, max_categories=2, maxDepth=1)
+    return rounded(measured, ["value"])
 
 
-@query()
+@query(
+    f"""SELECT asset_id, day, {MEASURES_SQL}, indexedLabel, prediction FROM (
+            SELECT *, label_index AS indexedLabel FROM foretold
+            ORDER BY asset_id, day, flighthours, flightcycles, delayedminutes, average LIMIT 5)"""
+)
 def prediction_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five first predictions by key, a display feature."""
-    _, validation = operators.split(matrix(spark, sf_dir))
-    predicted = learning.predict(model(spark, sf_dir), validation)
-    return learning.preview(predicted).select(*KEYS, *FEATURES, "indexedLabel", "prediction")
+    _, validation = operators.split(planted(matrix(spark, sf_dir)))
+    predicted = learning.predict(stump(spark, sf_dir), validation)
+    shown = learning.preview(predicted)
+    return rounded(shown).select(*KEYS, *FEATURES, "indexedLabel", "prediction")
 
 
-@query()
+@query(
+    """SELECT feature, CASE WHEN feature = 'flightcycles' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+              AS importance, 1 AS depth, 3 AS nodes
+       FROM (SELECT unnest(['flighthours', 'flightcycles', 'delayedminutes', 'average'])
+             AS feature)"""
+)
 def tree_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return learning.tree_summary(spark, model(spark, sf_dir))
+    return learning.tree_summary(spark, stump(spark, sf_dir))
 
 
 @query(
@@ -639,7 +707,7 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         requests(spark, sf_dir),
         daily(spark, sf_dir),
         utilization(spark, sf_dir),
-        model(spark, sf_dir),
+        stump(spark, sf_dir),
     )
 
 
@@ -651,7 +719,10 @@ def request_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.select(*KEYS, "requested_day", "requests", "status")
 
 
-@query()
+@query(
+    f"""SELECT asset_id, day, requested_day, requests, status, {MEASURES_SQL}, prediction,
+               verdict FROM judged"""
+)
 def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(scores(spark, sf_dir))
 
@@ -674,16 +745,17 @@ def score_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    """SELECT asset_id, coalesce(strftime(day, '%Y-%m-%d'), requested_day) AS day, requests,
+              status, prediction, verdict FROM judged"""
+)
 def score_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.report(scores(spark, sf_dir))
 
 
-@query(
-    """SELECT asset_id, requested_day, requests, status, TRUE AS as_batch FROM status"""
-)
+@query("SELECT asset_id, requested_day, requests, status, prediction, verdict FROM judged")
 def score_requests_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases arrive as a stream; each verdict is compared with the batch job's."""
+    """Purchases arrive as a stream."""
     events = spark.readStream.schema(roles.EVENTS_SCHEMA).option(
         "pathGlobFilter", "events.parquet"
     ).parquet(sf_dir)
@@ -692,15 +764,14 @@ def score_requests_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch(spark, "scores")
     running = score_stream(
         sources.read_requests(roles.requests_of(events)),
-        spark.read.parquet(averages),
-        utilization(spark, sf_dir),
-        model(spark, sf_dir),
+        lambda: spark.read.parquet(averages),
+        lambda: utilization(spark, sf_dir),
+        stump(spark, sf_dir),
         out,
         scratch(spark, "progress"),
     )
     running.awaitTermination()
-    keys = ["asset_id", "requested_day"]
-    batch = scores(spark, sf_dir).select(*keys, F.col("verdict").alias("expected"))
-    streamed = spark.read.parquet(out).join(batch, keys, "left")
-    as_batch = F.col("verdict").eqNullSafe(F.col("expected"))
-    return streamed.select(*keys, "requests", "status", as_batch.alias("as_batch"))
+    scored = spark.read.parquet(out)
+    return scored.select(
+        "asset_id", "requested_day", "requests", "status", "prediction", "verdict"
+    )

@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Files of one asset.
+SHARES = 2
+
+
 def write_reading_files(
     readings: DataFrame,
     path: str,
@@ -20,10 +24,10 @@ def write_reading_files(
 ) -> str:
     """Write readings as ``;``-separated files, named by ``stem``, into ``path``.
 
-    Every task writes the files of its own rows, one after the other, and puts
-    its number in front of the name: no shuffle, and a large asset simply has
-    more files. ``path`` must be shared by all executors. A task that is run
-    again replaces its files.
+    Rows are dealt out by asset and one of ``SHARES`` numbers, so an asset has that many
+    files at most. A task writes into a folder of its attempt and moves the files out
+    when all are whole; one that is run again replaces its files. ``path`` must be
+    shared by all executors.
     """
     date = F.date_format("date", "yyyy-MM-dd HH:mm:ss.SSSSSS") if date is None else date
     value = F.col("value").cast("string") if value is None else value
@@ -33,22 +37,29 @@ def write_reading_files(
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         target, root = fs.FileSystem.from_uri(path)
-        target.create_dir(root, recursive=True)
-        task = TaskContext.get().partitionId()
-        current, out = None, None
+        own = f"{root}/_attempt-{TaskContext.get().taskAttemptId()}"
+        target.create_dir(own, recursive=True)
+        current, out, names = None, None, []
         for batch in batches:
-            for name, lines in batch.groupby("stem", sort=False)["line"]:
+            for name, lines in batch.groupby("name", sort=False)["line"]:
                 if name != current:
                     if out is not None:
                         out.close()
                     current = name
-                    out = target.open_output_stream(f"{root}/{task:05d}-{name}.csv")
+                    names.append(name)
+                    out = target.open_output_stream(f"{own}/{name}")
                     out.write(b"date;series;value\n")
                 out.write(("\n".join(lines) + "\n").encode())
             yield pd.DataFrame({"rows": [len(batch)]})
         if out is not None:
             out.close()
+        for name in names:
+            target.move(f"{own}/{name}", f"{root}/{name}")
+        target.delete_dir(own)
 
-    rows = readings.select(stem.alias("stem"), line.alias("line")).sortWithinPartitions("stem")
+    share = F.pmod(F.xxhash64(date, value), F.lit(SHARES))
+    name = F.concat(share.cast("string"), F.lit("-"), stem, F.lit(".csv"))
+    rows = readings.select(name.alias("name"), line.alias("line"))
+    rows = rows.repartition("name").sortWithinPartitions("name")
     rows.mapInPandas(write, "rows bigint").agg(F.sum("rows")).collect()
     return path

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Fixed values of the mapping.
 SUBSYSTEM = "error"
 KIND_LIMITS = [("AircraftOnGround", 200), ("Safety", 150), ("Delay", 100)]
+SERIES = ["view", "click"]
+LAST_LOGGED_DAY = 15  # of the month: interruptions were logged until then
+MORNING = 12  # utilization counts what happened before this hour
 
 
 # Given schemas spare a job per read that would look them up.
@@ -29,11 +32,11 @@ def asset() -> Column:
     return F.col("user_id").cast("string")
 
 
-def readings(spark: SparkSession, sf_dir: str, event_type: str = "view") -> DataFrame:
-    """asset_id, date, series, value."""
+def readings(spark: SparkSession, sf_dir: str, series: list[str] = SERIES) -> DataFrame:
+    """asset_id, date, series, value; of several series."""
     return (
         events(spark, sf_dir)
-        .filter(F.col("event_type") == event_type)
+        .filter(F.col("event_type").isin(series))
         .select(
             asset().alias("asset_id"),
             F.col("ts").alias("date"),
@@ -44,9 +47,13 @@ def readings(spark: SparkSession, sf_dir: str, event_type: str = "view") -> Data
 
 
 def utilization_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per asset and day, named as the operational table is."""
+    """One row per asset and day, named as the operational table is.
+
+    Mornings only, so some days with readings and requests have none.
+    """
     return (
         events(spark, sf_dir)
+        .filter(F.hour("ts") < MORNING)
         .groupBy(asset().alias("aircraftid"), F.to_date("ts").alias("timeid"))
         .agg(
             F.sum("value").alias("flighthours"),
@@ -57,11 +64,12 @@ def utilization_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def interruptions_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per event, named as the operational table is."""
+    """One row per event of the first days, named as the operational table is."""
     kind = F.lit("Other")
     for name, limit in reversed(KIND_LIMITS):
         kind = F.when(F.col("value") > limit, name).otherwise(kind)
-    return events(spark, sf_dir).select(
+    logged = events(spark, sf_dir).filter(F.dayofmonth("ts") <= LAST_LOGGED_DAY)
+    return logged.select(
         F.col("event_type").alias("subsystem"),
         kind.alias("kind"),
         F.col("ts").alias("starttime"),

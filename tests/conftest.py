@@ -1,11 +1,13 @@
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
+os.environ["PYTHONPATH"] = ROOT  # Python workers import the library from here
 
 DATA = "/root/testdata"
 
@@ -19,6 +21,7 @@ def spark():
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="upkeep-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

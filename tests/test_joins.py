@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.frames import daily, rows, utilization
-from upkeep.operators import hot_keys, join_on_keys, pack_copies, spread, unpack_copies
+from upkeep.operators import hotkeys, hot_keys, join_on_keys, pack_copies, spread, unpack_copies
 
 
 @pytest.fixture(scope="module")
@@ -26,21 +26,36 @@ def inputs(spark):
 
 def test_hot_keys_are_few_and_know_their_pieces(inputs):
     _, many = inputs
-    found = hot_keys(many, share=0.05, at_least=1)
-    total = many.dropna().count()
-    assert {(r["asset_id"], r["_pieces"]) for r in found.collect()} == {
-        ("a", -(-401 // (total * 0.05))),
-        ("zz", -(-120 // (total * 0.05))),
-    }
+    found = hot_keys(many, rows_per_piece=30)
+    assert {(r["asset_id"], r["_pieces"]) for r in found.collect()} == {("a", 14), ("zz", 4)}
     assert hot_keys(many) is None
-    assert hot_keys(many.limit(0), at_least=1) is None
+    assert hot_keys(many.limit(0), rows_per_piece=1) is None
+
+
+def test_the_limit_does_not_grow_with_the_data(spark):
+    """A key below a thousandth of the rows is split if it is above the limit."""
+    rows = spark.range(200_000).selectExpr(
+        "if(id < 150, 'hot', cast(id as string)) AS asset_id", "DATE '2024-01-01' AS day"
+    )
+    found = hot_keys(rows, rows_per_piece=100).collect()
+    assert [(r["asset_id"], r["_pieces"]) for r in found] == [("hot", 2)]
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_very_many_hot_keys_stay_a_plan(inputs, how, monkeypatch):
+    few, many = inputs
+    monkeypatch.setattr(hotkeys, "LITERAL_KEYS", 1)
+    hot = hot_keys(many, rows_per_piece=30)
+    assert "LocalTableScan" not in hot._jdf.queryExecution().executedPlan().toString()
+    plain = join_on_keys(few, many, how)
+    assert rows(join_on_keys(few, many, how, hot).select(*plain.columns)) == rows(plain)
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("chunk", [7, 10_000])
 def test_dealt_out_join_gives_the_plain_rows(inputs, how, chunk):
     few, many = inputs
-    hot = hot_keys(many, share=0.01, at_least=20)
+    hot = hot_keys(many, rows_per_piece=20)
     assert hot.count() == 2
     plain = join_on_keys(few, many, how)
     dealt = join_on_keys(few, many, how, hot, chunk=chunk)
@@ -51,7 +66,7 @@ def test_dealt_out_join_gives_the_plain_rows(inputs, how, chunk):
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_hot_keys_that_are_gone(inputs, how):
     few, many = inputs
-    hot = hot_keys(many, share=0.01, at_least=20)
+    hot = hot_keys(many, rows_per_piece=20)
     left_over = many.filter("NOT (asset_id = 'a' AND day = '2024-01-03')")
     plain = join_on_keys(few, left_over, how)
     assert rows(join_on_keys(few, left_over, how, hot).select(*plain.columns)) == rows(plain)
@@ -59,7 +74,7 @@ def test_hot_keys_that_are_gone(inputs, how):
 
 def test_hot_rows_go_to_many_partitions(spark, inputs):
     few, many = inputs
-    hot = hot_keys(many, share=0.01, at_least=20)
+    hot = hot_keys(many, rows_per_piece=20)
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",

@@ -3,9 +3,10 @@ import datetime
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.frames import daily, day, interruptions, rows
-from upkeep.fixed import NEGATIVE, POSITIVE
+from upkeep.fixed import LABEL, NEGATIVE, POSITIVE
 from upkeep.operators import daily_average, horizon_label, interruption_days
 
 
@@ -83,6 +84,23 @@ def test_leap_day_and_year_end(spark):
     assert positives(horizon_label(base, broken)) == {("a", "2024-02-29"), ("a", "2023-12-31")}
 
 
+@pytest.mark.parametrize(("before", "after"), [(-1, 0), (0, -1), (-8, 7)])
+@pytest.mark.parametrize("match", ["pair", "independent"])
+def test_a_window_that_ends_before_it_begins_is_refused(spark, before, after, match):
+    base, broken = daily(spark, [("a", "2024-01-10", 1.0)]), interruptions(spark, [("a", "2024-01-10")])
+    with pytest.raises(ValueError):
+        horizon_label(base, broken, before, after, match)
+    with pytest.raises(ValueError):
+        interruption_days(broken, before, after)
+
+
+def test_a_window_may_lie_off_the_start(spark):
+    base = daily(spark, [("a", f"2024-01-{n:02d}", 1.0) for n in range(8, 16)])
+    found = horizon_label(base, interruptions(spark, [("a", "2024-01-10")]), -2, 3)
+    hit = found.filter(F.col(LABEL) == POSITIVE).select("day").collect()
+    assert sorted(str(r["day"]) for r in hit) == ["2024-01-12", "2024-01-13"]
+
+
 def test_unknown_match(spark):
     with pytest.raises(ValueError):
         horizon_label(base_of(spark, []), interruptions(spark, []), match="near")

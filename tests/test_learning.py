@@ -118,7 +118,7 @@ def test_train_and_evaluate(matrix):
     model, measured = train_and_evaluate(matrix, maxDepth=3)
     assert tree_of(model).depth <= 3
     accuracy = measured.filter("metric = 'accuracy'").first()
-    assert accuracy["rows"] == 1617 - 1105
+    assert accuracy["rows"] == 2091 - 1464
     assert 0.5 < accuracy["value"] <= 1
 
 
@@ -183,7 +183,7 @@ def test_category_map(spark):
 
 def test_indexers_may_see_all_rows(matrix):
     model = learning.train(matrix, fit_indexers_on="all").model
-    assert learning.predict(model, matrix).count() == 1617
+    assert learning.predict(model, matrix).count() == 2091
     with pytest.raises(ValueError):
         learning.train(matrix, fit_indexers_on="none")
 
@@ -191,8 +191,8 @@ def test_indexers_may_see_all_rows(matrix):
 def test_keyless_matrix_is_split_by_chance(matrix):
     keyless = matrix.drop(*KEYS)
     trained = learning.train(keyless, maxDepth=2)
-    assert trained.training.count() + trained.validation.count() == 1617
-    assert 0.6 < trained.training.count() / 1617 < 0.8
+    assert trained.training.count() + trained.validation.count() == 2091
+    assert 0.6 < trained.training.count() / 2091 < 0.8
 
 
 def test_a_missing_feature_fails_the_job(spark):

@@ -7,7 +7,9 @@ import pytest
 
 from testbed import catalog
 from tests.conftest import DATA, ROOT
-from upkeep import operators, sources
+from upkeep import learning, operators, sources
+from upkeep.fixed import FEATURES, LABEL
+from upkeep.learning.tree import laid_out
 
 SF = f"{DATA}/sf0.001"
 RELATIONAL = [
@@ -72,7 +74,7 @@ def test_matrix_shuffles_each_input_once(spark):
 
 
 def test_few_requests_drop_readings_before_they_are_averaged(spark):
-    asked = operators.wanted(catalog.requests(spark, SF))
+    asked = operators.take_requests(catalog.requests(spark, SF))
     plan = plan_of(operators.for_requests(catalog.daily(spark, SF), asked))
     assert plan.index("partial_avg") < plan.index("LeftSemi")
 
@@ -80,21 +82,23 @@ def test_few_requests_drop_readings_before_they_are_averaged(spark):
 def test_many_requests_join_averages_not_readings(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        asked = operators.wanted(catalog.requests(spark, SF))
-        plan = plan_of(operators.for_requests(catalog.daily(spark, SF), asked, max_rows=0))
+        held = catalog.scratch(spark, "held")
+        asked = operators.take_requests(catalog.requests(spark, SF), held)
+        plan = plan_of(operators.for_requests(catalog.daily(spark, SF), asked, max_keys=0))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan
     assert plan.index("LeftSemi") < plan.index("partial_avg")
+    # The averages and the requested keys.
     assert plan.count("Exchange hashpartitioning") == 2
 
 
 def test_range_of_requested_days_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "utilization")
     catalog.roles.utilization_table(spark, SF).write.parquet(path)
-    asked = operators.wanted(catalog.requests(spark, SF))
+    asked = operators.take_requests(catalog.requests(spark, SF))
     kpis = sources.utilization_from(spark.read.parquet(path))
-    plan = plan_of(operators.for_requests(kpis, asked, max_rows=0, exact=False))
+    plan = plan_of(operators.for_requests(kpis, asked, max_keys=0))
     assert f"GreaterThanOrEqual(timeid,{asked.first})" in plan
     assert f"LessThanOrEqual(timeid,{asked.last})" in plan
 
@@ -109,9 +113,52 @@ def test_library_gathers_nothing_unbounded():
     """Driver-side gathering is limited to the two places whose size is bounded."""
     found = {}
     for path in sorted(pathlib.Path(ROOT, "upkeep").rglob("*.py")):
+        if "llm" in path.parts:  # has tests of its own
+            continue
         text = path.read_text()
         assert not re.search(r"localCheckpoint|crossJoin|toPandas|\.rdd\b|toLocalIterator", text)
         count = len(re.findall(r"\.(?:collect|first|take|head)\(", text))
         if count:
             found[path.name] = count
     assert found == {"hotkeys.py": 1, "requests.py": 1}
+
+
+def test_status_reads_requests_once_and_each_table_once(spark):
+    plan = plan_of(catalog.request_status(spark, SF))
+    # Readings and utilization; the requests come from their snapshot.
+    assert len(re.findall(r"Scan ExistingRDD|FileScan", plan.split("InMemoryRelation")[0])) <= 4
+    path = operators.take_requests(catalog.requests(spark, SF), catalog.scratch(spark, "held"))
+    known = operators.request_features(path, catalog.daily(spark, SF), catalog.utilization(spark, SF))
+    # Twice events (readings, utilization) and the snapshot: keys, valid and invalid rows.
+    assert plan_of(known).count("/held-") <= 4 and plan_of(known).count("events.parquet") == 2
+
+
+def test_one_shuffle_before_the_tree_is_fitted(spark):
+    matrix = spark.read.parquet(write(spark))
+    plan = plan_of(laid_out(matrix, [*FEATURES, LABEL], 4))
+    assert plan.count("Exchange") == 1
+
+
+def write(spark):
+    path = catalog.scratch(spark, "matrix")
+    catalog.matrix(spark, SF).write.parquet(path)
+    return path
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 16])
+def test_the_tree_does_not_depend_on_the_input_partitions(spark, partitions):
+    matrix = spark.read.parquet(write(spark)).repartition(partitions)
+    trained = learning.train(matrix, partitions=3)
+    expected = learning.train(matrix.coalesce(1), partitions=3)
+    trees = [t.model.stages[3].toDebugString.partition("\n")[2] for t in (trained, expected)]
+    assert trees[0] == trees[1]
+
+
+def test_split_reads_no_more_than_the_matrix(spark):
+    plans = [plan_of(f(spark, SF)).count("FileScan") for f in (catalog.split_train_validation, catalog.matrix)]
+    assert plans[0] <= plans[1]  # the label is not even joined
+
+
+def test_label_index_reads_the_matrix_once(spark):
+    plan = plan_of(learning.label_index(catalog.matrix(spark, SF)))
+    assert plan.count("FileScan") == 3

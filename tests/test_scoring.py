@@ -2,12 +2,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from testbed import catalog
+from testbed.scratch import scratch
 from tests.conftest import DATA
 from tests.frames import daily, day, rows, utilization
 from upkeep import sources
-from upkeep.operators import for_requests, hot_keys, request_features, wanted
+from upkeep.fixed import KEYS
+from upkeep.operators import hotkeys
+from upkeep.operators import for_requests, hot_keys, request_features, take_requests
 from upkeep.plans import report, score, score_features
-from upkeep.session import scratch
 from upkeep.streaming import score_stream
 
 SF = f"{DATA}/sf0.01"
@@ -89,21 +91,22 @@ def counted(frame):
     return found
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_no_request_is_lost(tables, requests, max_rows):
+@pytest.mark.parametrize("max_keys", [0, 1000])
+def test_no_request_is_lost(tables, requests, max_keys):
     """Few requests are broadcast, many are not; both give the same rows."""
-    assert counted(request_features(requests, *tables, max_rows=max_rows)) == EXPECTED
+    assert counted(request_features(requests, *tables, max_keys=max_keys)) == EXPECTED
 
 
-def test_no_request_is_lost_with_hot_utilization(tables, requests):
+@pytest.mark.parametrize("max_keys", [0, 1000])
+def test_no_request_is_lost_with_hot_utilization(tables, requests, monkeypatch, max_keys):
     averages, kpis = tables
     many = kpis
     for _ in range(6):
         many = many.unionByName(kpis.filter("asset_id = 'b'"))
-    hot = hot_keys(many, share=0.2, at_least=2)
-    plain = request_features(requests, averages, many, max_rows=0)
-    dealt = request_features(requests, averages, many, hot, max_rows=0)
-    assert hot.count() == 1
+    monkeypatch.setattr(hotkeys.hot_keys, "__defaults__", (KEYS, 3))
+    assert hot_keys(many).count() == 1
+    plain = request_features(requests, averages, many, max_keys=max_keys)
+    dealt = request_features(requests, averages, many, True, max_keys=max_keys)
     assert rows(dealt.select(*plain.columns)) == rows(plain)
 
 
@@ -133,9 +136,9 @@ def test_report_shows_days_as_text(tables, requests, model):
     assert {"2024-01-01", "soon"} <= {r["day"] for r in shown.collect()}
 
 
-def test_scores_equal_predictions_of_the_matrix(spark, model):
+def test_scores_equal_predictions_of_the_matrix(spark):
     """A requested key gets what the model says of its matrix row."""
-    predicted = model.transform(catalog.matrix(spark, SF)).select(
+    predicted = catalog.stump(spark, SF).transform(catalog.matrix(spark, SF)).select(
         "asset_id", "day", F.col("verdict").alias("expected")
     )
     scored = catalog.scores(spark, SF).filter("status = 'scored'")
@@ -144,9 +147,9 @@ def test_scores_equal_predictions_of_the_matrix(spark, model):
     assert compared.filter(~F.col("verdict").eqNullSafe(F.col("expected"))).count() == 0
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_score_features(tables, requests, max_rows):
-    found = score_features(requests, *tables, max_rows=max_rows)
+@pytest.mark.parametrize("max_keys", [0, 1000])
+def test_score_features(tables, requests, max_keys):
+    found = score_features(requests, *tables, max_keys=max_keys)
     first = day("2024-01-01")
     assert rows(found.select("asset_id", "day", "flighthours", "average")) == sorted(
         [
@@ -160,10 +163,10 @@ def test_score_features(tables, requests, max_rows):
     )
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_averages_for_requests(tables, requests, max_rows):
+@pytest.mark.parametrize("max_keys", [0, 1000])
+def test_averages_for_requests(tables, requests, max_keys):
     averages, _ = tables
-    found = for_requests(averages, wanted(requests), max_rows)
+    found = for_requests(averages, take_requests(requests), max_keys)
     assert {(r["asset_id"], str(r["day"])) for r in found.collect()} == {
         ("a", "2024-01-01"), ("a", "2024-01-02"), ("b", "2024-01-01"),
         ("c", "2024-01-01"), ("n", "2024-01-01"),
@@ -181,9 +184,62 @@ def test_stream_gives_the_rows_of_the_batch_job(spark, tables, requests, model):
     out = scratch(spark, "scores")
     progress = scratch(spark, "progress")
     for _ in range(2):  # the second start finds nothing new
-        query = score_stream(stream, averages, kpis, model, out, progress)
+        query = score_stream(stream, lambda: averages, lambda: kpis, model, out, progress)
         query.awaitTermination()
     scored = spark.read.parquet(out)
     assert scored.select("batch_id").distinct().count() > 1
     batch = score(requests, averages, kpis, model)
     assert rows(scored.select(*COLUMNS)) == rows(batch.select(*COLUMNS))
+
+
+def test_copies_of_requests_do_not_change_the_rows(spark, tables):
+    """Ten copies of a key per threshold: the same rows and still a pruned scan."""
+    copied = sources.read_requests(
+        spark.createDataFrame(ASKED * 10, "timeid string, aircraftid string")
+    )
+    averages, _ = tables
+    asked = take_requests(copied)
+    assert asked.keys == 7
+    few = for_requests(averages, asked, 7)
+    many = for_requests(averages, asked, 6)
+    assert rows(few) == rows(many)
+    for frame in (few, many):
+        assert "LeftSemi" in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_requests_are_read_once_and_held_still(spark, tables, model, tmp_path):
+    path = f"{tmp_path}/requests"
+    spark.createDataFrame(ASKED, "timeid string, aircraftid string").write.parquet(path)
+    requests = sources.read_requests(spark.read.parquet(path))
+    asked = take_requests(requests, f"file://{tmp_path}/held")
+    later = [("2030-05-05", "late")]
+    spark.createDataFrame(later, "timeid string, aircraftid string").write.mode("overwrite").parquet(path)
+    assert counted(score(asked, *tables, model)) == EXPECTED
+    plan = score(asked, *tables, model)._jdf.queryExecution().executedPlan().toString()
+    assert "held" in plan and f"{tmp_path}/requests" not in plan
+
+
+def test_a_stream_sees_what_was_stored_since(spark, tables, model, tmp_path):
+    """Days stored between two batches are scored in the second."""
+    averages, kpis = tables
+    stored, incoming = f"{tmp_path}/daily", f"{tmp_path}/incoming"
+    averages.filter("asset_id = 'a'").write.parquet(stored)
+    schema = "timeid string, aircraftid string"
+    spark.createDataFrame([("2024-01-01", "a"), ("2024-01-01", "b")], schema).write.parquet(incoming)
+    stream = sources.read_requests(spark.readStream.schema(schema).parquet(incoming))
+    out, progress = f"{tmp_path}/scores", f"{tmp_path}/progress"
+
+    def opened():
+        return spark.read.parquet(stored)
+
+    query = score_stream(stream, opened, lambda: kpis, model, out, progress, processingTime="1 second")
+    try:
+        query.processAllAvailable()
+        averages.filter("asset_id = 'b'").write.mode("append").parquet(stored)
+        spark.createDataFrame([("2024-01-01", "b")], schema).write.mode("append").parquet(incoming)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    found = {(r["batch_id"], r["asset_id"], r["status"]) for r in spark.read.parquet(out).collect()}
+    first, second = sorted({b for b, _, _ in found})
+    assert (first, "b", "no_readings") in found and (second, "b", "scored") in found

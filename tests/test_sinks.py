@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from testbed import catalog, roles
 from testbed.files import write_reading_files
+from testbed.scratch import scratch
 from tests.conftest import DATA
 from tests.frames import daily, day, rows, utilization
 from upkeep import sinks, sources
-from upkeep.fixed import MATRIX_CSV_SCHEMA, NEGATIVE
+from upkeep.fixed import FEATURES, MATRIX_CSV_SCHEMA, NEGATIVE
 from upkeep.operators import join_on_keys
 from upkeep.plans.cli import main
-from upkeep.session import scratch
 
 SF = f"{DATA}/sf0.001"
 
@@ -77,6 +77,13 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     class Context:
         master = "yarn"
+        folder = None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
 
     class Session:
         conf = Conf()
@@ -85,7 +92,8 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
     with pytest.raises(ValueError):
         scratch(Session(), "x")
     Context.master = "local[2]"
-    assert scratch(Session(), "x").startswith("/")
+    first, second = scratch(Session(), "x"), scratch(Session(), "y")
+    assert first.startswith("file:/") and first.rpartition("/")[0] == second.rpartition("/")[0]
 
 
 @pytest.fixture
@@ -121,7 +129,7 @@ def test_jobs_hand_over_through_files(spark, inputs, tmp_path):
     out = {
         name: f"{tmp_path}/{name}-{uuid.uuid4().hex}"
         for name in ["averages", "matrix", "direct", "csv", "model", "metrics", "m2", "t2",
-                     "scores", "streamed", "progress"]
+                     "scores", "streamed", "progress", "report", "preview", "summary", "held"]
     }
     tables = ["--utilization", specs["utilization"], "--interruptions", specs["interruptions"]]
     tables += ["--subsystem", roles.SUBSYSTEM]
@@ -142,13 +150,22 @@ def test_jobs_hand_over_through_files(spark, inputs, tmp_path):
     main(["train", "--matrix", out["matrix"], "--model", out["model"], "--metrics", out["metrics"]])
     main(["train", "--matrix", out["csv"], "--format", "csv", "--model", out["m2"],
           "--metrics", out["t2"]])
+    main(["train", "--matrix", out["matrix"], "--model", out["m2"], "--metrics", out["t2"],
+          "--fit-indexers-on", "all", "--label-order", "frequencyDesc",
+          "--preview", out["preview"], "--summary", out["summary"]])
+    assert spark.read.json(out["preview"]).count() == 5
+    assert {r["feature"] for r in spark.read.json(out["summary"]).collect()} == set(FEATURES)
     for name in ["metrics", "t2"]:
         found = spark.read.json(out[name]).collect()
         assert {r["metric"] for r in found} == {"accuracy", "test_error", "recall"}
 
     scoring = ["score", "--requests", specs["requests"], "--utilization", specs["utilization"],
                "--model", out["model"]]
-    main([*scoring, "--readings", readings, "--out", out["scores"]])
+    main([*scoring, "--readings", readings, "--out", out["scores"], "--report", out["report"],
+          "--snapshot", out["held"]])
+    shown = spark.read.parquet(out["report"])
+    assert shown.columns == ["asset_id", "day", "requests", "status", "prediction", "verdict"]
+    assert shown.count() == spark.read.parquet(out["scores"]).count()
     main([*scoring, "--averages", out["averages"], "--out", out["streamed"],
           "--stream", out["progress"]])
     columns = ["asset_id", "day", "requested_day", "requests", "status", "verdict"]

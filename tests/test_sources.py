@@ -134,11 +134,23 @@ def test_jdbc_takes_the_callers_connection_and_splits_the_read(spark):
             "numPartitions": "64",
         },
     }
-    projected = sources.read_jdbc(Session(reader), connection, "t", ["aircraftid"])
+    projected = sources.read_jdbc(
+        Session(reader), connection, "t", ["aircraftid"], one_task=True
+    )
     assert projected.columns == ["aircraftid"]
     assert reader.seen["options"] == {**connection, "dbtable": "t"}
 
 
+def test_jdbc_in_one_task_must_be_asked_for(spark):
+    table = spark.createDataFrame([("a", 1)], "aircraftid string, other int")
+    spec = {"format": "jdbc", "options": {"url": "jdbc:postgresql://db/x"}, "table": "t"}
+    with pytest.raises(ValueError):
+        sources.read_source(Session(RecordingReader(table)), spec)
+    reader = RecordingReader(table)
+    assert sources.read_source(Session(reader), {**spec, "one_task": True}) is table
+    assert "numPartitions" not in reader.seen["options"]
+
+
 def test_utilization_reads_its_columns_only(spark, tmp_path):
     spark.createDataFrame(
         [(day("2024-01-01"), 7, 1, 2.5, 3, "x")],

@@ -11,7 +11,7 @@ from pyspark.ml.feature import (
     VectorIndexer,
     VectorIndexerModel,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from upkeep.fixed import FEATURES, LABEL, LABELS
@@ -48,12 +48,18 @@ def label_indexer(
 
 
 def label_index(matrix: DataFrame, label: str = LABEL, order: str = "frequencyDesc") -> DataFrame:
-    """Each label with its row count and index."""
-    indexer = label_indexer(matrix, label, order)
-    counted = matrix.groupBy(label).agg(F.count(F.lit(1)).alias("rows"))
-    return indexer.transform(counted).select(
-        F.col(label).alias("label"), "rows", F.col("indexedLabel").alias("label_index")
-    )
+    """Each label with its row count and the index that ``label_indexer`` gives it.
+
+    One pass over the matrix; the index is the rank of a label's count, or of its text.
+    """
+    counted = matrix.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("rows"))
+    if order == "fixed":
+        known = F.array_position(F.array(*map(F.lit, LABELS)), F.col("label"))
+        return counted.withColumn("label_index", (known - 1).cast("double"))
+    first = F.col("rows") if order.startswith("frequency") else F.col("label")
+    first = first.desc() if order.endswith("Desc") else first.asc()
+    ranked = Window.orderBy(first, F.col("label").asc())  # one row per label
+    return counted.withColumn("label_index", (F.row_number().over(ranked) - 1).cast("double"))
 
 
 def feature_indexer(max_categories: int = MAX_CATEGORIES) -> VectorIndexer:

@@ -48,6 +48,14 @@ def sides(
     return split(matrix, percent)
 
 
+def laid_out(rows: DataFrame, columns: Sequence[str], partitions: int) -> DataFrame:
+    """The columns of the rows, partitioned and ordered by nothing but content."""
+    if not set(KEYS) <= set(rows.columns):
+        return spread(rows.select(*columns), partitions)
+    by = [*KEYS, *columns]
+    return rows.select(*by).repartition(partitions, *by).sortWithinPartitions(*by).select(*columns)
+
+
 def train(
     matrix: DataFrame,
     percent: int = 70,
@@ -71,10 +79,11 @@ def train(
 
     Above some 10 000 rows MLlib samples its split candidates by partition, so
     a tree repeats only for the same rows in the same partitions. The training
-    rows are therefore laid out by content over a fixed number of
+    rows are therefore laid out by content, in one shuffle, over a fixed number of
     ``partitions``, which by default follows from the number of rows and from
     nothing else. They are cached while fitting, as every level of the tree
-    reads them.
+    reads them. Rows of a matrix without keys may be alike in large groups, which
+    are divided first; with keys, only a repeated utilization row gives like rows.
 
     ``incomplete`` is for rows with a NULL feature, as in ``assembler``.
     ``fit_indexers_on="all"`` lets the indexers see the validation rows too.
@@ -85,7 +94,7 @@ def train(
     training, validation = sides(matrix, percent, random, seed)
     if partitions is None:
         partitions = max(1, ceil(training.count() / ROWS_PER_PARTITION))
-    stored = spread(training.select(*features, label), partitions).persist(
+    stored = laid_out(training, [*features, label], partitions).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:

@@ -5,19 +5,19 @@ from upkeep.operators.copies import pack_copies, spread, unpack_copies
 from upkeep.operators.hotkeys import hot_keys, join_on_keys
 from upkeep.operators.labels import horizon_label, interruption_days
 from upkeep.operators.requests import (
-    Wanted,
-    distinct_requests,
+    Asked,
+    as_asked,
     for_requests,
     is_valid,
     request_features,
-    wanted,
+    take_requests,
 )
-from upkeep.operators.split import random_split, split
+from upkeep.operators.split import random_split, split, with_side
 
 __all__ = [
-    "Wanted",
+    "Asked",
+    "as_asked",
     "daily_average",
-    "distinct_requests",
     "for_requests",
     "horizon_label",
     "hot_keys",
@@ -29,6 +29,7 @@ __all__ = [
     "request_features",
     "split",
     "spread",
+    "take_requests",
     "unpack_copies",
-    "wanted",
+    "with_side",
 ]

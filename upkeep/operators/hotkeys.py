@@ -2,40 +2,39 @@
 
 from __future__ import annotations
 
-from math import ceil
-
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from upkeep.fixed import KEYS
 from upkeep.operators.copies import CHUNK, pack_copies, unpack_copies
 
 
+#: Rows of one key that one task may receive.
+ROWS_PER_PIECE = 1_000_000
+#: Hot keys handed on as a literal table, at most.
+LITERAL_KEYS = 100_000
+
+
 def hot_keys(
-    frame: DataFrame, keys: list[str] = KEYS, share: float = 0.001, at_least: int = 100_000
+    frame: DataFrame, keys: list[str] = KEYS, rows_per_piece: int = ROWS_PER_PIECE
 ) -> DataFrame | None:
-    """Keys holding more than ``share`` of the rows, with a number of pieces each.
+    """Keys with more than ``rows_per_piece`` rows and the number of pieces to deal them to.
 
-    None if there are none. At most ``1 / share`` keys can hold that much, so
-    the result is gathered and handed on as a small literal table; that bound
-    is what makes broadcasting it safe. One pass over the key columns of
-    ``frame``, with partial counts; the total is observed on the way.
+    None if there are none. The limit does not grow with the data, so no piece does.
+    Up to ``LITERAL_KEYS`` such keys become a literal table, of which Catalyst knows
+    the size; more stay a plan, joined as Catalyst sees fit. One pass over the key
+    columns of ``frame``, with partial counts.
     """
     counts = frame.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    seen = Observation()
-    largest = (
-        counts.observe(seen, F.sum("_n").alias("total"))
-        .orderBy(F.desc("_n"))
-        .limit(ceil(1 / share))
-        .collect()
+    hot = counts.filter(F.col("_n") > rows_per_piece).select(
+        *keys, F.ceil(F.col("_n") / rows_per_piece).cast("int").alias("_pieces")
     )
-    limit = max((seen.get["total"] or 0) * share, at_least, 1)
-    found = [(*row[:-1], ceil(row["_n"] / limit)) for row in largest if row["_n"] > limit]
+    found = hot.limit(LITERAL_KEYS + 1).collect()
     if not found:
         return None
-    schema = T.StructType([*counts.schema.fields[:-1], T.StructField("_pieces", T.IntegerType())])
-    return frame.sparkSession.createDataFrame(found, schema)
+    if len(found) > LITERAL_KEYS:
+        return hot
+    return frame.sparkSession.createDataFrame(found, hot.schema)
 
 
 def join_on_keys(
@@ -59,19 +58,17 @@ def join_on_keys(
     if hot is None:
         return left.join(right, keys, how)
 
+    packed = pack_copies(right.join(hot, keys, "left_semi"), chunk)
     if how == "left":
         # Deal out only keys that right holds now; a key found hot in an earlier
-        # state of it may be gone. Distinct keys out of the few hot ones.
-        held = right.join(F.broadcast(hot), keys, "left_semi").select(*keys).distinct()
-        hot = hot.join(F.broadcast(held), keys, "left_semi")
-    hot = F.broadcast(hot)
+        # state of it may be gone. The packed rows are shuffled once for both uses.
+        hot = hot.join(packed.select(*keys).distinct(), keys, "left_semi")
     cold_rows = right.join(hot, keys, "left_anti").select(
         "*",
         F.lit(0).cast("bigint").alias("_chunk"),
         F.lit(1).cast("bigint").alias("_copies"),
         F.lit(0).alias("_piece"),
     )
-    packed = pack_copies(right.join(hot, keys, "left_semi"), chunk)
     hash_of_row = F.xxhash64(*[c for c in packed.columns if c != "_copies"])
     hot_rows = (
         packed.withColumn("_hash", hash_of_row)

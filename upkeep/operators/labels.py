@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from upkeep.fixed import ASSET, DAY, HORIZON_DAYS, KEYS, LABEL, NEGATIVE, POSITIVE
 
 
+def check_window(before: int, after: int) -> None:
+    """A window that ends before it begins would be expanded backwards."""
+    if before + after < 0:
+        raise ValueError(f"the window from {-before} to {after} days ends before it begins")
+
+
 def _known(interruptions: DataFrame) -> DataFrame:
     return interruptions.filter(F.col(ASSET).isNotNull() & F.col("start_day").isNotNull())
 
@@ -27,6 +33,7 @@ def interruption_days(
     without an asset or a start are ignored. Overlapping windows collapse,
     partly on the map side, so a much-interrupted asset stays small.
     """
+    check_window(before, after)
     return _known(interruptions).select(ASSET, _window(before, after)).distinct()
 
 
@@ -50,6 +57,7 @@ def horizon_label(
     one row per key, before joining tables that repeat keys: they arrive
     partitioned by key, so the paired join only shuffles the interruptions.
     """
+    check_window(before, after)
     if match == "pair":
         hits = interruption_days(interruptions, before, after)
         flagged = base.join(hits.withColumn("_hit", F.lit(True)), KEYS, "left")

@@ -22,9 +22,10 @@ from upkeep.fixed import (
     SCORED,
 )
 from upkeep.functions import month_of
-from upkeep.operators.hotkeys import join_on_keys
+from upkeep.operators.hotkeys import hot_keys, join_on_keys
 
-BROADCAST_REQUESTS = 200_000
+#: Requested keys that are broadcast, at most.
+BROADCAST_KEYS = 200_000
 
 
 def is_valid() -> Column:
@@ -32,84 +33,94 @@ def is_valid() -> Column:
     return F.col(ASSET).isNotNull() & F.col(DAY).isNotNull()
 
 
-def distinct_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid and invalid requests, each once, with ``requests``, the number of copies.
+@dataclass
+class Asked:
+    """Requests as they stood at one moment.
 
-    The valid ones are grouped by key, so the joins by key need no other
-    shuffle of them. The invalid ones have no key to join by; kept apart, they
-    cannot pile up in one partition of a join.
+    ``requests`` has each once, with ``requests``, the number of copies; a valid one is
+    the only row of its key. ``keys`` counts the valid ones, ``first`` and ``last``
+    bound their days.
     """
-    copies = F.count(F.lit(1)).alias("requests")
-    valid = requests.filter(is_valid()).groupBy(*KEYS).agg(copies)
-    columns = [*requests.columns, "requests"]
-    return (
-        valid.withColumn("requested_day", F.date_format(DAY, "yyyy-MM-dd")).select(*columns),
-        requests.filter(~is_valid()).groupBy(*requests.columns).agg(copies).select(*columns),
-    )
-
-
-@dataclass
-class Wanted:
-    """Requested keys, each once, a bound of their number and their range of days."""
 
-    keys: DataFrame
-    at_most: int
+    requests: DataFrame
+    keys: int
     first: datetime.date | None
     last: datetime.date | None
 
+    def valid(self) -> DataFrame:
+        return self.requests.filter(is_valid())
 
-def wanted(requests: DataFrame) -> Wanted:
-    """The keys of the valid requests, measured in one pass without a shuffle.
+    def invalid(self) -> DataFrame:
+        """They have no key to join by; kept apart, they cannot pile up in a join."""
+        return self.requests.filter(~is_valid())
 
-    The number of requests, copies included, bounds the number of keys.
+
+def take_requests(requests: DataFrame, path: str | None = None) -> Asked:
+    """Read the requests, once, and hold them still.
+
+    Copies collapse on the map side. The distinct requests are written to ``path``, a
+    new one in a folder all executors share, so that a source that goes on changing is
+    seen in one state even if an executor is lost; without ``path`` they are cached,
+    which is enough for a source that stands still.
     """
-    keys = requests.filter(is_valid()).select(*KEYS)
-    measured = keys.agg(F.count(F.lit(1)), F.min(DAY), F.max(DAY)).first()
-    return Wanted(keys.distinct(), *measured)
+    shown = F.when(is_valid(), F.date_format(DAY, "yyyy-MM-dd")).otherwise(F.col("requested_day"))
+    counted = (
+        requests.withColumn("requested_day", shown)
+        .groupBy(*requests.columns)
+        .agg(F.count(F.lit(1)).alias("requests"))
+    )
+    if path is None:
+        held = counted.persist()
+    else:
+        counted.write.parquet(path)
+        held = requests.sparkSession.read.schema(counted.schema).parquet(path)
+    measured = held.filter(is_valid()).agg(F.count(F.lit(1)), F.min(DAY), F.max(DAY)).first()
+    return Asked(held, *measured)
 
 
-def for_requests(
-    frame: DataFrame,
-    asked: Wanted,
-    max_rows: int = BROADCAST_REQUESTS,
-    exact: bool = True,
-) -> DataFrame:
+def as_asked(requests: DataFrame | Asked) -> Asked:
+    return requests if isinstance(requests, Asked) else take_requests(requests)
+
+
+def for_requests(frame: DataFrame, asked: Asked, max_keys: int = BROADCAST_KEYS) -> DataFrame:
     """The rows of a keyed table, or of the daily averages, that are asked for.
 
-    The range of days goes to the scan as a literal, where it prunes months,
-    row groups or database rows. At most ``max_rows`` keys are broadcast, and
-    all other rows are dropped while scanning; for averages Catalyst moves that
-    semi-join below the aggregate. More keys are joined by shuffle, above the
-    aggregate, where averages are grouped by key already; ``exact=False`` leaves
-    that out for a frame that is joined by key anyway.
+    The same rows however many keys are asked for. The range of days goes to the scan
+    as a literal, where it prunes months, row groups or database rows. At most
+    ``max_keys`` keys are broadcast, and all other rows are dropped while scanning; for
+    averages Catalyst moves that semi-join below the aggregate. More keys are
+    shuffled, and for averages joined above the aggregate, by which these are grouped
+    by key already.
     """
     frame = frame.filter(F.col(DAY).between(F.lit(asked.first), F.lit(asked.last)))
     if MONTH in frame.columns:
         frame = frame.filter(
             F.col(MONTH).between(month_of(F.lit(asked.first)), month_of(F.lit(asked.last)))
         )
-    if asked.at_most <= max_rows:
-        return frame.join(F.broadcast(asked.keys), KEYS, "left_semi")
-    return frame.join(asked.keys, KEYS, "left_semi") if exact else frame
+    keys = asked.valid().select(*KEYS)
+    if asked.keys <= max_keys:
+        keys = F.broadcast(keys)
+    return frame.join(keys, KEYS, "left_semi")
 
 
 def request_features(
-    requests: DataFrame,
+    requests: DataFrame | Asked,
     daily: DataFrame,
     utilization: DataFrame,
-    hot: DataFrame | None = None,
-    max_rows: int = BROADCAST_REQUESTS,
+    find_hot: bool = False,
+    max_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """Every request with its features, as far as they exist, and a status.
 
     Keys stay attached throughout and no request is lost. A request repeats if
-    utilization repeats its key. ``hot`` is ``hot_keys(utilization)``.
+    utilization repeats its key; ``find_hot`` looks for keys that it repeats very
+    often, among the rows that are asked for.
     """
-    asked = wanted(requests)
-    valid, invalid = distinct_requests(requests)
-    averages = for_requests(daily, asked, max_rows, exact=False).select(*KEYS, AVERAGE)
-    kpis = for_requests(utilization, asked, max_rows, exact=False).select(*KEYS, *KPIS)
-    joined = join_on_keys(valid.join(averages, KEYS, "left"), kpis, "left", hot)
+    asked = as_asked(requests)
+    averages = for_requests(daily, asked, max_keys).select(*KEYS, AVERAGE)
+    kpis = for_requests(utilization, asked, max_keys).select(*KEYS, *KPIS)
+    hot = hot_keys(kpis) if find_hot else None
+    joined = join_on_keys(asked.valid().join(averages, KEYS, "left"), kpis, "left", hot)
     nothing = {name: F.lit(None).cast("double") for name in FEATURES}
     has_kpis = F.lit(True)
     for name in KPIS:
@@ -121,7 +132,7 @@ def request_features(
         .otherwise(SCORED)
     )
     return (
-        joined.select(*valid.columns, *FEATURES)
-        .unionByName(invalid.withColumns(nothing))
+        joined.select(*asked.requests.columns, *FEATURES)
+        .unionByName(asked.invalid().withColumns(nothing))
         .withColumn("status", status)
     )

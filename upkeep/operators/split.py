@@ -18,6 +18,13 @@ def split(frame: DataFrame, percent: int = 70) -> tuple[DataFrame, DataFrame]:
     return frame.filter(in_training), frame.filter(~in_training)
 
 
+def with_side(frame: DataFrame, percent: int = 70) -> DataFrame:
+    """The rows with their ``bucket`` and ``side``, in one pass over the frame."""
+    bucket = key_bucket()
+    side = F.when(bucket < F.lit(percent), "training").otherwise("validation")
+    return frame.withColumn("bucket", bucket.cast("bigint")).withColumn("side", side)
+
+
 def random_split(
     frame: DataFrame, percent: int = 70, seed: int | None = None
 ) -> tuple[DataFrame, DataFrame]:

@@ -9,11 +9,20 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from upkeep import learning, sinks, sources
-from upkeep.fixed import HORIZON_DAYS, SUBSYSTEM, UNSCHEDULED_KINDS
-from upkeep.operators import daily_average, hot_keys
+from upkeep.fixed import (
+    HORIZON_DAYS,
+    INTERRUPTION_ASSET,
+    INTERRUPTION_START,
+    SUBSYSTEM,
+    UNSCHEDULED_KINDS,
+    UTILIZATION_ASSET,
+    UTILIZATION_DAY,
+)
+from upkeep.operators import daily_average, hot_keys, take_requests
+from upkeep.operators.labels import check_window
 from upkeep.plans.matrix import build_matrix
-from upkeep.plans.scoring import score
-from upkeep.plans.training import train_and_evaluate
+from upkeep.plans.scoring import report, score
+from upkeep.plans.training import evaluate
 from upkeep.session import build_session
 from upkeep.streaming import score_stream
 
@@ -24,6 +33,11 @@ def spec(path: str) -> dict[str, Any]:
         return json.load(file)
 
 
+def utilization_columns(job: argparse.ArgumentParser) -> None:
+    job.add_argument("--utilization-asset", default=UTILIZATION_ASSET, help="column")
+    job.add_argument("--utilization-day", default=UTILIZATION_DAY, help="column")
+
+
 def parser() -> argparse.ArgumentParser:
     main = argparse.ArgumentParser(prog="upkeep", description=__doc__)
     jobs = main.add_subparsers(dest="job", required=True)
@@ -40,6 +54,9 @@ def parser() -> argparse.ArgumentParser:
     matrix.add_argument("--series", help="only this sensor, if read from files")
     matrix.add_argument("--utilization", type=spec, required=True, help="spec file")
     matrix.add_argument("--interruptions", type=spec, required=True, help="spec file")
+    utilization_columns(matrix)
+    matrix.add_argument("--interruption-asset", default=INTERRUPTION_ASSET, help="column")
+    matrix.add_argument("--interruption-start", default=INTERRUPTION_START, help="column")
     matrix.add_argument("--subsystem", default=SUBSYSTEM)
     matrix.add_argument("--kinds", nargs="*", default=UNSCHEDULED_KINDS)
     matrix.add_argument("--before", type=int, default=HORIZON_DAYS)
@@ -54,10 +71,15 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--percent", type=int, default=70)
     train.add_argument("--random", action="store_true", help="split by a seeded draw, not by key")
     train.add_argument("--incomplete", choices=["error", "skip", "keep"], default="error")
+    train.add_argument("--fit-indexers-on", choices=["training", "all"], default="training")
+    orders = ["fixed", "frequencyDesc", "frequencyAsc", "alphabetDesc", "alphabetAsc"]
+    train.add_argument("--label-order", choices=orders, default="fixed")
     train.add_argument("--partitions", type=int, help="of the training rows, fixes the tree")
     train.add_argument("--seed", type=int, default=learning.SEED)
     train.add_argument("--model", required=True)
     train.add_argument("--metrics", required=True)
+    train.add_argument("--preview", help="write the first predictions here")
+    train.add_argument("--summary", help="write depth, size and importances here")
 
     scoring = jobs.add_parser("score", help="requests -> verdicts")
     given = scoring.add_mutually_exclusive_group(required=True)
@@ -66,8 +88,11 @@ def parser() -> argparse.ArgumentParser:
     scoring.add_argument("--series", help="only this sensor, if read from files")
     scoring.add_argument("--requests", type=spec, required=True, help="spec file")
     scoring.add_argument("--utilization", type=spec, required=True, help="spec file")
+    utilization_columns(scoring)
     scoring.add_argument("--model", required=True)
     scoring.add_argument("--out", required=True)
+    scoring.add_argument("--report", help="write the verdicts for reading here")
+    scoring.add_argument("--snapshot", help="hold a changing request table still here")
     scoring.add_argument("--stream", help="score a stream, progress kept in this folder")
     return main
 
@@ -78,14 +103,29 @@ def averages_of(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return spark.read.parquet(args.averages)
 
 
+def utilization_of(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    table = sources.read_source(spark, args.utilization)
+    return sources.utilization_from(table, args.utilization_asset, args.utilization_day)
+
+
+def write_json(frame: DataFrame, path: str) -> None:
+    """A handful of rows as one file."""
+    frame.coalesce(1).write.mode("overwrite").json(path)
+
+
 def run_averages(spark: SparkSession, args: argparse.Namespace) -> None:
     sinks.write_by_month(averages_of(spark, args), args.out)
 
 
 def run_matrix(spark: SparkSession, args: argparse.Namespace) -> None:
-    utilization = sources.utilization_from(sources.read_source(spark, args.utilization))
+    check_window(args.before, args.after)
+    utilization = utilization_of(spark, args)
     interruptions = sources.interruptions_from(
-        sources.read_source(spark, args.interruptions), args.subsystem, args.kinds or None
+        sources.read_source(spark, args.interruptions),
+        args.subsystem,
+        args.kinds or None,
+        args.interruption_start,
+        args.interruption_asset,
     )
     matrix = build_matrix(
         averages_of(spark, args),
@@ -104,33 +144,48 @@ def run_matrix(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
     read = sources.read_matrix_csv if args.format == "csv" else sources.read_matrix
-    model, measured = train_and_evaluate(
+    trained = learning.train(
         read(spark, args.matrix),
         percent=args.percent,
         random=args.random,
+        label_order=args.label_order,
+        fit_indexers_on=args.fit_indexers_on,
         incomplete=args.incomplete,
         partitions=args.partitions,
         seed=args.seed,
     )
-    sinks.write_model(model, args.model)
-    measured.coalesce(1).write.mode("overwrite").json(args.metrics)
+    sinks.write_model(trained.model, args.model)
+    write_json(evaluate(trained), args.metrics)
+    if args.preview:
+        predicted = learning.predict(trained.model, trained.validation)
+        shown = learning.preview(predicted)
+        write_json(shown.drop("rawPrediction", "probability"), args.preview)
+    if args.summary:
+        write_json(learning.tree_summary(spark, trained.model), args.summary)
 
 
 def run_score(spark: SparkSession, args: argparse.Namespace) -> None:
-    utilization = sources.utilization_from(sources.read_source(spark, args.utilization))
-    hot = hot_keys(utilization)
     model = sinks.read_model(args.model)
-    averages = averages_of(spark, args)
     if args.stream:
         requests = sources.read_requests(sources.read_source(spark, args.requests, stream=True))
         score_stream(
-            requests, averages, utilization, model, args.out, args.stream, hot
+            requests,
+            lambda: averages_of(spark, args),
+            lambda: utilization_of(spark, args),
+            model,
+            args.out,
+            args.stream,
+            find_hot=True,
         ).awaitTermination()
     else:
         requests = sources.read_requests(sources.read_source(spark, args.requests))
-        score(requests, averages, utilization, model, hot).write.mode("overwrite").parquet(
-            args.out
+        asked = take_requests(requests, args.snapshot)
+        scored = score(
+            asked, averages_of(spark, args), utilization_of(spark, args), model, find_hot=True
         )
+        scored.write.mode("overwrite").parquet(args.out)
+    if args.report:
+        report(spark.read.parquet(args.out)).write.mode("overwrite").parquet(args.report)
 
 
 JOBS = {

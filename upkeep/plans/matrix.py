@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from upkeep.fixed import AVERAGE, FEATURES, HORIZON_DAYS, KEYS, KPIS, LABEL
-from upkeep.operators import for_requests, horizon_label, join_on_keys, wanted
-from upkeep.operators.requests import BROADCAST_REQUESTS
+from upkeep.operators import Asked, as_asked, for_requests, horizon_label, hot_keys, join_on_keys
+from upkeep.operators.requests import BROADCAST_KEYS
 
 
 def build_matrix(
@@ -29,14 +29,15 @@ def build_matrix(
 
 
 def score_features(
-    requests: DataFrame,
+    requests: DataFrame | Asked,
     daily: DataFrame,
     utilization: DataFrame,
-    hot: DataFrame | None = None,
-    max_rows: int = BROADCAST_REQUESTS,
+    find_hot: bool = False,
+    max_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """Features of the requested keys that have both readings and utilization."""
-    asked = wanted(requests)
-    averages = for_requests(daily, asked, max_rows).select(*KEYS, AVERAGE)
-    kpis = for_requests(utilization, asked, max_rows, exact=False)
+    asked = as_asked(requests)
+    averages = for_requests(daily, asked, max_keys).select(*KEYS, AVERAGE)
+    kpis = for_requests(utilization, asked, max_keys)
+    hot = hot_keys(kpis) if find_hot else None
     return join_on_keys(averages, kpis, "inner", hot).select(*KEYS, *FEATURES)

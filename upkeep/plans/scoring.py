@@ -7,25 +7,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.fixed import ASSET, DAY, FEATURES, SCORED
-from upkeep.operators import request_features
-from upkeep.operators.requests import BROADCAST_REQUESTS
+from upkeep.operators import Asked, request_features
+from upkeep.operators.requests import BROADCAST_KEYS
 
 
 def score(
-    requests: DataFrame,
+    requests: DataFrame | Asked,
     daily: DataFrame,
     utilization: DataFrame,
     model: PipelineModel,
-    hot: DataFrame | None = None,
-    max_rows: int = BROADCAST_REQUESTS,
+    find_hot: bool = False,
+    max_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """Every request with status, features, prediction and verdict.
 
     Requests without complete features keep their row: prediction and verdict
     are NULL and the status says why. One pass scores all rows; gaps are
-    filled for the model only and the results for them dropped.
+    filled for the model only and the results for them dropped. ``find_hot`` as in
+    ``request_features``.
     """
-    known = request_features(requests, daily, utilization, hot, max_rows)
+    known = request_features(requests, daily, utilization, find_hot, max_keys)
     filled = known.withColumn("_given", F.struct(*FEATURES)).withColumns(
         {name: F.coalesce(name, F.lit(0.0)) for name in FEATURES}
     )

@@ -7,7 +7,12 @@ from typing import Any
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from upkeep.learning import metrics, predict, train
+from upkeep.learning import Training, metrics, predict, train
+
+
+def evaluate(trained: Training) -> DataFrame:
+    """The metrics table on the validation rows."""
+    return metrics(predict(trained.model, trained.validation))
 
 
 def train_and_evaluate(matrix: DataFrame, **settings: Any) -> tuple[PipelineModel, DataFrame]:
@@ -16,4 +21,4 @@ def train_and_evaluate(matrix: DataFrame, **settings: Any) -> tuple[PipelineMode
     ``settings`` go to ``train``.
     """
     trained = train(matrix, **settings)
-    return trained.model, metrics(predict(trained.model, trained.validation))
+    return trained.model, evaluate(trained)

@@ -1,10 +1,7 @@
-"""Session settings the jobs rely on, and the shared scratch folder."""
+"""Session settings the jobs rely on."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import SparkSession
 
 
@@ -25,17 +22,3 @@ def build_session(app: str, conf: dict[str, str] | None = None) -> SparkSession:
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share.
-
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local
-    session may fall back to a temporary folder of this machine.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="upkeep-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -26,7 +26,7 @@ def jdbc_options(
 
     ``options`` holds the caller's connection (url, driver, user, ...); none is
     built in. ``partitioning`` (column, lower, upper, partitions) splits the
-    read by ranges of a date or numeric column; without it one task reads all.
+    read by ranges of a date or numeric column.
     """
     merged = {**options, "dbtable": table}
     if partitioning is not None:
@@ -45,8 +45,15 @@ def read_jdbc(
     table: str,
     columns: Sequence[str] | None = None,
     partitioning: dict[str, Any] | None = None,
+    one_task: bool = False,
 ) -> DataFrame:
-    """A JDBC table. Column lists and filters set later still reach the database."""
+    """A JDBC table. Column lists and filters set later still reach the database.
+
+    Without ``partitioning`` one task would read everything, however large the table;
+    that must be asked for with ``one_task``.
+    """
+    if partitioning is None and not one_task:
+        raise ValueError(f"give a partitioning for {table}, or one_task to read it in one")
     frame = spark.read.format("jdbc").options(**jdbc_options(options, table, partitioning)).load()
     return frame if columns is None else frame.select(*columns)
 
@@ -54,13 +61,20 @@ def read_jdbc(
 def read_source(spark: SparkSession, spec: dict[str, Any], stream: bool = False) -> DataFrame:
     """A table named by a small spec, so that jobs need not know where it lives.
 
-    ``{"format": "jdbc", "options": {...}, "table": t, "partitioning": {...}}``
+    ``{"format": "jdbc", "options": {...}, "table": t, "partitioning": {...}}``, with
+    ``"one_task": true`` in place of a partitioning for a small table,
     or ``{"format": "parquet", "path": p, "schema": ddl, "options": {...}}``,
     the latter also as a stream; the schema may be left out for a batch.
     """
     options = spec.get("options", {})
     if spec["format"] == "jdbc":
-        return read_jdbc(spark, options, spec["table"], partitioning=spec.get("partitioning"))
+        return read_jdbc(
+            spark,
+            options,
+            spec["table"],
+            partitioning=spec.get("partitioning"),
+            one_task=spec.get("one_task", False),
+        )
     reader = (spark.readStream if stream else spark.read).format(spec["format"])
     if "schema" in spec:
         reader = reader.schema(spec["schema"])

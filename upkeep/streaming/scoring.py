@@ -2,32 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from upkeep.operators.requests import BROADCAST_REQUESTS
+from upkeep.operators.requests import BROADCAST_KEYS, take_requests
 from upkeep.plans.scoring import score
 
+#: Opens a table as it is now.
+Opens = Callable[[], DataFrame]
+
 
 def score_stream(
     requests: DataFrame,
-    daily: DataFrame,
-    utilization: DataFrame,
+    daily: Opens,
+    utilization: Opens,
     model: PipelineModel,
     path: str,
     checkpoint: str,
-    hot: DataFrame | None = None,
-    max_rows: int = BROADCAST_REQUESTS,
+    find_hot: bool = False,
+    max_keys: int = BROADCAST_KEYS,
     **trigger: object,
 ) -> StreamingQuery:
     """Score a request stream into Parquet under ``path``, batch by batch.
 
-    Each micro-batch goes through the batch ``score``: being small, its keys
-    are broadcast and the static tables are filtered by them while scanning,
-    which a left stream-static join could not do. Let ``daily`` be a stored
-    table of averages, since it is read once per batch. Stateless: requests
-    are independent, so there is nothing to keep or to be late.
+    ``daily`` and ``utilization`` are opened anew for each batch: a frame lists its
+    files when it is made, and days stored later would never be seen. Let ``daily``
+    open a stored table of averages, since it is read once per batch. Each micro-batch
+    goes through the batch ``score``: being small, its keys are broadcast and the
+    tables are filtered by them while scanning, which a left stream-static join could
+    not do. Stateless: requests are independent, so there is nothing to keep or to be
+    late.
 
     A batch that is run again overwrites its own ``batch_id`` directory, so
     the output holds every request exactly once. ``trigger`` as in
@@ -36,12 +43,12 @@ def score_stream(
     """
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        asked = take_requests(batch)
         try:
-            scored = score(batch, daily, utilization, model, hot, max_rows)
+            scored = score(asked, daily(), utilization(), model, find_hot, max_keys)
             scored.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         finally:
-            batch.unpersist()
+            asked.requests.unpersist()
 
     return (
         requests.writeStream.foreachBatch(score_batch)
