@@ -10,17 +10,17 @@ those that could still gain are sorted again by what precedes, and compared.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.llm.passages import sliding_min
 from upkeep.llm.spans import merged
-from upkeep.llm.store import Kept
+from upkeep.llm.store import Kept, few
 from upkeep.llm.tokens import ranges
 from upkeep.llm.words import Words, mix, parts, sequence_hash
 
@@ -44,14 +44,14 @@ FOUND = pa.schema(
     [
         ("kind", pa.string()),
         *SUFFIX,
-        ("part", pa.int32()),
+        ("part", pa.int64()),
         ("other", pa.int64()),
         ("other_place", pa.int64()),
         ("before", pa.int32()),
         ("after", pa.int32()),
     ]
 )
-FOUND_DDL = f"kind string, {DDL}, part int, other long, other_place long, before int, after int"
+FOUND_DDL = f"kind string, {DDL}, part long, other long, other_place long, before int, after int"
 
 
 def minimisers(hashes: np.ndarray, first: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -136,7 +136,7 @@ def _compared(table: pa.Table, i: np.ndarray, j: np.ndarray, right: np.ndarray,
                 *(pa.nulls(n, t) for t in (pa.int64(), pa.binary(), pa.binary())),
                 pa.array(doc[mine]),
                 pa.array(place[mine]),
-                pa.nulls(n, pa.int32()),
+                pa.nulls(n, pa.int64()),
                 pa.array(doc[other]),
                 pa.array(place[other]),
                 pa.array(np.tile(before, 2), pa.int32()),
@@ -152,7 +152,7 @@ def _rows(table: pa.Table, at: np.ndarray, kind: str, part: int) -> pa.RecordBat
     some = table.take(pa.array(at)).combine_chunks()
     n = len(at)
     columns = [some.column(c).chunk(0) if n else pa.nulls(0, t) for c, t in zip(SUFFIX.names, SUFFIX.types)]
-    rest = [pa.array([part] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32())]
+    rest = [pa.array([part] * n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32())]
     return pa.RecordBatch.from_arrays([pa.array([kind] * n, pa.string()), *columns, *rest], schema=FOUND)
 
 
@@ -164,7 +164,7 @@ def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     neighbour but no match as long as it can see; ``first`` and ``last``, those that
     may have neighbours in the partitions beside.
     """
-    part = TaskContext.get().partitionId()
+    part = uuid.uuid4().int >> 65  # of this call; borders are told by their suffixes
     batches = list(batches)
     table = pa.Table.from_batches(batches, SUFFIX) if batches else None
     if table is None or not table.num_rows:
@@ -197,17 +197,18 @@ def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _rows(table, order[block[order] == edge], kind, part)
 
 
-def _beside(found: DataFrame) -> pa.Table | None:
-    """Matches across the borders of partitions.
+def _beside(found: DataFrame, order: list[str]) -> pa.Table | None:
+    """Matches across the borders of partitions, which stand in the order of their suffixes.
 
     What reaches the driver is at most four suffixes per partition.
     """
-    ends = found.where("kind in ('first', 'last')").toArrow().sort_by([("part", "ascending")])
+    by = [(c, "ascending") for c in ("block", *order, "doc_id", "place")]
+    ends = found.where("kind in ('first', 'last')").toArrow().sort_by(by)
     if not ends.num_rows:
         return None
     part, kind = ends.column("part").to_numpy(), np.array(ends.column("kind").to_pylist())
     block, doc = ends.column("block").to_numpy(), ends.column("doc_id").to_numpy()
-    known = np.unique(part)
+    known = list(dict.fromkeys(part.tolist()))
     i, j = [], []
     for p, q in zip(known, known[1:]):
         for a in np.flatnonzero((part == p) & (kind == "last")):
@@ -225,7 +226,7 @@ def matches(rows: DataFrame, order: list[str], kept: Kept) -> tuple[DataFrame, D
     found = rows.repartitionByRange(*columns).sortWithinPartitions(*columns).mapInArrow(neighbours, FOUND_DDL)
     found = kept.keep(found, "neighbours")
     good = found.where("kind = 'match'")
-    more = _beside(found)
+    more = _beside(found, order)
     if more is not None:
         good = good.unionAll(rows.sparkSession.createDataFrame(more, found.schema))
     return good, found.where("kind in ('open', 'first', 'last')").select(*SUFFIX.names).distinct()
@@ -247,6 +248,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     kept = Kept(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
     good, still = matches(suffixes(docs), ["right", "left"], kept)
+    kept.release()
     more, _ = matches(still, ["left", "right"], kept)
     both = good.unionAll(more)
     spans = both.select(
@@ -256,4 +258,4 @@ def repeats(docs: DataFrame) -> DataFrame:
         (F.col("place") + BLOCK + F.col("after")).alias("end"),
         "other",
     )
-    return merged(spans)
+    return few(merged(spans))
