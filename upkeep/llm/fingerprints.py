@@ -15,13 +15,12 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.llm.components import blocked, components
-from upkeep.llm.store import Kept, id_bounds, range_of
+from upkeep.llm.store import Kept, few, id_bounds, range_of
 from upkeep.llm.words import Words, mix, parts
 
 BITS = 128
@@ -160,28 +159,90 @@ def _tables(frame: DataFrame, keys: list[list[tuple[int, int]]]) -> DataFrame:
     return frame.mapInArrow(run, "table int, key binary, print string")
 
 
-def _joined(radius: int):
-    """Links of a group that connect what lies within the radius: a forest, not all pairs."""
+def _near_pairs(prints: np.ndarray, first: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of the same group within the radius; groups begin at ``first`` (n + 1)."""
+    size = np.diff(first)
+    row = np.arange(first[-1])
+    after = np.repeat(first[1:], size) - row - 1  # rows of the group behind each row
+    a = np.repeat(row, after)
+    b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(after) - after, after)
+    near = np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1) <= radius
+    return a[near], b[near]
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        prints = frame["print"].to_numpy()
-        low, side = frame["low"].iloc[0], frame["side"].iloc[0]
-        block = frame["block"].to_numpy()
-        grid = np.frombuffer(bytes.fromhex("".join(prints)), np.uint8).reshape(len(prints), -1).view(np.uint64)
-        rows = np.flatnonzero(block == low)
-        others = rows if low == side else np.flatnonzero(block == side)
-        root = np.arange(len(prints))
-        a, b = [], []
-        for i in rows:
-            near = others[np.bitwise_count(grid[others] ^ grid[i]).sum(axis=1) <= radius]
-            near = near[root[near] != root[i]]
-            for j in near[np.unique(root[near], return_index=True)[1]]:
-                a.append(prints[i])
-                b.append(prints[j])
-                root[root == root[j]] = root[i]
-        return pd.DataFrame({"a": a, "b": b}, dtype=object)
 
-    return run
+def _forest(prints: np.ndarray, block: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
+    """Links that connect what lies within the radius in a large group, not all pairs.
+
+    With two blocks, only rows of different ones are compared.
+    """
+    rows = np.flatnonzero(block == block.min())
+    others = rows if block.min() == block.max() else np.flatnonzero(block == block.max())
+    root = np.arange(len(prints))
+    a, b = [], []
+    for i in rows:
+        near = others[np.bitwise_count(prints[others] ^ prints[i]).sum(axis=1) <= radius]
+        near = near[root[near] != root[i]]
+        for j in near[np.unique(root[near], return_index=True)[1]]:
+            a.append(int(i))
+            b.append(int(j))
+            root[root == root[j]] = root[i]
+    return a, b
+
+
+#: Groups of up to so many rows are compared together.
+SMALL = 64
+
+
+def near_prints(rows: DataFrame, radius: int) -> DataFrame:
+    """Pairs (a, b) of fingerprints within the radius of each other, as far as they are
+    needed to connect a group. rows: table, key, n, print.
+
+    A group of more than ``BLOCK`` rows is compared block by block.
+    """
+    group = ["table", "key", "low", "side"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None  # the last group may go on in the next batch
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            new = starts(table)
+            held = table.slice(new[-1])
+            yield links(table.slice(0, new[-1]), new)
+        if held is not None:
+            yield links(held, np.array([0, held.num_rows]))
+
+    def starts(table: pa.Table) -> np.ndarray:
+        new = np.zeros(table.num_rows, bool)
+        new[0] = True
+        for c in group:
+            column = table.column(c).combine_chunks()
+            column = column.dictionary_encode().indices.to_numpy() if pa.types.is_binary(column.type) else column.to_numpy()
+            new[1:] |= column[1:] != column[:-1]
+        return np.flatnonzero(new)
+
+    def links(table: pa.Table, first: np.ndarray) -> pa.RecordBatch:
+        names = table.column("print")
+        a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if table.num_rows:
+            prints = np.frombuffer(bytes.fromhex("".join(names.to_pylist())), np.uint8).reshape(table.num_rows, -1).view(np.uint64)
+            first = np.append(first[first < table.num_rows], table.num_rows)
+            size = np.diff(first)
+            few = np.where(size <= SMALL, size, 0)
+            at = np.flatnonzero(np.repeat(few > 0, size))
+            a, b = _near_pairs(prints[at], np.concatenate(([0], np.cumsum(few[few > 0]))), radius)
+            a, b = [at[a]], [at[b]]
+            block = table.column("block").to_numpy()
+            for i, j in zip(first[:-1][size > SMALL], first[1:][size > SMALL]):
+                x, y = _forest(prints[i:j], block[i:j], radius)
+                a.append(np.array(x, np.int64) + i)
+                b.append(np.array(y, np.int64) + i)
+            a, b = np.concatenate(a), np.concatenate(b)
+        found = [names.take(pa.array(x)).combine_chunks() for x in (a, b)]
+        found = [x.chunk(0) if isinstance(x, pa.ChunkedArray) and x.num_chunks else pa.array([], pa.string()) if isinstance(x, pa.ChunkedArray) else x for x in found]
+        return pa.RecordBatch.from_arrays(found, ["a", "b"])
+
+    dealt = blocked(rows, "print", BLOCK).select(*group, "block", "print").repartition(*group).sortWithinPartitions(*group)
+    return dealt.mapInArrow(run, "a string, b string").distinct()
 
 
 def print_classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -194,8 +255,7 @@ def print_classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     distinct = kept.keep(prints.where("print is not null").select("print").distinct(), "prints")
     rows = kept.keep(_tables(distinct, table_keys(distinct.count(), radius)), "tables")
     shared = rows.groupBy("table", "key").agg(F.count("*").alias("n")).where("n > 1")
-    held = blocked(rows.join(shared, ["table", "key"]), "print", BLOCK)
-    found = held.groupBy("table", "key", "low", "side").applyInPandas(_joined(radius), "a string, b string")
+    found = near_prints(rows.join(shared, ["table", "key"]), radius)
     placed = components(found, kept)
     return distinct.join(placed, distinct["print"] == placed["node"], "left").select("print", F.coalesce("component", "print").alias("class"))
 
@@ -209,4 +269,5 @@ def fingerprint_classes(described: DataFrame, radius: int = RADIUS) -> DataFrame
     first = described.groupBy("fingerprint").agg(F.min("doc_id").alias("least")).join(classes, F.col("fingerprint") == F.col("print"))
     named = kept.keep(first.select("fingerprint", "class", "least"), "named")
     ids = named.groupBy("class").agg(F.min("least").alias("class_id"))
-    return described.join(named.join(ids, "class").select("fingerprint", "class_id"), "fingerprint").select(*described.columns, "class_id")
+    classed = named.join(ids, "class").select("fingerprint", "class_id")
+    return few(described.join(classed, "fingerprint").select(*described.columns, "class_id"))
