@@ -142,3 +142,21 @@ def test_token_blocks_of_many_ranges(spark):
     manifest = blocks.write_blocks(documents(spark, rows), blocks.new_path(spark, "many"), path, 2, 20)
     assert manifest.count() > 5
     assert sorted((tuple(r) for r in blocks.read_blocks(manifest).collect()), key=lambda r: r[1]) == described(rows, path, 2)
+
+
+def test_ranges_of_ids_are_bounded_in_number(spark, monkeypatch):
+    from upkeep.llm import store
+
+    frame = spark.range(0, 100_000, 3).withColumnRenamed("id", "doc_id")
+    assert len(store.id_bounds(frame, "doc_id", 100)) == 332
+    monkeypatch.setattr(store, "MOST_RANGES", 150)
+    bounds = store.id_bounds(frame, "doc_id", 100)
+    assert len(bounds) == 149
+    from pyspark.sql import functions as F
+
+    number = store.range_of("doc_id", bounds)
+    got = frame.select("doc_id", number.alias("n")).toPandas()
+    want = np.searchsorted(np.array(bounds), got["doc_id"].to_numpy(), "right")
+    assert (got["n"].to_numpy() == want).all()
+    sizes = frame.groupBy(number.alias("n")).agg(F.count("*").alias("c")).toPandas()["c"]
+    assert sizes.max() < 3 * sizes.min()

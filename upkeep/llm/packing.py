@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from upkeep.llm.store import Kept
+from upkeep.llm.store import MOST_PARTITIONS, Kept
 from upkeep.llm.tokens import Encoder
 from upkeep.llm.words import parts
 
@@ -188,7 +188,7 @@ def assign(pieces: DataFrame, kept: Kept, size: int, per_part: int = 100_000) ->
     each of those, never a piece, and no length goes to one task however frequent.
     """
     spark = pieces.sparkSession
-    parts_wanted = max(1, -(-pieces.count() // per_part))
+    parts_wanted = min(MOST_PARTITIONS, max(1, -(-pieces.count() // per_part)))
     part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts_wanted)).cast("int")
     numbered = pieces.withColumn("part", part)
     held = kept.keep(numbered.groupBy("length", "part").count(), "lengths")

@@ -1,7 +1,7 @@
 """Global shuffle into shards in two passes.
 
 Pass one scatters rows by a seeded hash over buckets that fit a task's memory. Pass
-two loads one bucket, shuffles it by Fisher and Yates and writes it. Buckets follow one
+two loads one bucket at a time, shuffles it by Fisher and Yates and writes it. Buckets follow one
 another, so a row's place in the whole is known, and the places are cut into shards of
 equal numbers of rows.
 """
@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.store import free_name, new_path
+from upkeep.llm.store import MOST_PARTITIONS, free_name, new_path
 from upkeep.llm.words import mix
 
 LAW = "rows"
@@ -52,11 +52,11 @@ def write_shards(docs: DataFrame, folder: str, shards: int = 16, seed: int = 42,
     n = max(1, -(-total // bucket_bytes))
     keyed = docs.withColumn(mark, F.xxhash64("doc_id", "text", F.lit(seed)))
     keyed = keyed.withColumn(bucket, F.pmod(F.xxhash64(mark, F.lit(seed)), F.lit(n)))
-    counts = dict(keyed.groupBy(bucket).count().toLocalIterator())  # a number per bucket
-    places, rows = {}, 0
-    for i in range(n):
-        places[i] = rows
-        rows += counts.get(i, 0)
+    places = np.zeros(n + 1, np.int64)  # the driver sees a number per bucket
+    for row in keyed.groupBy(F.col(bucket).alias("number")).agg(F.count("*").alias("rows")).toLocalIterator():
+        places[row["number"] + 1] = row["rows"]
+    places = np.cumsum(places)
+    rows = int(places[-1])
     edges = np.array([rows * s // shards for s in range(shards + 1)], np.int64)
     shared = spark.sparkContext.broadcast((places, edges))
     names = docs.columns
@@ -92,7 +92,7 @@ def write_shards(docs: DataFrame, folder: str, shards: int = 16, seed: int = 42,
             yield from shuffled()
 
     schema = docs.withColumn("shard", F.lit(0)).withColumn("slot", F.lit(0).cast("long")).schema
-    dealt = keyed.repartition(n, bucket).sortWithinPartitions(bucket, mark, "doc_id")
+    dealt = keyed.repartition(min(n, MOST_PARTITIONS), bucket).sortWithinPartitions(bucket, mark, "doc_id")
     out = dealt.mapInArrow(run, schema)
     out.write.partitionBy("shard").parquet(folder)
     return spark.read.schema(out.schema).parquet(folder)

@@ -87,12 +87,19 @@ class Kept:
             place.getFileSystem(conf).delete(place, True)
 
 
+#: Ranges of ids that a table is cut into, at most.
+MOST_RANGES = 10_000
+#: Partitions that a shuffle is asked for, at most; each then holds more.
+MOST_PARTITIONS = 20_000
+
+
 def id_bounds(docs: DataFrame, column: str, rows: int) -> list[int]:
     """Ids that cut the table into ranges of about ``rows`` rows, ascending.
 
-    What reaches the driver is one id per range.
+    What reaches the driver is one id per range. Of a table so large that there would
+    be more than ``MOST_RANGES`` the ranges are longer; those who use them stream.
     """
-    parts = max(1, round(docs.count() / rows))
+    parts = min(MOST_RANGES, max(1, round(docs.count() / rows)))
     if parts == 1:
         return []
     shares = [i / parts for i in range(1, parts)]
