@@ -28,7 +28,7 @@ SIMILARITY = 0.8
 #: Shingles of a passage that must be found in the other: a / (2 LENGTH - a) >= SIMILARITY.
 MATCHED = int(np.ceil(2 * LENGTH * SIMILARITY / (1 + SIMILARITY) - 1e-9))
 #: Pairs of hash functions; texts that agree in one pair at one place are verified.
-BANDS = 4
+BANDS = 6
 ENOUGH = 1
 #: Places by which the alignment may shift within a passage.
 SHIFT = 8
