@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.llm.components import blocked, components
-from upkeep.llm.store import Kept
+from upkeep.llm.store import SMALL_BATCH, Kept, few
 from upkeep.llm.words import Words, mix, parts, sequence_hash
 
 K = 80
@@ -164,7 +164,7 @@ def verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in parts(batch, "text_a"):
+            for piece in parts(batch, "text_a", "text_b"):
                 found = similarity(Words(piece.column("text_a")), Words(piece.column("text_b")))
                 frame = pa.RecordBatch.from_arrays([piece.column("a"), piece.column("b")], ["a", "b"])
                 yield frame.filter(pa.array(found >= least))
@@ -287,21 +287,23 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     pairs = shared.where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
     texts = kept.keep(texts_of(shared, docs), "texts")
     kept.release()
-    parts_of = kept.keep(components(verify(pairs, texts, least), kept), "components")
+    links = kept.keep(verify(pairs, texts, least), "links", SMALL_BATCH)
+    parts_of = kept.keep(components(links, kept), "components")
 
     placed = shared.join(parts_of, "node", "left").select("band", "key", "node", "n", F.coalesce("component", "node").alias("component"))
     placed = kept.keep(placed, "placed")
     still = placed.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     open_rows = placed.join(still.select("band", "key"), ["band", "key"])
     open_rows = open_rows.join(texts.withColumnRenamed("doc_id", "node").hint("merge"), "node")
-    merged = components(join_across(open_rows, least), kept).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    across = kept.keep(join_across(open_rows, least), "across", SMALL_BATCH)
+    merged = components(across, kept).select(F.col("node").alias("component"), F.col("component").alias("whole"))
 
     placed = nodes.join(parts_of, "node", "left").select("one", "two", F.coalesce("component", "node").alias("component"))
     classes = placed.join(merged, "component", "left").select("one", "two", F.coalesce("whole", "component").alias("class_id"))
     named = signed.join(classes, ["one", "two"], "left")
     alone = F.col("signature").isNull() | F.col("doc_id").isNull()
     named = kept.keep(named.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), alone.alias("alone")), "classes")
+    kept.drop_all_but(named)
     sizes = named.where("not alone").groupBy("class_id").agg(F.count("*").alias("class_size"))
-    return named.where("not alone").join(sizes, "class_id").select("doc_id", "class_id", "class_size").unionAll(
-        named.where("alone").select("doc_id", "class_id", F.lit(1).cast("long").alias("class_size"))
-    )
+    together = named.where("not alone").join(sizes, "class_id").select("doc_id", "class_id", "class_size")
+    return few(together.unionAll(named.where("alone").select("doc_id", "class_id", F.lit(1).cast("long").alias("class_size"))))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.llm.spans import code_points, merged, runs
-from upkeep.llm.store import Kept, few
+from upkeep.llm.store import SMALL_BATCH, Kept, few
 from upkeep.llm.tokens import ranges
 from upkeep.llm.words import SHINGLE, Words, mix, parts
 
@@ -227,7 +227,7 @@ def verified(pairs: DataFrame, docs: DataFrame, kept: Kept) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in parts(batch, "text_a"):
+            for piece in parts(batch, "text_a", "text_b"):
                 rows = []
                 wa, wb = Words(piece.column("text_a")), Words(piece.column("text_b"))
                 (ha, fa), (hb, fb) = wa.shingles(), wb.shingles()
@@ -270,7 +270,7 @@ def passages(docs: DataFrame, bands: int = BANDS) -> DataFrame:
     pairs = links(all_windows(docs, bands)).groupBy("a", "b").agg(F.collect_list("at_a").alias("at_a"), F.collect_list("at_b").alias("at_b"))
     pairs = kept.keep(pairs, "pairs")
     kept.release()  # the windows' shuffle is larger than the texts
-    spans = kept.keep(verified(pairs, docs, kept), "spans")
+    spans = kept.keep(verified(pairs, docs, kept), "spans", SMALL_BATCH)
     kept.drop_all_but(spans)
     kept.release()
     return few(merged(spans))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from upkeep.llm.store import free_name
-from upkeep.llm.words import Words
+from upkeep.llm.words import Words, parts
 
 
 def code_points(words: Words, text: int, word: np.ndarray, ends: bool) -> np.ndarray:
@@ -61,24 +61,28 @@ def cut(docs: DataFrame, copies: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            cuts = batch.column(mark).to_pylist()
-            for i, spans in enumerate(cuts):
-                if spans:
-                    text, at, rest = texts[i], 0, []
-                    for span in sorted(spans, key=lambda s: s["start"]):
-                        rest.append(text[at : span["start"]])
-                        at = span["end"]
-                    texts[i] = "".join([*rest, text[at:]])
-            new = pa.array(texts, pa.string())
-            keep = pa.array([not c or n > 0 for c, n in zip(cuts, np.diff(Words(new).first))], pa.bool_())
-            columns = []
-            for field in schema.fields:
-                column = new if field.name == "text" else batch.column(field.name)
-                if field.name == "n_chars":
-                    sizes = [len(t) if c else n for t, c, n in zip(texts, cuts, column.to_pylist())]
-                    column = pa.array(sizes, column.type)
-                columns.append(column)
-            yield pa.RecordBatch.from_arrays(columns, schema.names).filter(keep)
+            for piece in parts(batch):
+                yield shortened(piece)
+
+    def shortened(piece):
+        texts = piece.column("text").to_pylist()
+        cuts = piece.column(mark).to_pylist()
+        for i, spans in enumerate(cuts):
+            if spans:
+                text, at, rest = texts[i], 0, []
+                for span in sorted(spans, key=lambda s: s["start"]):
+                    rest.append(text[at : span["start"]])
+                    at = span["end"]
+                texts[i] = "".join([*rest, text[at:]])
+        new = pa.array(texts, pa.string())
+        keep = pa.array([not c or n > 0 for c, n in zip(cuts, np.diff(Words(new).first))], pa.bool_())
+        columns = []
+        for field in schema.fields:
+            column = new if field.name == "text" else piece.column(field.name)
+            if field.name == "n_chars":
+                sizes = [len(t) if c else n for t, c, n in zip(texts, cuts, column.to_pylist())]
+                column = pa.array(sizes, column.type)
+            columns.append(column)
+        return pa.RecordBatch.from_arrays(columns, schema.names).filter(keep)
 
     return marked.select(*schema.names, mark).mapInArrow(run, schema)

@@ -38,6 +38,10 @@ def free_name(frame: DataFrame, base: str) -> str:
     return base
 
 
+#: For rows with two texts or more: an executor holds a batch of each task twice.
+SMALL_BATCH = 8 << 20
+
+
 def few(frame: DataFrame) -> DataFrame:
     """The frame in at most four partitions per core of the cluster.
 
@@ -59,9 +63,18 @@ class Kept:
         self.spark = spark
         self.paths: dict[int, tuple[DataFrame, str]] = {}
 
-    def keep(self, frame: DataFrame, name: str) -> DataFrame:
+    def keep(self, frame: DataFrame, name: str, batch: int | None = None) -> DataFrame:
+        """``batch``: bytes handed to Python at once, if other than the session's."""
         path = new_path(self.spark, name)
-        few(frame).write.parquet(path)
+        setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+        before = self.spark.conf.get(setting)
+        try:
+            if batch:
+                self.spark.conf.set(setting, str(batch))
+            few(frame).write.parquet(path)
+        finally:
+            if batch:
+                self.spark.conf.set(setting, before)
         stored = self.spark.read.schema(frame.schema).parquet(path)
         self.paths[id(stored)] = stored, path
         return stored

@@ -134,9 +134,9 @@ def sequence_hash(values: np.ndarray, first: np.ndarray, seed: int = 2) -> np.nd
     return mix(total[first[1:]] - total[first[:-1]] + np.diff(first).astype(np.uint64), seed)
 
 
-def parts(batch: pa.RecordBatch, column: str = "text", size: int = PART) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``size`` bytes of text each."""
-    offsets = buffers(batch.column(column))[1]
+def parts(batch: pa.RecordBatch, *columns: str, size: int = PART) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes each in its columns of text."""
+    offsets = sum(buffers(batch.column(c))[1] for c in columns or ("text",))
     i, n = 0, batch.num_rows
     while i < n:
         j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1))
