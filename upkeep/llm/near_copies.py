@@ -277,7 +277,7 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         raise ValueError(f"the bands are laid out for similarities of {SIMILARITY} and more")
     kept = Kept(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    signed = kept.keep(sign(docs), "signatures")
+    signed = kept.keep(sign(docs), "signatures", SMALL_BATCH)
     with_words = signed.where("doc_id is not null and signature is not null")
     nodes = kept.keep(with_words.groupBy("one", "two").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")), "nodes")
 
