@@ -142,7 +142,3 @@ def parts(batch: pa.RecordBatch, *columns: str, size: int = PART) -> Iterator[pa
         j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1))
         yield batch.slice(i, j - i)
         i = j
-
-
-def repeat_rows(batch: pa.RecordBatch, column: str, rows: np.ndarray) -> pa.Array:
-    return batch.column(column).take(pa.array(rows))
