@@ -119,6 +119,43 @@ def test_suffixes_find_exactly_the_repeats(spark):
     assert found == repeated_words(rows)
 
 
+def roles_by_brute_force(rows, size=50):
+    """Per document and role the words in runs of ``size`` that a smaller (larger) document has."""
+    at = {}
+    for doc, text in rows:
+        words = re.findall(WORD, text.lower())
+        for k in range(len(words) - size + 1):
+            at.setdefault(tuple(words[k : k + size]), set()).add((doc, k))
+    out = {}
+    for places in at.values():
+        low, high = min(places)[0], max(places)[0]
+        for doc, k in places:
+            for role in ["copy"] * (doc > low) + ["source"] * (doc < high):
+                out.setdefault((doc, role), set()).update(range(k, k + size))
+    return out
+
+
+def recombined():
+    """A passage of 60 words in many surroundings, and a block between recombined headers and footers."""
+    passage, block = prose(7000, 60), prose(7001, 27)
+    heads, tails = [[prose(7100 + 100 * j + i, 40) for i in range(4)] for j in range(2)]
+    rows = [(i, f"{prose(7300 + i, 40)} {passage} {prose(7400 + i, 40)}") for i in range(60)]
+    rng = random.Random(3)
+    for i in range(60):
+        head, tail = rng.choice(heads).split()[-rng.randint(5, 20) :], rng.choice(tails).split()[: rng.randint(5, 20)]
+        rows.append((100 + i, " ".join([prose(7500 + i, 40), *head, block, *tail, prose(7600 + i, 40)])))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("rows", [corpus(), recombined()])
+def test_suffixes_give_every_later_copy_its_role(spark, rows):
+    found = {}
+    for r in S.repeats(documents(spark, rows)).collect():
+        found.setdefault((r.doc_id, r.role), set()).update(range(r.start, r.end))
+    assert found == roles_by_brute_force(rows)
+
+
 @pytest.mark.parametrize("partitions", ["3", "40"])
 def test_suffixes_meet_across_partitions(spark, partitions):
     before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")

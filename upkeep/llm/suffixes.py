@@ -4,18 +4,18 @@ Of each text only the suffixes that begin at a minimiser are kept: the smallest
 shingle hash of ``WINDOW`` neighbours, so a passage of ``WORDS`` words has one within
 its first half wherever it stands. A suffix carries the hash of the ``BLOCK`` words it
 begins with and ``REACH`` words to both sides as 16-bit hashes. Suffixes are sorted by
-what follows and neighbours of equal blocks are compared and extended left and right;
-those that could still gain are sorted again by what precedes, and compared.
+what follows, and how far neighbours of equal blocks agree tells which runs of
+``WORDS`` words around a block may stand elsewhere. Those are grouped by their hash,
+with the smallest and the largest document that has them.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from upkeep.llm.passages import sliding_min
@@ -40,18 +40,10 @@ SUFFIX = pa.schema(
     ]
 )
 DDL = "block long, right binary, left binary, doc_id long, place long"
-FOUND = pa.schema(
-    [
-        ("kind", pa.string()),
-        *SUFFIX,
-        ("part", pa.int64()),
-        ("other", pa.int64()),
-        ("other_place", pa.int64()),
-        ("before", pa.int32()),
-        ("after", pa.int32()),
-    ]
-)
-FOUND_DDL = f"kind string, {DDL}, part long, other long, other_place long, before int, after int"
+SPAN = pa.schema([("doc_id", pa.int64()), ("role", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("other", pa.int64()), ("run", pa.int64())])
+SPAN_DDL = "doc_id long, role string, start long, end long, other long, run long"
+#: Suffixes whose runs are grouped at once.
+PIECE = 20_000
 
 
 def minimisers(hashes: np.ndarray, first: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,56 +112,55 @@ def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(apart.any(axis=1), apart.argmax(axis=1), a.shape[1])
 
 
-def _compared(table: pa.Table, i: np.ndarray, j: np.ndarray, right: np.ndarray, left: np.ndarray) -> tuple[pa.RecordBatch, np.ndarray]:
-    """Matches of rows i with rows j, for both; and how far each pair agrees in all."""
-    before, after = common(left[i], left[j]), common(right[i], right[j])
-    total = before + after + BLOCK
-    good = total >= WORDS
-    i, j, before, after = i[good], j[good], before[good], after[good]
-    mine, other = np.concatenate((i, j)), np.concatenate((j, i))
-    doc, place = table.column("doc_id").to_numpy(), table.column("place").to_numpy()
-    n = len(mine)
-    return (
-        pa.RecordBatch.from_arrays(
-            [
-                pa.array(["match"] * n, pa.string()),
-                *(pa.nulls(n, t) for t in (pa.int64(), pa.binary(), pa.binary())),
-                pa.array(doc[mine]),
-                pa.array(place[mine]),
-                pa.nulls(n, pa.int64()),
-                pa.array(doc[other]),
-                pa.array(place[other]),
-                pa.array(np.tile(before, 2), pa.int32()),
-                pa.array(np.tile(after, 2), pa.int32()),
-            ],
-            schema=FOUND,
-        ),
-        total,
-    )
-
-
-def _rows(table: pa.Table, at: np.ndarray, kind: str, part: int) -> pa.RecordBatch:
-    some = table.take(pa.array(at)).combine_chunks()
-    n = len(at)
-    columns = [some.column(c).chunk(0) if n else pa.nulls(0, t) for c, t in zip(SUFFIX.names, SUFFIX.types)]
-    rest = [pa.array([part] * n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32())]
-    return pa.RecordBatch.from_arrays([pa.array([kind] * n, pa.string()), *columns, *rest], schema=FOUND)
-
-
-def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare the neighbours of one sorted partition.
-
-    Every suffix is compared with the nearest one before and after it, of the same
-    block but another document. Kinds of rows: ``match``; ``open``, a suffix that has a
-    neighbour but no match as long as it can see; ``first`` and ``last``, those that
-    may have neighbours in the partitions beside.
+def run_hashes(block: np.ndarray, right: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Per suffix the hashes of the ``WORDS`` words around it with 0, 1, ... ``REACH`` of them before its block."""
+    step = np.arange(REACH, dtype=np.uint64)
+    none = np.zeros((len(block), 1), np.uint64)
+    before = np.concatenate((none, np.cumsum(mix(left + mix(step, 82), 83), axis=1)), axis=1)
+    after = np.concatenate((none, np.cumsum(mix(right + mix(step, 84), 85), axis=1)), axis=1)
+    return mix(mix(before, 86) + mix(after[:, ::-1], 87) + block.astype(np.uint64)[:, None] + mix(np.arange(REACH + 1, dtype=np.uint64), 88), 89)
+
+
+def _spans(doc: np.ndarray, start: np.ndarray, row: np.ndarray, run: np.ndarray, whole: bool) -> Iterator[pa.RecordBatch]:
+    """Spans of the runs that several documents have. Runs of a suffix follow one another, the last one first.
+
+    If these are not all documents with the runs, the first is handed on as a possible
+    copy and the last as a possible source, with the run: the others' roles are settled.
+    """
+    order = np.argsort(run)
+    head = np.flatnonzero(np.concatenate(([True], np.diff(run[order].view(np.uint64)) != 0)))
+    size = np.diff(np.append(head, len(run)))
+    low, high = np.empty_like(doc), np.empty_like(doc)
+    low[order] = np.repeat(np.minimum.reduceat(doc[order], head), size)
+    high[order] = np.repeat(np.maximum.reduceat(doc[order], head), size)
+    apart = np.concatenate(([True], row[1:] != row[:-1]))
+    for role, mask, other in (("copy", doc > low, low), ("source", doc < high, high)):
+        before = np.concatenate(([False], mask[:-1]))
+        first = np.flatnonzero(mask & (apart | ~before))
+        last = np.flatnonzero(mask & np.append(apart[1:] | ~mask[1:], True))
+        stretch = np.where(mask, other, np.iinfo(np.int64).max)
+        columns = (doc[first], [role] * len(first), start[last], start[first] + WORDS, np.minimum.reduceat(stretch, first) if len(first) else first)
+        yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(columns, SPAN.types)), pa.nulls(len(first), pa.int64())], schema=SPAN)
+        if not whole:
+            at = np.flatnonzero(~mask)
+            columns = (doc[at], [role] * len(at), start[at], start[at] + WORDS)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(columns, SPAN.types)), pa.nulls(len(at), pa.int64()), pa.array(run[at])], schema=SPAN)
+
+
+def shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of runs of ``WORDS`` words that stand in other documents, of one sorted partition.
+
+    No suffix agrees with what follows a suffix further than the nearest one before and
+    after it, of the same block but another document. So many words after the block a
+    shared run has at most. The first and the last block may go on in the partitions
+    beside, and very frequent blocks are worked on in pieces: of the documents with a
+    run of theirs the first and the last are handed on with its hash.
     """
-    part = uuid.uuid4().int >> 65  # of this call; borders are told by their suffixes
     batches = list(batches)
     table = pa.Table.from_batches(batches, SUFFIX) if batches else None
     if table is None or not table.num_rows:
         return
-    block, doc = table.column("block").to_numpy(), table.column("doc_id").to_numpy()
+    block, doc, place = (table.column(c).to_numpy() for c in ("block", "doc_id", "place"))
     n = len(block)
     right, left = _words(table.column("right")), _words(table.column("left"))
     new_block = np.concatenate(([True], block[1:] != block[:-1]))
@@ -177,67 +168,49 @@ def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     head = np.flatnonzero(new_run)
     run = np.cumsum(new_run) - 1
     start, end = head[run], np.append(head[1:], n)[run]
+    reach = np.full(n, -1, np.int64)
     i = np.flatnonzero(~new_block[start])
-    back = start[i] - 1
     j = np.flatnonzero((end < n) & ~np.append(new_block, True)[np.minimum(end, n)])
-    ahead = end[j]
-    ahead_only = end[j] - 1 != j  # the last of a run is met from the other side
-    longest = np.zeros(n, np.int64)
-    for a, b in ((i, back), (j[ahead_only], ahead[ahead_only])):
-        found, total = _compared(table, a, b, right, left)
-        yield found
-        np.maximum.at(longest, a, total)
-        np.maximum.at(longest, b, total)
-    met = np.zeros(n, bool)
-    met[i] = met[j] = True
-    yield _rows(table, np.flatnonzero(met & (longest < BLOCK + 2 * REACH)), "open", part)
-    # Two documents' suffixes at each end are enough: whichever is beside differs from one.
-    for kind, order in (("first", head[:2]), ("last", np.append(head[1:], n)[-2:] - 1)):
-        edge = block[order[0] if kind == "first" else order[-1]]
-        yield _rows(table, order[block[order] == edge], kind, part)
-
-
-def _beside(found: DataFrame, order: list[str]) -> pa.Table | None:
-    """Matches across the borders of partitions, which stand in the order of their suffixes.
-
-    What reaches the driver is at most four suffixes per partition.
-    """
-    by = [(c, "ascending") for c in ("block", *order, "doc_id", "place")]
-    ends = found.where("kind in ('first', 'last')").toArrow().sort_by(by)
-    if not ends.num_rows:
-        return None
-    part, kind = ends.column("part").to_numpy(), np.array(ends.column("kind").to_pylist())
-    block, doc = ends.column("block").to_numpy(), ends.column("doc_id").to_numpy()
-    known = list(dict.fromkeys(part.tolist()))
-    i, j = [], []
-    for p, q in zip(known, known[1:]):
-        for a in np.flatnonzero((part == p) & (kind == "last")):
-            for b in np.flatnonzero((part == q) & (kind == "first") & (block == block[a]) & (doc != doc[a])):
-                i.append(a)
-                j.append(b)
-    if not i:
-        return None
-    return pa.Table.from_batches([_compared(ends, np.array(i), np.array(j), _words(ends.column("right")), _words(ends.column("left")))[0]])
-
-
-def matches(rows: DataFrame, order: list[str], kept: Kept) -> tuple[DataFrame, DataFrame]:
-    """Sort by block and order, compare: matches, and suffixes that are still open."""
-    columns = ["block", *order, "doc_id", "place"]
-    found = rows.repartitionByRange(*columns).sortWithinPartitions(*columns).mapInArrow(neighbours, FOUND_DDL)
-    found = kept.keep(found, "neighbours")
-    good = found.where("kind = 'match'")
-    more = _beside(found, order)
-    if more is not None:
-        good = good.unionAll(rows.sparkSession.createDataFrame(more, found.schema))
-    return good, found.where("kind in ('open', 'first', 'last')").select(*SUFFIX.names).distinct()
+    for mine, other in ((i, start[i] - 1), (j, end[j])):
+        reach[mine] = np.maximum(reach[mine], common(right[mine], right[other]))
+    edge = (start == 0) | (end == n)
+    reach[edge] = common(right[edge], right[edge])
+    before = common(left, left)  # words the text has there
+
+    heads = np.flatnonzero(new_block)
+    size = np.diff(np.append(heads, n))
+    on = (heads == 0) | (heads + size == n) | (size > PIECE)
+    on = np.repeat(on, size)
+    some = (reach >= 0) & (before + reach >= REACH)
+    number = np.cumsum(new_block)
+
+    def pieces(at: np.ndarray, whole: bool) -> Iterator[np.ndarray]:
+        """Suffixes in pieces of about ``PIECE``, of whole blocks if asked."""
+        low = 0
+        while low < len(at):
+            high = min(len(at), low + PIECE)
+            if whole and high < len(at):
+                high = int(np.searchsorted(number[at], number[at[high]]))
+            yield at[low:high]
+            low = high
+
+    for mask, whole in ((some & ~on, True), (some & on, False)):
+        for at in pieces(np.flatnonzero(mask), whole):
+            hashes = run_hashes(block[at], right[at], left[at])
+            least = REACH - reach[at]
+            count = before[at] - least + 1
+            row = np.repeat(np.arange(len(at)), count)
+            ahead = ranges(least, count)
+            yield from _spans(doc[at][row], place[at][row] - ahead, row, hashes[row, ahead].view(np.int64), whole)
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """Passages of at least 50 words that stand word for word in another document.
 
     Per document, role and passage: doc_id, role, start, end (words, end not
-    included), other. In the role ``copy`` a document with a smaller doc_id, ``other``
-    being the smallest compared, has it too; in the role ``source`` one with a larger.
+    included), other. The role ``copy`` covers all words of runs of 50 that a document
+    with a smaller doc_id has too, ``other`` being the smallest compared; the role
+    ``source`` those that one with a larger has.
     Overlapping passages are one. Documents without any have no row. Words are those
     of ``upkeep.llm.words``, so case and punctuation do not matter.
 
@@ -247,15 +220,13 @@ def repeats(docs: DataFrame) -> DataFrame:
     """
     kept = Kept(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
-    good, still = matches(suffixes(docs), ["right", "left"], kept)
-    kept.release()
-    more, _ = matches(still, ["left", "right"], kept)
-    both = good.unionAll(more)
-    spans = both.select(
-        "doc_id",
-        F.when(F.col("doc_id") > F.col("other"), "copy").otherwise("source").alias("role"),
-        (F.col("place") - F.col("before")).alias("start"),
-        (F.col("place") + BLOCK + F.col("after")).alias("end"),
-        "other",
-    )
-    return few(merged(spans))
+    columns = ["block", "right", "left", "doc_id", "place"]
+    found = suffixes(docs).repartitionByRange(*columns).sortWithinPartitions(*columns)
+    found = kept.keep(found.mapInArrow(shared_runs, SPAN_DDL), "runs")
+    kept.release()  # the suffixes' shuffle is larger than the spans
+    of_run = Window.partitionBy("run")  # two documents of each piece, so few however frequent the run is
+    open_rows = found.where("run is not null")
+    open_rows = open_rows.withColumn("low", F.min("doc_id").over(of_run)).withColumn("high", F.max("doc_id").over(of_run))
+    other = F.when(F.col("role") == "copy", F.col("low")).otherwise(F.col("high"))
+    settled = open_rows.withColumn("other", other).where("doc_id <> other").select("doc_id", "role", "start", "end", "other")
+    return few(merged(found.where("run is null").drop("run").unionByName(settled)))
