@@ -110,6 +110,38 @@ def test_near_passages_are_found_and_far_ones_are_not(spark):
     assert len(found) >= 0.9 * sum(near.values())
 
 
+@pytest.mark.parametrize("words,inserted", [(60, 2), (60, 4), (120, 9), (400, 60)])
+def test_passages_of_unequal_length_match_by_their_similarity(words, inserted):
+    rng = np.random.default_rng(words)
+    shared = rng.integers(1, 1 << 60, words - 4).astype(np.uint64)
+    half = words // 2
+    new = rng.integers(1, 1 << 60, inserted + 4).astype(np.uint64)
+    other = np.concatenate((shared[: half - 4], new, shared[half:]))
+    around = [rng.integers(1, 1 << 60, 70).astype(np.uint64) for _ in range(4)]
+    a, b = np.concatenate((around[0], shared, around[1])), np.concatenate((around[2], other, around[3]))
+    kept = words - 8
+    assert kept / (len(shared) + len(other) - kept) >= P.SIMILARITY
+    found = P.matched_spans(a, b, [(0, 70, 70), (inserted, 70 + half, 70 + half)])
+    assert found == ([(70, 69 + len(shared))], [(70, 69 + len(other))])
+
+
+def test_alike_is_brute_force():
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        a = rng.integers(0, 1 << 60, 90).astype(np.uint64)
+        b = np.where(rng.random(90) < 0.12, np.uint64(1), a)
+        at = int(rng.integers(30, 60))
+        b = np.concatenate((b[:at], np.full(int(rng.integers(0, 9)), 2, np.uint64), b[at:]))
+        i, j = np.nonzero(a[:, None] == b)
+        want = set()
+        for x in range(len(i)):
+            for y in range(x, len(i)):
+                la, lb, n = i[y] - i[x] + 1, j[y] - j[x] + 1, y - x + 1
+                if min(la, lb) >= P.LENGTH and n / (la + lb - n) >= P.SIMILARITY:
+                    want.update(range(i[x], i[y] + 1))
+        assert {k for x in P.alike(a, b, np.arange(-9, 10)) for k in range(x[0], x[1] + 1)} == want
+
+
 def test_suffixes_find_exactly_the_repeats(spark):
     rows = corpus()
     found = {}

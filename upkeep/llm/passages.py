@@ -10,6 +10,7 @@ hashes agree give candidates, and those are verified on the texts.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -184,9 +185,58 @@ def candidates(at_a: np.ndarray, at_b: np.ndarray) -> list[tuple[int, int, int]]
     return out
 
 
+def chain(at_a: np.ndarray, at_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A longest sequence of shared places that goes forward in both texts."""
+    order = np.lexsort((-at_b, at_a))
+    at_a, at_b = at_a[order], at_b[order]
+    if (np.diff(at_a) > 0).all() and (np.diff(at_b) > 0).all():
+        return at_a, at_b
+    ends: list[int] = []
+    last: list[int] = []
+    before = []
+    for i, b in enumerate(at_b.tolist()):
+        k = bisect_left(ends, b)
+        before.append(last[k - 1] if k else -1)
+        ends[k : k + 1], last[k : k + 1] = [b], [i]
+    i, out = last[-1], []
+    while i >= 0:
+        out.append(i)
+        i = before[i]
+    return at_a[out[::-1]], at_b[out[::-1]]
+
+
+def alike(a: np.ndarray, b: np.ndarray, shifts: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """Passages of any length from ``LENGTH`` shingles on, first and last shingle in a and in b.
+
+    They begin and end with a shared shingle, and the shared ones of those on these
+    alignments are at least ``SIMILARITY`` of all: n / (length in a + in b - n). With
+    each first place goes the last one for which that holds.
+    """
+    pairs = []
+    for s in shifts.tolist():
+        low, high = max(0, -s), min(len(a), len(b) - s)
+        if high > low:
+            same = np.flatnonzero(a[low:high] == b[low + s : high + s]) + low
+            pairs.append((same, same + s))
+    if not pairs or sum(len(x) for x, _ in pairs) < LENGTH * SIMILARITY:
+        return []
+    at_a, at_b = chain(*(np.concatenate(x) for x in zip(*pairs)))
+    worth = (1 + SIMILARITY) / SIMILARITY * np.arange(len(at_a)) - at_a - at_b
+    best = np.maximum.accumulate(worth[::-1])  # of the places from one on, the last first
+    least = worth - (1 + SIMILARITY) / SIMILARITY + 2 - 1e-9
+    end = len(at_a) - 1 - np.searchsorted(best, least)
+    first = np.arange(len(at_a))
+    good = end >= first
+    first, end = first[good], end[good]
+    long = np.minimum(at_a[end] - at_a[first], at_b[end] - at_b[first]) + 1 >= LENGTH
+    first, end = first[long], end[long]
+    return list(zip(at_a[first].tolist(), at_a[end].tolist(), at_b[first].tolist(), at_b[end].tolist()))
+
+
 def matched_spans(a: np.ndarray, b: np.ndarray, found: list[tuple[int, int, int]]) -> tuple[list, list]:
     """Passages of a and of b (first shingle, last shingle) of which enough shingles
-    stand in the other text about where the alignment puts them."""
+    stand in the other text about where the alignment puts them, or that are alike in
+    all, whatever their lengths."""
     seen_a, seen_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
     shifts = np.array(sorted({s for s, _, _ in found}))
     whole = sorted(set((shifts[:, None] + np.arange(-1, 2)).ravel().tolist()))
@@ -196,14 +246,25 @@ def matched_spans(a: np.ndarray, b: np.ndarray, found: list[tuple[int, int, int]
             same = np.flatnonzero(a[low:high] == b[low + s : high + s]) + low
             seen_a[same] = True
             seen_b[same + s] = True
-    out = []
+    wide = np.unique(shifts[:, None] + np.arange(-SHIFT, SHIFT + 1))
+    groups = np.split(wide, np.flatnonzero(np.diff(wide) > 1) + 1)
+    passed = []
+    if not (seen_a.all() and seen_b.all()):  # else the windows cover both texts
+        passed = [x for g in [*groups, *([wide] if len(groups) > 1 else [])] for x in alike(a, b, g)]
+    out, at = [], []
     for seen in (seen_a, seen_b):
         total = np.concatenate(([0], np.cumsum(seen)))
-        good = total[LENGTH:] - total[:-LENGTH] >= MATCHED
+        at.append(np.flatnonzero(total[LENGTH:] - total[:-LENGTH] >= MATCHED))
+    both = len(at[0]) and len(at[1])
+    for side, seen in enumerate((seen_a, seen_b)):
         cover = np.zeros(len(seen) + 1, np.int64)
-        at = np.flatnonzero(good)
-        np.add.at(cover, at, 1)
-        np.add.at(cover, at + LENGTH, -1)
+        if both:
+            np.add.at(cover, at[side], 1)
+            np.add.at(cover, at[side] + LENGTH, -1)
+        for x in passed:
+            seen[[x[2 * side], x[2 * side + 1]]] = True
+            cover[x[2 * side]] += 1
+            cover[x[2 * side + 1] + 1] -= 1
         cover = np.cumsum(cover)[:-1] > 0
         spans = []
         for i, j in zip(*runs(cover)):
