@@ -1,0 +1,100 @@
+import base64
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+from tests.llm.data import CLASHES, documents, odd_rows
+from upkeep.llm import byte_bpe
+
+NAMES = ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"]
+ODD = ["", " ", "a  b", " lead", "trail ", "a \n\n b", "tab\tz\x1cq\x85w", "it's they'll 'S", "<|endoftext|>", "ΣΑΣ 漢字 \U0001f600", "a　b\xa0 c", "\x00\x01", "123 4,5 !!!???..."]
+
+
+def library(path):
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def load(name):
+    path = public_tokenizers.path(name)
+    return byte_bpe.load(path, public_tokenizers.PATTERN), library(path)
+
+
+def encode(model, text):
+    return [i for ids in model.encode(text) for i in ids]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_ids_are_the_library(name):
+    model, other = load(name)
+    rng = random.Random(5)
+    mixed = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 200))) for letters in ("ab", "etaoinsr", "01 ,", "é漢Üna", "\n \tx", "=-_*") for _ in range(150)]
+    for text in ODD + mixed:
+        ids = encode(model, text)
+        assert ids == other.encode_ordinary(text)
+        assert model.decode(ids) == text.encode()
+
+
+def test_splitting_sees_every_character_as_the_library():
+    model, other = load(NAMES[0])
+    for code in [*range(0x3100), *range(0xF900, 0x10400), *range(0x1F000, 0x1F100), 0x10FFFF]:
+        c = chr(code)
+        text = f"a{c}1{c} {c}{c}  {c}!{c} b{c}"
+        assert encode(model, text) == other.encode_ordinary(text), hex(code)
+
+
+def test_border_test_is_merging():
+    model, _ = load(NAMES[0])
+    rng = random.Random(1)
+    tokens = [t for t in model.length if model.size[t] < 6]
+    pairs = [(rng.choice(tokens), rng.choice(tokens)) for _ in range(20_000)]
+    apart = [model._kept_apart(a, b) for a, b in pairs]
+    assert 0.1 < sum(apart) / len(pairs) < 1
+    assert apart == [model.merge(model.bytes_of[a] + model.bytes_of[b]) == [a, b] for a, b in pairs]
+
+
+def test_dead_ends_are_given_up(tmp_path):
+    """A vocabulary in which the longest match leads astray."""
+    tokens = [bytes([b]) for b in range(256)] + [b"bc", b"cd", b"bcd", b"ab", b"abc"]
+    file = tmp_path / "ranks"
+    file.write_bytes(b"\n".join(base64.b64encode(t) + b" " + str(i).encode() for i, t in enumerate(tokens)))
+    model = byte_bpe.RankBpe(str(file), public_tokenizers.PATTERN)
+    rng = random.Random(2)
+    for _ in range(2000):
+        piece = "".join(rng.choice("abcd") for _ in range(rng.randint(2, 12))).encode()
+        want = [model.ranks[piece]] if piece in model.ranks else model.merge(piece)
+        assert list(model.encode_piece(piece.decode())) == want
+
+
+def test_time_is_linear_and_steps_do_not_show(monkeypatch):
+    model, other = load(NAMES[0])
+    long = "".join(random.Random(1).choice("etaoin") for _ in range(200_000))  # one piece
+    assert model.decode(encode(model, long)) == long.encode()
+    text = "Some words, 12 of them; and so on.\n" * 300
+    monkeypatch.setattr(byte_bpe, "STEP", 100)
+    assert encode(model, text) == other.encode_ordinary(text)
+
+
+def test_digests_of_odd_rows(spark, monkeypatch):
+    path = public_tokenizers.path(NAMES[0])
+    rows = odd_rows() + [(20 + i, text) for i, text in enumerate(ODD)] + [(9, "another text of the same id")]
+    other = library(path)
+    want = []
+    for doc_id, text in rows:
+        ids = other.encode_ordinary(text or "")
+        want.append((doc_id, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()))
+    got = byte_bpe.digests(documents(spark, rows, CLASHES), path, public_tokenizers.PATTERN).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    full = byte_bpe.encode_and_decode(documents(spark, [(1, "Hello there"), (2, None)]), path, public_tokenizers.PATTERN).collect()
+    assert [(r.doc_id, r.ids, bytes(r.decoded)) for r in full] == [(1, other.encode_ordinary("Hello there"), b"Hello there"), (2, [], b"")]
+    assert byte_bpe.digests(documents(spark, []), path, public_tokenizers.PATTERN).collect() == []
+
+
+def test_a_file_must_have_all_bytes(tmp_path):
+    file = tmp_path / "ranks"
+    file.write_bytes(base64.b64encode(b"a") + b" 0\n")
+    with pytest.raises(ValueError, match="no token"):
+        byte_bpe.RankBpe(str(file), public_tokenizers.PATTERN)

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from upkeep.llm.blocks import token_blocks
 from upkeep.llm.bpe import digests
+from upkeep.llm.byte_bpe import digests as byte_digests
 from upkeep.llm.fingerprints import edited_fingerprints, fingerprint_classes
 from upkeep.llm.language import languages
+from upkeep.llm.merkle import manifest_rows
 from upkeep.llm.near_copies import near_copies
+from upkeep.llm.negatives import hard_negatives, quantized
 from upkeep.llm.packing import pack
 from upkeep.llm.passages import passages
 from upkeep.llm.shards import sharding
@@ -91,3 +94,47 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest rows of every hundredth vector, by counting collisions."""
     return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 100 == 0, k=10)
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that score 30 to 90 percent of each anchor's best five of its own."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = quantized(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), label)
+    return hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+ORACLES["op11_hard_negatives"] = """
+    WITH usable AS (
+        SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    scores AS (
+        SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id,
+               CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+        FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+        WHERE a.vec_id % 100 = 0),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scores USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10"""
+
+
+@query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts encoded by backtracking over byte-level ranks, and decoded again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return byte_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Merkle tree over all documents, and every document's proof tried on what it may have become."""
+    return manifest_rows(spark.read.parquet(f"{sf_dir}/documents.parquet"))
