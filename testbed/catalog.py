@@ -25,7 +25,7 @@ from upkeep.fixed import (
     UNSCHEDULED_KINDS,
 )
 from upkeep.functions import key_bucket
-from upkeep.streaming import score_stream
+from upkeep.streaming import read_averages, read_scores, score_stream, update_averages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -304,6 +304,23 @@ def matrix_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(stored_matrix(spark, sf_dir)).withColumn("month", F.col("month").cast("string"))
 
 
+@query(
+    """SELECT lpad(asset_id, 6, '0') AS asset_id, day, round(average, 6) AS average,
+              strftime(day, '%Y-%m') AS month FROM daily"""
+)
+def averages_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages of a directory that grows between two runs; the second run finds files
+    of new assets and days, and late ones of days that were averaged before."""
+    path, out, progress = (scratch(spark, name) for name in ("growing", "averages", "seen"))
+    early = (F.dayofmonth("date") <= 20) & (F.col("series") == roles.SERIES[0])
+    every = readings(spark, sf_dir)
+    for new, prefix in ((early, "in-"), (~early, "late-")):
+        stem = F.concat(F.lit(prefix), F.lpad("asset_id", 6, "0"))
+        write_reading_files(every.filter(new), path, stem)
+        update_averages(spark, path, out, progress).awaitTermination()
+    return rounded(read_averages(spark, out))
+
+
 @query("SELECT asset_id, day, requested_day FROM requests")
 def parse_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests(spark, sf_dir)
@@ -422,6 +439,25 @@ def join_hot_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(operators.join_on_keys(hub_daily(spark, sf_dir), repeated, "inner", hot))
 
 
+def keyed(frame: DataFrame, name: str, **settings: int) -> operators.Keyed:
+    """The frame by way of a table in buckets."""
+    path = scratch(frame.sparkSession, name)
+    sinks.write_keyed(frame, path, buckets=8, **settings)
+    return sources.read_keyed(frame.sparkSession, path)
+
+
+@query(
+    f"""SELECT asset_id, day, round(average, 6) AS average, flighthours, flightcycles,
+               delayedminutes
+        FROM ({HUB_DAILY_SQL}) JOIN ({HUB_UTILIZATION_SQL}) USING (asset_id, day)"""
+)
+def join_stored_hot_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from tables in buckets, whose hot key is stored apart."""
+    averages = keyed(hub_daily(spark, sf_dir), "hub-daily")
+    repeated = keyed(hub_utilization(spark, sf_dir), "hub-utilization", rows_per_piece=100)
+    return rounded(operators.join_keyed(averages.bucketed, repeated))
+
+
 @query(
     f"""SELECT r.asset_id, r.day, requests, round(average, 6) AS average, flighthours,
                CASE WHEN average IS NULL THEN 'no_readings'
@@ -437,7 +473,9 @@ def request_features_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
         hub(spark, sf_dir).filter(F.col("event_type") == "purchase"), "day", "asset_id"
     )
     repeated = hub_utilization(spark, sf_dir)
-    known = operators.request_features(asked, hub_daily(spark, sf_dir), repeated, find_hot=True)
+    known = operators.request_features(
+        asked, hub_daily(spark, sf_dir), repeated, find_hot=True, rows_per_piece=100
+    )
     return rounded(known).select(*KEYS, "requests", AVERAGE, "flighthours", "status")
 
 
@@ -450,6 +488,16 @@ def readings_for_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(operators.for_requests(daily(spark, sf_dir), asked))
 
 
+@query(
+    """SELECT asset_id, day, round(average, 6) AS average FROM daily
+       WHERE (asset_id, day) IN (SELECT (asset_id, day) FROM requests WHERE day IS NOT NULL)"""
+)
+def readings_for_many_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As for more requests than are broadcast: their bits filter the readings."""
+    asked = operators.take_requests(requests(spark, sf_dir), scratch(spark, "asked"))
+    return rounded(operators.for_requests(daily(spark, sf_dir), asked, max_keys=0))
+
+
 @query(
     f"""SELECT asset_id, day, {MEASURES_SQL} FROM base
         WHERE (asset_id, day) IN (SELECT (asset_id, day) FROM requests WHERE day IS NOT NULL)"""
@@ -478,6 +526,18 @@ def label_horizon_documented(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(matrix(spark, sf_dir))
 
 
+@query(f"SELECT asset_id, day, {MEASURES_SQL}, maintenance FROM labelled")
+def matrix_from_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix from stored averages and utilization, of which neither is shuffled."""
+    return rounded(
+        plans.build_stored_matrix(
+            keyed(daily(spark, sf_dir), "daily-buckets"),
+            keyed(utilization(spark, sf_dir), "utilization-buckets"),
+            unscheduled(spark, sf_dir),
+        )
+    )
+
+
 @query(f"SELECT asset_id, day, {MEASURES_SQL}, maintenance FROM labelled_as_coded")
 def label_horizon_as_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(matrix(spark, sf_dir, before=0, after=7, match="independent"))
@@ -771,7 +831,6 @@ def score_requests_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         scratch(spark, "progress"),
     )
     running.awaitTermination()
-    scored = spark.read.parquet(out)
-    return scored.select(
+    return read_scores(spark, out).select(
         "asset_id", "requested_day", "requests", "status", "prediction", "verdict"
     )

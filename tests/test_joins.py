@@ -3,8 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tests.frames import daily, rows, utilization
-from upkeep.operators import hotkeys, hot_keys, join_on_keys, pack_copies, spread, unpack_copies
+from tests.frames import daily, keys, rows, utilization
+from upkeep.operators import hotkeys, keyfilter, hot_keys, join_on_keys, pack_copies, spread, unpack_copies
 
 
 @pytest.fixture(scope="module")
@@ -125,3 +125,34 @@ def test_spread_depends_on_content_alone_and_divides_copies(spark):
     assert sorted(x for _, x in first) == sorted(r["x"] for r in frame.collect())
     sizes = [sum(1 for p, _ in first if p == n) for n in range(8)]
     assert max(sizes) < 2 * 4000 / 8
+
+
+# Keys as bits.
+
+
+def test_bits_are_bounded():
+    sizes = [keyfilter.filter_bits(n) for n in (0, 1, 10**6, 10**12)]
+    assert sizes == [64 * keyfilter.WORDS, 64 * keyfilter.WORDS, 1 << 24, keyfilter.MOST_BITS]
+
+
+@pytest.mark.parametrize("bits", [64 * keyfilter.WORDS, 1 << 17])
+def test_bits_lose_no_key(spark, bits):
+    """Every asked row stays; of the others about as many as bits are set."""
+    asked = spark.range(3000).selectExpr("concat('a', id) asset_id", "date '2024-01-01' day")
+    every = spark.range(60_000).selectExpr("concat('a', id) asset_id", "date '2024-01-01' day", "id")
+    stored = keyfilter.key_filter(asked, bits)
+    assert stored.count() <= bits // 64 // keyfilter.WORDS
+    assert {len(r["_words"]) for r in stored.collect()} == {keyfilter.WORDS}
+    kept = keyfilter.maybe_in(every, asked, bits)
+    assert kept.columns == every.columns
+    others = kept.filter("id >= 3000").count()
+    assert kept.filter("id < 3000").count() == 3000
+    share = 1 - (1 - 1 / bits) ** 3000
+    assert abs(others / 57_000 - share) < 0.01
+
+
+def test_bits_of_no_keys_and_of_nulls(spark):
+    nothing = keys(spark, [])
+    some = keys(spark, [("a", "2024-01-01"), (None, "2024-01-01")])
+    assert keyfilter.maybe_in(some, nothing, 1 << 14).count() == 0
+    assert rows(keyfilter.maybe_in(some, some, 1 << 14)) == rows(some)

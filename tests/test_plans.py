@@ -87,10 +87,13 @@ def test_many_requests_join_averages_not_readings(spark):
         plan = plan_of(operators.for_requests(catalog.daily(spark, SF), asked, max_keys=0))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" in plan
-    assert plan.index("LeftSemi") < plan.index("partial_avg")
-    # The averages and the requested keys.
-    assert plan.count("Exchange hashpartitioning") == 2
+    # The keys join the averages, and their bits the readings, before these are summed.
+    above, below = plan.split("partial_avg")
+    assert "SortMergeJoin" in above and above.count("LeftSemi") == 1
+    assert below.index("BroadcastHashJoin") < below.index("LeftSemi") < below.index("FileScan")
+    # The averages; then words and blocks of the bits, and the requested keys.
+    assert above.count("Exchange hashpartitioning") == 1
+    assert below.count("Exchange hashpartitioning") == 3
 
 
 def test_range_of_requested_days_reaches_the_scan(spark, tmp_path):
@@ -110,7 +113,7 @@ def test_sensor_files_are_read_without_the_series(spark, tmp_path):
 
 
 def test_library_gathers_nothing_unbounded():
-    """Driver-side gathering is limited to the two places whose size is bounded."""
+    """Driver-side gathering is limited to the three places whose size is bounded."""
     found = {}
     for path in sorted(pathlib.Path(ROOT, "upkeep").rglob("*.py")):
         if "llm" in path.parts:  # has tests of its own
@@ -120,17 +123,24 @@ def test_library_gathers_nothing_unbounded():
         count = len(re.findall(r"\.(?:collect|first|take|head)\(", text))
         if count:
             found[path.name] = count
-    assert found == {"hotkeys.py": 1, "requests.py": 1}
+    assert found == {"hotkeys.py": 1, "requests.py": 1, "keyed.py": 1}
 
 
 def test_status_reads_requests_once_and_each_table_once(spark):
-    plan = plan_of(catalog.request_status(spark, SF))
-    # Readings and utilization; the requests come from their snapshot.
-    assert len(re.findall(r"Scan ExistingRDD|FileScan", plan.split("InMemoryRelation")[0])) <= 4
     path = operators.take_requests(catalog.requests(spark, SF), catalog.scratch(spark, "held"))
     known = operators.request_features(path, catalog.daily(spark, SF), catalog.utilization(spark, SF))
     # Twice events (readings, utilization) and the snapshot: keys, valid and invalid rows.
-    assert plan_of(known).count("/held-") <= 4 and plan_of(known).count("events.parquet") == 2
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")  # else long paths are cut
+    try:
+        plan = plan_of(known)
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert plan.count("/held-") == 4 and plan.count("events.parquet") == 2
+
+
+def test_a_hot_request_is_dealt(spark):
+    plan = plan_of(catalog.request_features_hot(spark, f"{DATA}/sf0.01"))
+    assert "_piece" in plan and "_pieces" in plan
 
 
 def test_one_shuffle_before_the_tree_is_fitted(spark):

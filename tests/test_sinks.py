@@ -14,6 +14,7 @@ from upkeep import sinks, sources
 from upkeep.fixed import FEATURES, MATRIX_CSV_SCHEMA, NEGATIVE
 from upkeep.operators import join_on_keys
 from upkeep.plans.cli import main
+from upkeep.streaming import read_scores
 
 SF = f"{DATA}/sf0.001"
 
@@ -129,7 +130,7 @@ def test_jobs_hand_over_through_files(spark, inputs, tmp_path):
     out = {
         name: f"{tmp_path}/{name}-{uuid.uuid4().hex}"
         for name in ["averages", "matrix", "direct", "csv", "model", "metrics", "m2", "t2",
-                     "scores", "streamed", "progress", "report", "preview", "summary", "held"]
+                     "scores", "streamed", "progress", "report", "preview", "summary", "held", "growing", "seen", "by_key", "kpis", "from_buckets"]
     }
     tables = ["--utilization", specs["utilization"], "--interruptions", specs["interruptions"]]
     tables += ["--subsystem", roles.SUBSYSTEM]
@@ -138,10 +139,16 @@ def test_jobs_hand_over_through_files(spark, inputs, tmp_path):
     main(["matrix", "--readings", readings, *tables, "--out", out["direct"]])
     main(["matrix", "--readings", readings, *tables, "--format", "csv", "--out", out["csv"]])
 
+    main(["averages", "--readings", readings, "--out", out["growing"], "--progress", out["seen"]])
+    main(["store", "--averages", out["growing"], "--buckets", "4", "--out", out["by_key"]])
+    main(["store", "--utilization", specs["utilization"], "--buckets", "4", "--out", out["kpis"]])
+    main(["matrix", "--stored-averages", out["by_key"], "--stored-utilization", out["kpis"],
+          *tables[2:], "--out", out["from_buckets"]])
+
     expected = catalog.label_horizon_documented(spark, SF).withColumn(
         "asset_id", F.lpad("asset_id", 6, "0")
     )
-    for name in ["matrix", "direct"]:
+    for name in ["matrix", "direct", "from_buckets"]:
         stored = catalog.rounded(sources.read_matrix(spark, out[name]))
         assert rows(stored.select(*expected.columns)) == rows(expected)
     stored = catalog.rounded(sources.read_matrix_csv(spark, out["csv"]))
@@ -171,5 +178,5 @@ def test_jobs_hand_over_through_files(spark, inputs, tmp_path):
     columns = ["asset_id", "day", "requested_day", "requests", "status", "verdict"]
     scored = spark.read.parquet(out["scores"]).select(*columns)
     assert scored.filter("status = 'scored'").count() > 0
-    assert rows(scored) == rows(spark.read.parquet(out["streamed"]).select(*columns))
+    assert rows(scored) == rows(read_scores(spark, out["streamed"]).select(*columns))
     assert scored.filter(F.col("day") > day("2024-02-01")).count() == 0

@@ -43,6 +43,7 @@ def horizon_label(
     before: int = HORIZON_DAYS,
     after: int = 0,
     match: str = "pair",
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add the label: does a row's day lie in the window of an interruption?
 
@@ -55,11 +56,15 @@ def horizon_label(
 
     Rows are neither lost nor repeated. Label the daily averages, which have
     one row per key, before joining tables that repeat keys: they arrive
-    partitioned by key, so the paired join only shuffles the interruptions.
+    partitioned by key, so the paired join only shuffles the interruptions. For averages
+    stored in ``buckets`` the interruption days are dealt out as these are, whatever the
+    session's number of shuffle partitions.
     """
     check_window(before, after)
     if match == "pair":
         hits = interruption_days(interruptions, before, after)
+        if buckets is not None:
+            hits = hits.repartition(buckets, *KEYS)
         flagged = base.join(hits.withColumn("_hit", F.lit(True)), KEYS, "left")
         hit = F.col("_hit")
     elif match == "independent":

@@ -22,7 +22,8 @@ from upkeep.fixed import (
     SCORED,
 )
 from upkeep.functions import month_of
-from upkeep.operators.hotkeys import hot_keys, join_on_keys
+from upkeep.operators.hotkeys import ROWS_PER_PIECE, hot_keys, join_on_keys
+from upkeep.operators.keyfilter import filter_bits, maybe_in
 
 #: Requested keys that are broadcast, at most.
 BROADCAST_KEYS = 200_000
@@ -90,7 +91,8 @@ def for_requests(frame: DataFrame, asked: Asked, max_keys: int = BROADCAST_KEYS)
     ``max_keys`` keys are broadcast, and all other rows are dropped while scanning; for
     averages Catalyst moves that semi-join below the aggregate. More keys are
     shuffled, and for averages joined above the aggregate, by which these are grouped
-    by key already.
+    by key already; but first a filter of bounded size (``maybe_in``) drops nearly all
+    rows of other keys while scanning.
     """
     frame = frame.filter(F.col(DAY).between(F.lit(asked.first), F.lit(asked.last)))
     if MONTH in frame.columns:
@@ -100,6 +102,8 @@ def for_requests(frame: DataFrame, asked: Asked, max_keys: int = BROADCAST_KEYS)
     keys = asked.valid().select(*KEYS)
     if asked.keys <= max_keys:
         keys = F.broadcast(keys)
+    else:
+        frame = maybe_in(frame, keys, filter_bits(asked.keys))
     return frame.join(keys, KEYS, "left_semi")
 
 
@@ -109,17 +113,18 @@ def request_features(
     utilization: DataFrame,
     find_hot: bool = False,
     max_keys: int = BROADCAST_KEYS,
+    rows_per_piece: int = ROWS_PER_PIECE,
 ) -> DataFrame:
     """Every request with its features, as far as they exist, and a status.
 
     Keys stay attached throughout and no request is lost. A request repeats if
-    utilization repeats its key; ``find_hot`` looks for keys that it repeats very
-    often, among the rows that are asked for.
+    utilization repeats its key; ``find_hot`` looks for keys that it repeats more than
+    ``rows_per_piece`` times, among the rows that are asked for.
     """
     asked = as_asked(requests)
     averages = for_requests(daily, asked, max_keys).select(*KEYS, AVERAGE)
     kpis = for_requests(utilization, asked, max_keys).select(*KEYS, *KPIS)
-    hot = hot_keys(kpis) if find_hot else None
+    hot = hot_keys(kpis, rows_per_piece=rows_per_piece) if find_hot else None
     joined = join_on_keys(asked.valid().join(averages, KEYS, "left"), kpis, "left", hot)
     nothing = {name: F.lit(None).cast("double") for name in FEATURES}
     has_kpis = F.lit(True)

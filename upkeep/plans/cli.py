@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from upkeep import learning, sinks, sources
 from upkeep.fixed import (
+    AVERAGE,
     HORIZON_DAYS,
     INTERRUPTION_ASSET,
     INTERRUPTION_START,
+    KEYS,
     SUBSYSTEM,
     UNSCHEDULED_KINDS,
     UTILIZATION_ASSET,
@@ -20,11 +22,12 @@ from upkeep.fixed import (
 )
 from upkeep.operators import daily_average, hot_keys, take_requests
 from upkeep.operators.labels import check_window
-from upkeep.plans.matrix import build_matrix
+from upkeep.plans.matrix import build_matrix, build_stored_matrix
 from upkeep.plans.scoring import report, score
 from upkeep.plans.training import evaluate
 from upkeep.session import build_session
-from upkeep.streaming import score_stream
+from upkeep.sinks import Batches
+from upkeep.streaming import read_averages, read_scores, score_stream, update_averages
 
 
 def spec(path: str) -> dict[str, Any]:
@@ -46,13 +49,27 @@ def parser() -> argparse.ArgumentParser:
     averages.add_argument("--readings", nargs="+", required=True, help="directories")
     averages.add_argument("--series", help="only this sensor")
     averages.add_argument("--out", required=True)
+    averages.add_argument(
+        "--progress", help="add files not seen yet to OUT; what was seen is kept in this folder"
+    )
+
+    stored = jobs.add_parser("store", help="averages or utilization -> table in buckets")
+    given = stored.add_mutually_exclusive_group(required=True)
+    given.add_argument("--averages", help="stored daily averages")
+    given.add_argument("--utilization", type=spec, help="spec file")
+    utilization_columns(stored)
+    stored.add_argument("--buckets", type=int, required=True, help="the same for both tables")
+    stored.add_argument("--out", required=True)
 
     matrix = jobs.add_parser("matrix", help="inputs -> labelled matrix")
     given = matrix.add_mutually_exclusive_group(required=True)
     given.add_argument("--readings", nargs="+", help="directories of sensor files")
     given.add_argument("--averages", help="stored daily averages")
+    given.add_argument("--stored-averages", help="averages in buckets")
     matrix.add_argument("--series", help="only this sensor, if read from files")
-    matrix.add_argument("--utilization", type=spec, required=True, help="spec file")
+    other = matrix.add_mutually_exclusive_group(required=True)
+    other.add_argument("--utilization", type=spec, help="spec file")
+    other.add_argument("--stored-utilization", help="utilization in buckets")
     matrix.add_argument("--interruptions", type=spec, required=True, help="spec file")
     utilization_columns(matrix)
     matrix.add_argument("--interruption-asset", default=INTERRUPTION_ASSET, help="column")
@@ -98,8 +115,10 @@ def parser() -> argparse.ArgumentParser:
 
 
 def averages_of(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    if args.readings:
+    if getattr(args, "readings", None):
         return daily_average(sources.read_readings(spark, args.readings), args.series)
+    if Batches(spark, args.averages).exists():
+        return read_averages(spark, args.averages)
     return spark.read.parquet(args.averages)
 
 
@@ -114,12 +133,26 @@ def write_json(frame: DataFrame, path: str) -> None:
 
 
 def run_averages(spark: SparkSession, args: argparse.Namespace) -> None:
-    sinks.write_by_month(averages_of(spark, args), args.out)
+    if args.progress:
+        update_averages(
+            spark, args.readings, args.out, args.progress, args.series
+        ).awaitTermination()
+    else:
+        sinks.write_by_month(averages_of(spark, args), args.out)
+
+
+def run_store(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.averages:
+        table = averages_of(spark, args).select(*KEYS, AVERAGE)
+    else:
+        table = utilization_of(spark, args)
+    sinks.write_keyed(table, args.out, args.buckets)
 
 
 def run_matrix(spark: SparkSession, args: argparse.Namespace) -> None:
     check_window(args.before, args.after)
-    utilization = utilization_of(spark, args)
+    if bool(args.stored_averages) != bool(args.stored_utilization):
+        raise SystemExit("give both tables in buckets, or neither")
     interruptions = sources.interruptions_from(
         sources.read_source(spark, args.interruptions),
         args.subsystem,
@@ -127,15 +160,17 @@ def run_matrix(spark: SparkSession, args: argparse.Namespace) -> None:
         args.interruption_start,
         args.interruption_asset,
     )
-    matrix = build_matrix(
-        averages_of(spark, args),
-        utilization,
-        interruptions,
-        args.before,
-        args.after,
-        args.match,
-        hot_keys(utilization),
-    )
+    label = {"before": args.before, "after": args.after, "match": args.match}
+    if args.stored_averages:
+        averages = sources.read_keyed(spark, args.stored_averages)
+        utilization = sources.read_keyed(spark, args.stored_utilization)
+        matrix = build_stored_matrix(averages, utilization, interruptions, **label)
+    else:
+        utilization = utilization_of(spark, args)
+        hot = hot_keys(utilization)
+        matrix = build_matrix(
+            averages_of(spark, args), utilization, interruptions, **label, hot=hot
+        )
     if args.format == "csv":
         sinks.write_matrix_csv(matrix, args.out)
     else:
@@ -185,11 +220,13 @@ def run_score(spark: SparkSession, args: argparse.Namespace) -> None:
         )
         scored.write.mode("overwrite").parquet(args.out)
     if args.report:
-        report(spark.read.parquet(args.out)).write.mode("overwrite").parquet(args.report)
+        scores = read_scores(spark, args.out) if args.stream else spark.read.parquet(args.out)
+        report(scores).write.mode("overwrite").parquet(args.report)
 
 
 JOBS = {
     "averages": run_averages,
+    "store": run_store,
     "matrix": run_matrix,
     "train": run_train,
     "score": run_score,

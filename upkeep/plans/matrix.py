@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from upkeep.fixed import AVERAGE, FEATURES, HORIZON_DAYS, KEYS, KPIS, LABEL
-from upkeep.operators import Asked, as_asked, for_requests, horizon_label, hot_keys, join_on_keys
+from upkeep.operators import (
+    Asked,
+    Keyed,
+    as_asked,
+    for_requests,
+    horizon_label,
+    hot_keys,
+    join_keyed,
+    join_on_keys,
+)
 from upkeep.operators.requests import BROADCAST_KEYS
 
 
@@ -28,6 +37,25 @@ def build_matrix(
     return join_on_keys(labelled, utilization, "inner", hot).select(*KEYS, AVERAGE, *KPIS, LABEL)
 
 
+def build_stored_matrix(
+    daily: Keyed,
+    utilization: Keyed,
+    interruptions: DataFrame,
+    before: int = HORIZON_DAYS,
+    after: int = 0,
+    match: str = "pair",
+) -> DataFrame:
+    """``build_matrix`` over averages and utilization stored in as many buckets.
+
+    Only the interruption days are shuffled. The label ``match="independent"`` looks up
+    assets too, for which the averages are shuffled once more.
+    """
+    labelled = horizon_label(
+        daily.bucketed.select(*KEYS, AVERAGE), interruptions, before, after, match, daily.buckets
+    )
+    return join_keyed(labelled, utilization).select(*KEYS, AVERAGE, *KPIS, LABEL)
+
+
 def score_features(
     requests: DataFrame | Asked,
     daily: DataFrame,

@@ -46,6 +46,33 @@ def read_readings(
     )
 
 
+def stream_readings(
+    spark: SparkSession,
+    paths: str | list[str],
+    files_per_batch: int | None = None,
+    sep: str = READINGS_SEPARATOR,
+) -> DataFrame:
+    """``read_readings`` as a stream of the files that appear in the directories.
+
+    Files count as new whatever their age, which matters for old ones copied in late;
+    the stream remembers every name, some hundred bytes on the driver.
+    """
+    paths = [paths] if isinstance(paths, str) else paths
+    reader = (
+        spark.readStream.option("sep", sep)
+        .option("header", True)
+        .option("pathGlobFilter", "*.csv")
+        .option("maxFileAge", "36500d")
+        .schema(READINGS_SCHEMA)
+    )
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    asset = asset_id_from_file(F.col("_metadata.file_name")).alias(ASSET)
+    return union_readings(
+        [reader.csv(path).select(asset, "date", "series", "value") for path in paths]
+    )
+
+
 def union_readings(frames: list[DataFrame]) -> DataFrame:
     """All rows of several reading frames, duplicates kept, matched by name.
 

@@ -5,15 +5,32 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from upkeep.fixed import ASSET, AVERAGE, DAY, KPIS
 from upkeep.operators.requests import BROADCAST_KEYS, take_requests
 from upkeep.plans.scoring import score
+from upkeep.sinks.batches import Batches
 
 #: Opens a table as it is now.
 Opens = Callable[[], DataFrame]
 
+#: What is stored of a scored request.
+SCORES = T.StructType(
+    [
+        T.StructField(ASSET, T.StringType()),
+        T.StructField(DAY, T.DateType()),
+        T.StructField("requested_day", T.StringType()),
+        T.StructField("requests", T.LongType()),
+        T.StructField("status", T.StringType()),
+        *(T.StructField(name, T.DoubleType()) for name in [*KPIS, AVERAGE]),
+        T.StructField("prediction", T.DoubleType()),
+        T.StructField("verdict", T.StringType()),
+    ]
+)
+
 
 def score_stream(
     requests: DataFrame,
@@ -36,17 +53,17 @@ def score_stream(
     not do. Stateless: requests are independent, so there is nothing to keep or to be
     late.
 
-    A batch that is run again overwrites its own ``batch_id`` directory, so
-    the output holds every request exactly once. ``trigger`` as in
-    ``DataStreamWriter.trigger``; by default all available requests are
-    scored and the query ends.
+    ``read_scores`` shows batches once they are whole, each exactly once, also while
+    one is run again. ``trigger`` as in ``DataStreamWriter.trigger``; by default all
+    available requests are scored and the query ends.
     """
+    batches = Batches(requests.sparkSession, path)
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
         asked = take_requests(batch)
         try:
             scored = score(asked, daily(), utilization(), model, find_hot, max_keys)
-            scored.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            batches.write(scored.select(*SCORES.names), batch_id)
         finally:
             asked.requests.unpersist()
 
@@ -56,3 +73,8 @@ def score_stream(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def read_scores(spark: SparkSession, path: str) -> DataFrame:
+    """All requests scored so far, with the ``batch_id`` they were scored in."""
+    return Batches(spark, path).read(SCORES)
