@@ -160,3 +160,15 @@ def test_ranges_of_ids_are_bounded_in_number(spark, monkeypatch):
     assert (got["n"].to_numpy() == want).all()
     sizes = frame.groupBy(number.alias("n")).agg(F.count("*").alias("c")).toPandas()["c"]
     assert sizes.max() < 3 * sizes.min()
+
+
+def test_long_units_are_not_remembered():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = Encoder(path, keeps_blanks=True)
+    texts = [prose(seed, 200) + "  " + prose(seed + 1, 5) for seed in range(900, 950)]  # encoded whole
+    ids, first = encoder.encode(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[first[i] : first[i + 1]].tolist() == tokenizer(path).encode(text, add_special_tokens=False).ids
+    from upkeep.llm import tokens
+
+    assert max(map(len, tokens._KNOWN[path])) <= tokens.LONGEST

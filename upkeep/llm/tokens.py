@@ -31,8 +31,9 @@ def tokenizer(path: str):
     return loaded
 
 
-#: Units whose ids a worker remembers from one batch to the next, at most.
-REMEMBERED = 400_000
+#: Units whose ids a worker remembers from one batch to the next, at most, and characters
+#: of the longest: a text encoded whole is a unit too, and would hardly come again.
+REMEMBERED, LONGEST = 400_000, 100
 _KNOWN: dict[str, dict[str, bytes]] = {}
 # The splits of tokenizers that encode letters and the signs after them apart.
 WORDS_AND_SIGNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -48,7 +49,7 @@ def encode_units(path: str, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
     missing = [i for i, ids in enumerate(found) if ids is None]
     for i, ids in zip(missing, _encode(path, [units[i] for i in missing])):
         found[i] = ids
-        if len(known) < REMEMBERED:
+        if len(known) < REMEMBERED and len(units[i]) <= LONGEST:
             known[units[i]] = ids
     places = np.zeros(len(units) + 1, np.int64)
     np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4, out=places[1:])
