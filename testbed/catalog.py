@@ -526,6 +526,46 @@ def label_horizon_documented(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(matrix(spark, sf_dir))
 
 
+@query(
+    """SELECT asset_id, min(day) AS first, max(day) AS last FROM (
+           SELECT asset_id, day, day - CAST(dense_rank() OVER (PARTITION BY asset_id ORDER BY day)
+                                            AS INTEGER) AS island
+           FROM (SELECT DISTINCT asset_id, start_day + 1 - CAST(i AS INTEGER) AS day
+                 FROM unscheduled, range(0, 4) AS days(i)))
+       GROUP BY asset_id, island"""
+)
+def interruption_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return operators.interruption_spans(unscheduled(spark, sf_dir), 2, 1)
+
+
+@query(
+    f"""SELECT base.asset_id, base.day, {MEASURES_SQL}, CASE WHEN EXISTS (
+                   SELECT 1 FROM unscheduled u WHERE u.asset_id = base.asset_id
+                   AND base.day BETWEEN u.start_day - 365 AND u.start_day - 3)
+               THEN 'unscheduled maintenance' ELSE 'no maintenance' END AS maintenance
+        FROM base"""
+)
+def label_horizon_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Does an interruption follow in 3 to 365 days?"""
+    return rounded(matrix(spark, sf_dir, before=365, after=-3))
+
+
+@query(
+    f"""SELECT asset_id, day, {MEASURES_SQL}, maintenance, strftime(day, '%Y-%m') AS month
+        FROM labelled"""
+)
+def matrix_month_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A matrix stored unlabelled, of which each month is then written anew by itself."""
+    path = scratch(spark, "months")
+    full = matrix(spark, sf_dir)
+    sinks.write_by_month(full.withColumn(LABEL, F.lit("not yet")), path)
+    span = full.agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    months = span.select(F.explode(F.sequence(F.trunc("a", "month"), "b", F.expr("interval 1 month"))).alias("m"))
+    for row in months.select(F.date_format("m", "yyyy-MM").alias("m")).collect():
+        sinks.write_by_month(plans.in_months(full, [row.m]), path, [row.m])
+    return rounded(sources.read_matrix(spark, path)).withColumn("month", F.col("month").cast("string"))
+
+
 @query(f"SELECT asset_id, day, {MEASURES_SQL}, maintenance FROM labelled")
 def matrix_from_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The matrix from stored averages and utilization, of which neither is shuffled."""

@@ -1,23 +1,5 @@
 """Folders for what the queries write on their way."""
 
-from __future__ import annotations
+from upkeep.session import shared_path as scratch
 
-import tempfile
-import uuid
-
-from pyspark.sql import SparkSession
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share.
-
-    The cluster names that folder in ``spark.checkpoint.dir``; a local session
-    without one gets a folder of this machine, set once for the session.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="testbed-"))
-        shared = spark.sparkContext.getCheckpointDir()
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+__all__ = ["scratch"]

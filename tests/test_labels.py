@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.frames import daily, day, interruptions, rows
 from upkeep.fixed import LABEL, NEGATIVE, POSITIVE
-from upkeep.operators import daily_average, horizon_label, interruption_days
+from upkeep.operators import daily_average, horizon_label, interruption_days, labels
 
 
 def positives(frame):
@@ -154,3 +155,35 @@ def test_daily_average(spark):
         [("a", first, 2.5), ("a", second, None), ("b", None, 7.0)], key=repr
     )
     assert rows(daily_average(readings, "t")) == [("a", first, 4.0)]
+
+
+@pytest.mark.parametrize("window", [(7, 0), (365, 0), (0, 90), (400, -30), (-5, 80)])
+def test_spans_and_days_give_the_same_label(spark, monkeypatch, window):
+    before, after = window
+    draw = random.Random(before)
+    first = datetime.date(2022, 1, 1)
+
+    def some_day():
+        return str(first + datetime.timedelta(draw.randrange(1500)))
+
+    base = daily(spark, [(draw.choice("abcde"), some_day(), draw.random()) for _ in range(800)] + [(None, "2022-05-05", 1.0), ("a", None, 2.0)] * 2)
+    broken = interruptions(spark, [(draw.choice("abcd"), some_day()) for _ in range(9)] * 2 + [(None, "2022-01-01"), ("a", None)])
+    found = {}
+    for wide in (0, 10_000):
+        monkeypatch.setattr(labels, "WIDE", wide)
+        found[wide] = rows(labels.horizon_label(base, broken, before, after))
+    assert found[0] == found[10_000] and len(found[0]) == base.count()
+    starts = [(r.asset_id, r.start_day) for r in broken.collect() if r.asset_id and r.start_day]
+    for asset, day_, _, label in found[0]:
+        hit = any(a == asset and day_ and s - datetime.timedelta(before) <= day_ <= s + datetime.timedelta(after) for a, s in starts)
+        assert (label == "unscheduled maintenance") == hit
+
+
+def test_long_windows_do_not_multiply_rows(spark):
+    broken = interruptions(spark, [("a", f"2024-01-{d:02d}") for d in range(1, 29)] + [("b", "2020-01-01"), ("b", "2024-01-01")])
+    spans = labels.interruption_spans(broken, 365, 0)
+    assert sorted((r.asset_id, str(r["first"]), str(r["last"])) for r in spans.collect()) == [
+        ("a", "2023-01-01", "2024-01-28"), ("b", "2019-01-01", "2020-01-01"), ("b", "2023-01-01", "2024-01-01"),
+    ]
+    plan = labels.horizon_label(daily(spark, [("a", "2024-01-01", 1.0)]), broken, 365)
+    assert "explode" not in plan._jdf.queryExecution().executedPlan().toString()

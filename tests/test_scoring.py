@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -220,6 +222,29 @@ def test_requests_are_read_once_and_held_still(spark, tables, model, tmp_path):
     assert "held" in folders and "requests" not in folders
 
 
+def test_a_snapshot_lives_as_long_as_it_is_used(spark, tables, model, tmp_path):
+    """The source changes and all cached blocks go: the snapshot still says the same."""
+    path = f"{tmp_path}/requests"
+    spark.createDataFrame(ASKED, "timeid string, aircraftid string").write.parquet(path)
+    with take_requests(sources.read_requests(spark.read.parquet(path))) as asked:
+        later = [("2030-05-05", "late")]
+        spark.createDataFrame(later, "timeid string, aircraftid string").write.mode("overwrite").parquet(path)
+        spark.catalog.clearCache()
+        for blocks in spark.sparkContext._jsc.getPersistentRDDs().values():
+            blocks.unpersist(True)
+        assert counted(score(asked, *tables, model)) == EXPECTED
+        files = asked.requests.inputFiles()
+        place = files[0].removeprefix("file://").rpartition("/")[0]
+        assert os.path.isdir(place)
+    assert not os.path.exists(place)
+    asked.close()  # again does nothing
+    kept = f"{tmp_path}/kept"
+    spark.createDataFrame(ASKED, "timeid string, aircraftid string").write.mode("overwrite").parquet(path)
+    with take_requests(sources.read_requests(spark.read.parquet(path)), f"file://{kept}"):
+        pass
+    assert os.path.isdir(kept)  # a place of the caller's own
+
+
 def test_a_stream_sees_what_was_stored_since(spark, tables, model, tmp_path):
     """Days stored between two batches are scored in the second."""
     averages, kpis = tables

@@ -10,7 +10,7 @@ from testbed.files import write_reading_files
 from testbed.scratch import scratch
 from tests.conftest import DATA
 from tests.frames import daily, day, rows, utilization
-from upkeep import sinks, sources
+from upkeep import plans, sinks, sources
 from upkeep.fixed import FEATURES, MATRIX_CSV_SCHEMA, NEGATIVE
 from upkeep.operators import join_on_keys
 from upkeep.plans.cli import main
@@ -180,3 +180,20 @@ def test_jobs_hand_over_through_files(spark, inputs, tmp_path):
     assert scored.filter("status = 'scored'").count() > 0
     assert rows(scored) == rows(read_scores(spark, out["streamed"]).select(*columns))
     assert scored.filter(F.col("day") > day("2024-02-01")).count() == 0
+
+
+def test_a_run_for_some_months_leaves_the_others(spark, tmp_path):
+    path = str(tmp_path / "matrix")
+    full = matrix(spark)
+    sinks.write_by_month(full, path)
+    changed = full.withColumn("average", F.lit(7.0))
+    sinks.write_by_month(plans.in_months(changed, ["2024-02"]), path, ["2024-02"])
+    february = F.col("day").between("2024-02-01", "2024-02-29")
+    expected = full.withColumn("average", F.when(february, 7.0).otherwise(F.col("average")))
+    assert rows(sources.read_matrix(spark, path).drop("month")) == rows(expected)
+    # A month that has no rows any more is emptied; another is refused.
+    sinks.write_by_month(full.filter("false"), path, ["2024-03", "2024-04"])
+    assert rows(sources.read_matrix(spark, path).drop("month")) == rows(expected.filter("day < '2024-03-01'"))
+    with pytest.raises(Exception, match="outside the months"):
+        sinks.write_by_month(full, path, ["2024-02"])
+    assert rows(sources.read_matrix(spark, path).drop("month")) == rows(expected.filter("day < '2024-03-01'"))

@@ -5,7 +5,7 @@ from upkeep.operators.copies import pack_copies, spread, unpack_copies
 from upkeep.operators.hotkeys import hot_keys, join_on_keys
 from upkeep.operators.keyed import Keyed, join_keyed
 from upkeep.operators.keyfilter import filter_bits, key_filter, maybe_in
-from upkeep.operators.labels import horizon_label, interruption_days
+from upkeep.operators.labels import horizon_label, interruption_days, interruption_spans
 from upkeep.operators.requests import (
     Asked,
     as_asked,
@@ -26,6 +26,7 @@ __all__ = [
     "horizon_label",
     "hot_keys",
     "interruption_days",
+    "interruption_spans",
     "is_valid",
     "join_keyed",
     "join_on_keys",

@@ -24,6 +24,7 @@ from upkeep.fixed import (
 from upkeep.functions import month_of
 from upkeep.operators.hotkeys import ROWS_PER_PIECE, hot_keys, join_on_keys
 from upkeep.operators.keyfilter import filter_bits, maybe_in
+from upkeep.session import delete_path, shared_path
 
 #: Requested keys that are broadcast, at most.
 BROADCAST_KEYS = 200_000
@@ -40,13 +41,28 @@ class Asked:
 
     ``requests`` has each once, with ``requests``, the number of copies; a valid one is
     the only row of its key. ``keys`` counts the valid ones, ``first`` and ``last``
-    bound their days.
+    bound their days. The requests are a stored snapshot: use them in a ``with`` block, or
+    ``close`` them when what was made of them has been written, and it is deleted if
+    ``take_requests`` chose its place.
     """
 
     requests: DataFrame
     keys: int
     first: datetime.date | None
     last: datetime.date | None
+    snapshot: str | None = None
+
+    def __enter__(self) -> Asked:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Delete the snapshot; frames made of it can no longer be read."""
+        if self.snapshot is not None:
+            delete_path(self.requests.sparkSession, self.snapshot)
+            self.snapshot = None
 
     def valid(self) -> DataFrame:
         return self.requests.filter(is_valid())
@@ -59,10 +75,10 @@ class Asked:
 def take_requests(requests: DataFrame, path: str | None = None) -> Asked:
     """Read the requests, once, and hold them still.
 
-    Copies collapse on the map side. The distinct requests are written to ``path``, a
-    new one in a folder all executors share, so that a source that goes on changing is
-    seen in one state even if an executor is lost; without ``path`` they are cached,
-    which is enough for a source that stands still.
+    Copies collapse on the map side. The distinct requests are written to ``path``, or to
+    a new one in the folder all executors share, so that a source that goes on changing
+    is seen in one state even if an executor is lost or memory runs short. A snapshot
+    at a given ``path`` is the caller's to keep.
     """
     shown = F.when(is_valid(), F.date_format(DAY, "yyyy-MM-dd")).otherwise(F.col("requested_day"))
     counted = (
@@ -70,16 +86,16 @@ def take_requests(requests: DataFrame, path: str | None = None) -> Asked:
         .groupBy(*requests.columns)
         .agg(F.count(F.lit(1)).alias("requests"))
     )
-    if path is None:
-        held = counted.persist()
-    else:
-        counted.write.parquet(path)
-        held = requests.sparkSession.read.schema(counted.schema).parquet(path)
+    spark = requests.sparkSession
+    own = shared_path(spark, "requests") if path is None else None
+    counted.write.parquet(own or path)
+    held = spark.read.schema(counted.schema).parquet(own or path)
     measured = held.filter(is_valid()).agg(F.count(F.lit(1)), F.min(DAY), F.max(DAY)).first()
-    return Asked(held, *measured)
+    return Asked(held, *measured, own)
 
 
 def as_asked(requests: DataFrame | Asked) -> Asked:
+    """Requests not taken yet are taken here; their snapshot stays until the folder is cleared."""
     return requests if isinstance(requests, Asked) else take_requests(requests)
 
 

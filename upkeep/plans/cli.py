@@ -22,7 +22,7 @@ from upkeep.fixed import (
 )
 from upkeep.operators import daily_average, hot_keys, take_requests
 from upkeep.operators.labels import check_window
-from upkeep.plans.matrix import build_matrix, build_stored_matrix
+from upkeep.plans.matrix import build_matrix, build_stored_matrix, in_months
 from upkeep.plans.scoring import report, score
 from upkeep.plans.training import evaluate
 from upkeep.session import build_session
@@ -80,6 +80,9 @@ def parser() -> argparse.ArgumentParser:
     matrix.add_argument("--after", type=int, default=0)
     matrix.add_argument("--match", choices=["pair", "independent"], default="pair")
     matrix.add_argument("--format", choices=["parquet", "csv"], default="parquet")
+    matrix.add_argument(
+        "--months", nargs="+", help="only these (YYYY-MM); other months in OUT stay as they are"
+    )
     matrix.add_argument("--out", required=True)
 
     train = jobs.add_parser("train", help="matrix -> model and metrics")
@@ -109,7 +112,7 @@ def parser() -> argparse.ArgumentParser:
     scoring.add_argument("--model", required=True)
     scoring.add_argument("--out", required=True)
     scoring.add_argument("--report", help="write the verdicts for reading here")
-    scoring.add_argument("--snapshot", help="hold a changing request table still here")
+    scoring.add_argument("--snapshot", help="keep the requests as they were scored here")
     scoring.add_argument("--stream", help="score a stream, progress kept in this folder")
     return main
 
@@ -171,10 +174,12 @@ def run_matrix(spark: SparkSession, args: argparse.Namespace) -> None:
         matrix = build_matrix(
             averages_of(spark, args), utilization, interruptions, **label, hot=hot
         )
+    if args.months:
+        matrix = in_months(matrix, args.months)
     if args.format == "csv":
         sinks.write_matrix_csv(matrix, args.out)
     else:
-        sinks.write_by_month(matrix, args.out)
+        sinks.write_by_month(matrix, args.out, args.months)
 
 
 def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -214,11 +219,11 @@ def run_score(spark: SparkSession, args: argparse.Namespace) -> None:
         ).awaitTermination()
     else:
         requests = sources.read_requests(sources.read_source(spark, args.requests))
-        asked = take_requests(requests, args.snapshot)
-        scored = score(
-            asked, averages_of(spark, args), utilization_of(spark, args), model, find_hot=True
-        )
-        scored.write.mode("overwrite").parquet(args.out)
+        with take_requests(requests, args.snapshot) as asked:
+            scored = score(
+                asked, averages_of(spark, args), utilization_of(spark, args), model, find_hot=True
+            )
+            scored.write.mode("overwrite").parquet(args.out)
     if args.report:
         scores = read_scores(spark, args.out) if args.stream else spark.read.parquet(args.out)
         report(scores).write.mode("overwrite").parquet(args.report)

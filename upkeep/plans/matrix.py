@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from upkeep.fixed import AVERAGE, FEATURES, HORIZON_DAYS, KEYS, KPIS, LABEL
+from upkeep.fixed import AVERAGE, DAY, FEATURES, HORIZON_DAYS, KEYS, KPIS, LABEL
 from upkeep.operators import (
     Asked,
     Keyed,
@@ -56,6 +59,15 @@ def build_stored_matrix(
     return join_keyed(labelled, utilization).select(*KEYS, AVERAGE, *KPIS, LABEL)
 
 
+def in_months(keyed: DataFrame, months: Sequence[str]) -> DataFrame:
+    """The rows of some months (``YYYY-MM``), by their days, which scans can be asked for."""
+    wanted = F.lit(False)
+    for month in months:
+        first = F.to_date(F.lit(f"{month}-01"))
+        wanted = wanted | F.col(DAY).between(first, F.last_day(first))
+    return keyed.filter(wanted)
+
+
 def score_features(
     requests: DataFrame | Asked,
     daily: DataFrame,

@@ -60,12 +60,9 @@ def score_stream(
     batches = Batches(requests.sparkSession, path)
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
-        asked = take_requests(batch)
-        try:
+        with take_requests(batch) as asked:
             scored = score(asked, daily(), utilization(), model, find_hot, max_keys)
             batches.write(scored.select(*SCORES.names), batch_id)
-        finally:
-            asked.requests.unpersist()
 
     return (
         requests.writeStream.foreachBatch(score_batch)
