@@ -9,7 +9,7 @@ from testbed import catalog
 from tests.conftest import DATA, ROOT
 from upkeep import learning, operators, sources
 from upkeep.fixed import FEATURES, LABEL
-from upkeep.learning.tree import laid_out
+from upkeep.learning.tree import laid_out, planned_partitions
 
 SF = f"{DATA}/sf0.001"
 RELATIONAL = [
@@ -113,7 +113,7 @@ def test_sensor_files_are_read_without_the_series(spark, tmp_path):
 
 
 def test_library_gathers_nothing_unbounded():
-    """Driver-side gathering is limited to the three places whose size is bounded."""
+    """Driver-side gathering is limited to the four places whose size is bounded."""
     found = {}
     for path in sorted(pathlib.Path(ROOT, "upkeep").rglob("*.py")):
         if "llm" in path.parts:  # has tests of its own
@@ -123,7 +123,7 @@ def test_library_gathers_nothing_unbounded():
         count = len(re.findall(r"\.(?:collect|first|take|head)\(", text))
         if count:
             found[path.name] = count
-    assert found == {"hotkeys.py": 1, "requests.py": 1, "keyed.py": 1}
+    assert found == {"hotkeys.py": 1, "requests.py": 1, "keyed.py": 1, "tables.py": 1}
 
 
 def test_status_reads_requests_once_and_each_table_once(spark):
@@ -149,6 +149,13 @@ def test_one_shuffle_before_the_tree_is_fitted(spark):
     assert plan.count("Exchange") == 1
 
 
+def test_the_number_of_training_partitions_costs_no_column(spark):
+    matrix = spark.read.parquet(write(spark))
+    assert planned_partitions(matrix, 70) == 1
+    plan = plan_of(matrix.groupBy().count())
+    assert "ReadSchema: struct<>" in plan
+
+
 def write(spark):
     path = catalog.scratch(spark, "matrix")
     catalog.matrix(spark, SF).write.parquet(path)

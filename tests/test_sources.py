@@ -209,3 +209,59 @@ def test_requests_from_text_dates_and_timestamps(spark):
     )
     assert rows(sources.read_requests(stamps)) == [("3", fifth, "2024-01-05")]
     assert sources.read_requests(text.limit(0)).count() == 0
+
+
+def test_days_are_cut_into_parts_of_like_size(spark):
+    """Every row is in one part, also one without a day or of a day not counted."""
+    first = datetime.date(2024, 1, 1)
+    counts = [(first + datetime.timedelta(i), 1 + (i % 7) ** 3) for i in range(100)]
+    table = spark.createDataFrame(
+        [(d, n) for d, n in counts] + [(None, 5), (datetime.date(2030, 1, 1), 1), (datetime.date(1990, 1, 1), 1)],
+        "timeid date, n int",
+    )
+    for partitions in (1, 2, 7, 500):
+        predicates = sources.day_predicates([*counts, (None, 5)], "timeid", partitions)
+        assert 1 <= len(predicates) <= min(partitions, 100)
+        parts = [rows(table.filter(p)) for p in predicates]
+        assert sorted((r for part in parts for r in part), key=repr) == rows(table)
+    predicates = sources.day_predicates(counts, "timeid", 7)
+    sizes = [sum(n for _, n in map(tuple, table.filter(p).collect())) for p in predicates]
+    assert len(sizes) == 7 and max(sizes) < 1.3 * sum(sizes) / 7
+    # One day with nearly all rows is a part of its own; an empty table is one part.
+    hot = sources.day_predicates([(first, 1), (first + datetime.timedelta(1), 10**6), (first + datetime.timedelta(2), 1)], "t", 3)
+    assert "t >= DATE '2024-01-02' AND t < DATE '2024-01-03'" in hot
+    assert sources.day_predicates([], "t", 8) == ["1 = 1"]
+    assert sources.day_predicates([(first, 9)], "t", 8) == ["1 = 1"]
+
+
+def test_jdbc_by_day_counts_in_the_database(spark):
+    class Reader:
+        def __init__(self):
+            self.asked = []
+
+        def format(self, name):
+            return self
+
+        def options(self, **options):
+            self.asked.append(options["dbtable"])
+            return self
+
+        def load(self):
+            return spark.createDataFrame(
+                [(datetime.date(2024, 1, d), 10) for d in (1, 2, 3, 4)], "day date, n bigint"
+            )
+
+        def jdbc(self, url, table, predicates, properties):
+            self.asked.append((url, table, predicates, properties))
+            return "frame"
+
+    class Stand:
+        read = Reader()
+
+    spec = {"format": "jdbc", "options": {"url": "jdbc:x", "user": "u"}, "table": "public.t",
+            "by_day": {"column": "timeid", "partitions": 2}}
+    assert sources.read_source(Stand(), spec) == "frame"
+    count, read = Stand.read.asked
+    assert count == "(SELECT CAST(timeid AS DATE) AS day, COUNT(*) AS n FROM public.t GROUP BY CAST(timeid AS DATE)) days"
+    cut = "DATE '2024-01-03'"
+    assert read == ("jdbc:x", "public.t", [f"timeid < {cut} OR timeid IS NULL", f"timeid >= {cut}"], {"user": "u"})

@@ -56,6 +56,14 @@ def laid_out(rows: DataFrame, columns: Sequence[str], partitions: int) -> DataFr
     return rows.select(*by).repartition(partitions, *by).sortWithinPartitions(*by).select(*columns)
 
 
+def planned_partitions(matrix: DataFrame, percent: int) -> int:
+    """Partitions for the training rows of a matrix, from its number of rows alone.
+
+    Of a stored Parquet matrix that number stands in the footers: no column is read.
+    """
+    return max(1, ceil(matrix.count() * percent / 100 / ROWS_PER_PARTITION))
+
+
 def train(
     matrix: DataFrame,
     percent: int = 70,
@@ -80,8 +88,8 @@ def train(
     Above some 10 000 rows MLlib samples its split candidates by partition, so
     a tree repeats only for the same rows in the same partitions. The training
     rows are therefore laid out by content, in one shuffle, over a fixed number of
-    ``partitions``, which by default follows from the number of rows and from
-    nothing else. They are cached while fitting, as every level of the tree
+    ``partitions``, which by default follows from the number of rows of the matrix and
+    from nothing else. They are cached while fitting, as every level of the tree
     reads them. Rows of a matrix without keys may be alike in large groups, which
     are divided first; with keys, only a repeated utilization row gives like rows.
 
@@ -93,7 +101,7 @@ def train(
         raise ValueError(f"unknown fit_indexers_on: {fit_indexers_on}")
     training, validation = sides(matrix, percent, random, seed)
     if partitions is None:
-        partitions = max(1, ceil(training.count() / ROWS_PER_PARTITION))
+        partitions = planned_partitions(matrix, percent)
     stored = laid_out(training, [*features, label], partitions).persist(
         StorageLevel.MEMORY_AND_DISK
     )
