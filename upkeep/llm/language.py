@@ -18,7 +18,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.store import free_name
 from upkeep.llm.words import buffers, parts
 
 FEATURES = 1 << 15
@@ -171,32 +170,38 @@ def identify(docs: DataFrame, model: Model, column: str = "language") -> DataFra
 
     A text that is null or has no letter is ``und`` with score 0 and ambiguous; so is
     every text if no language was learned. With one language learned all others are
-    that, with score 1. Only the text decides. A column of that name is replaced.
+    that, with score 1. Only the text decides, and only the text is handed to Python, in
+    parts of a megabyte, a longer text being one; equal scores go to the language that
+    comes first. Repeated rows and null ids stay as they are, and an empty table is
+    empty. A column of that name is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    docs = docs.drop(column)
-    names, letters = docs.columns, free_name(docs, "letters")
-    marked = docs.withColumn(letters, F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         model = shared.value
-        for batch in batches:
-            for piece in parts(batch):
-                n = piece.num_rows
-                known = piece.column(letters).to_numpy(zero_copy_only=False) & bool(model.languages)
-                if model.languages:
-                    best, score, ambiguous, wrong = model.predict(piece.column("text"))
-                else:
-                    best, score, ambiguous, wrong = np.zeros(n, int), np.zeros(n), np.ones(n, bool), np.zeros(n, int)
-                lang = [model.languages[i] if k else UNKNOWN for i, k in zip(best, known)]
-                found = pa.StructArray.from_arrays(
-                    [pa.array(lang, pa.string()), pa.array(np.where(known, score, 0.0)), pa.array(ambiguous | ~known), pa.array(wrong, pa.int32())],
-                    fields=list(RESULT),
-                )
-                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in names), found], [*names, column])
+        for texts, letters in batches:
+            batch = pa.RecordBatch.from_arrays([texts, letters], ["text", "letters"])
+            found = [judged(model, piece) for piece in parts(batch)]
+            yield pa.concat_arrays(found) if found else pa.array([], RESULT)
 
     kind = "struct<lang_pred: string, score: double, ambiguous: boolean, wrong_bits: int>"
-    return marked.mapInArrow(run, docs.withColumn(column, F.lit(None).cast(kind)).schema)
+    judge = F.arrow_udf(run, kind).asNondeterministic()  # else a filter would run it again
+    letters = F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False))
+    return docs.drop(column).withColumn(column, judge("text", letters))
+
+
+def judged(model: Model, piece: pa.RecordBatch) -> pa.StructArray:
+    n = piece.num_rows
+    known = piece.column("letters").to_numpy(zero_copy_only=False) & bool(model.languages)
+    if model.languages:
+        best, score, ambiguous, wrong = model.predict(piece.column("text"))
+    else:
+        best, score, ambiguous, wrong = np.zeros(n, int), np.zeros(n), np.ones(n, bool), np.zeros(n, int)
+    lang = [model.languages[i] if k else UNKNOWN for i, k in zip(best, known)]
+    return pa.StructArray.from_arrays(
+        [pa.array(lang, pa.string()), pa.array(np.where(known, score, 0.0)), pa.array(ambiguous | ~known), pa.array(wrong, pa.int32())],
+        fields=list(RESULT),
+    )
 
 
 def held_out(column: str = "doc_id"):
