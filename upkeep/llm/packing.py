@@ -158,7 +158,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer, keeps_blanks=True)
         for batch in batches:
-            for part in parts(batch, size=16 << 20):
+            for part in parts(batch, size=4 << 20):
                 ids, first = encoder.encode(part.column("text"))
                 ids = np.insert(ids, first[1:], np.uint32(end_id))
                 first = first + np.arange(len(first))
