@@ -118,3 +118,14 @@ def test_far_rows_are_not_scored():
     search.meet(packed(rows, by))
     assert len(search.best["slot"]) >= 200
     assert search.scored < 0.1 * len(anchors) * len(rows)
+
+
+def test_the_query_gives_the_rows_of_its_twin(spark):
+    import duckdb
+
+    from upkeep.llm.queries import ORACLES, QUERIES
+
+    connection = duckdb.connect()
+    connection.execute("CREATE VIEW embeddings AS SELECT * FROM '/root/testdata/sf0.01/embeddings.parquet'")
+    name = "op11_hard_negatives"
+    assert sorted(map(tuple, QUERIES[name](spark, "/root/testdata/sf0.01").collect())) == sorted(connection.execute(ORACLES[name]).fetchall())
