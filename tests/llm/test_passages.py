@@ -92,6 +92,41 @@ def test_no_exact_repeat_is_missed(spark):
     assert clean and not clean & set(found)
 
 
+def test_contexts_are_shared_by_equal_passages():
+    rng = np.random.default_rng(7)
+    for size in (P.LENGTH, P.LENGTH + 1, 80):
+        shared = rng.integers(0, 1 << 60, size).astype(np.uint64)
+        sides = [rng.integers(0, 1 << 60, n).astype(np.uint64) for n in (0, 30, 61, 0)]
+        hashes = np.concatenate((sides[0], shared, sides[1], sides[2], shared, sides[3]))
+        first = np.array([0, 0, size + 30, size + 30 + 61 + size])
+        text, keys, place = P.contexts(hashes, first)
+        start, runs, least, band = P.unpacked(place)
+        assert set(text) == {1, 2} and set(band) == {P.BANDS, P.BANDS + 1}
+        at = {t: {k: c for k, c in zip(keys[text == t], least[text == t])} for t in (1, 2)}
+        both = at[1].keys() & at[2].keys()
+        assert both and all(at[2][k] - at[1][k] == 61 for k in both)
+        covered = np.concatenate([np.arange(s, s + n) for s, n, t in zip(start, runs, text) if t == 1])
+        assert set(covered) == set(range(size + 30 - P.LENGTH + 1))
+    none = P.contexts(np.zeros(5, np.uint64), np.array([0, 5]))
+    assert [len(x) for x in none] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("variants", [20, 300])
+def test_repeats_are_found_within_a_family_that_only_resembles_them(spark, variants):
+    """Before the last two documents of a family come texts with a quarter of its words replaced."""
+    rng, rows, wanted = random.Random(11), [], set()
+    for family in range(10):
+        shared = prose(9000 + family, 60).split()
+        for i in range(variants):
+            other = [prose(rng.randrange(10**9), 1) if rng.random() < 0.25 else w for w in shared]
+            rows.append((1000 * family + i, f"{prose(rng.randrange(10**9), 20)} {' '.join(other)}"))
+        for i in (900, 901):
+            rows.append((1000 * family + i, f"{prose(rng.randrange(10**9), 30)} {' '.join(shared)} {prose(rng.randrange(10**9), 30)}"))
+            wanted.add((1000 * family + i, "copy" if i == 901 else "source"))
+    found = {(r.doc_id, r.role) for r in P.passages(documents(spark, rows)).collect()}
+    assert wanted <= found
+
+
 def test_near_passages_are_found_and_far_ones_are_not(spark):
     rng = random.Random(9)
     rows, near = [], {}

@@ -6,6 +6,11 @@ hashes. Of these only the passages of ``LENGTH`` shingles matter here, and the r
 their starts that share the smallest hash of two functions are a window. Windows of
 equal hashes in different documents are joined, intervals of starts on which enough
 hashes agree give candidates, and those are verified on the texts.
+
+Windows of a key are linked to its first document, which may only resemble them. So
+the nodes of one function are windows once more, under the shingles that follow the
+smallest hash and under those that lead up to it: documents that agree word for word
+meet there apart from those that share single shingles with them.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ from pyspark.sql import functions as F
 from upkeep.llm.spans import code_points, merged, runs
 from upkeep.llm.store import SMALL_BATCH, Kept, few
 from upkeep.llm.tokens import ranges
-from upkeep.llm.words import SHINGLE, Words, mix, parts
+from upkeep.llm.words import _BASE, _UNBASE, SHINGLE, Words, mix, parts
 
 WORDS = 50
 LENGTH = WORDS - SHINGLE + 1
@@ -31,6 +36,8 @@ MATCHED = int(np.ceil(2 * LENGTH * SIMILARITY / (1 + SIMILARITY) - 1e-9))
 #: Pairs of hash functions; texts that agree in one pair at one place are verified.
 BANDS = 6
 ENOUGH = 1
+#: Shingles of a word-for-word key: one side of any place in a passage has as many.
+CONTEXT = LENGTH // 2 + 1
 #: Places by which the alignment may shift within a passage.
 SHIFT = 8
 
@@ -79,6 +86,36 @@ def windows(hashes: np.ndarray, first: np.ndarray, bands: int = BANDS) -> tuple[
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def contexts(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, key and packed place of the nodes of the first function, keyed word for word.
+
+    A node is the run of starts that have their smallest hash at one place. One key is the
+    hash of the ``CONTEXT`` shingles from that place on, another of those up to it, each
+    where the text has as many; equal passages of ``LENGTH`` shingles share one of them.
+    """
+    count = np.maximum(0, np.diff(first) - LENGTH + 1)
+    starts = ranges(first[:-1], count)
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    text = np.repeat(np.arange(len(count)), count)
+    place = np.arange(len(hashes), dtype=np.uint64) & _LOW
+    least = sliding_min(mix(hashes, 20) & ~_LOW | place, LENGTH)[starts]
+    at = starts + (((least & _LOW).astype(np.int64) - starts) & int(_LOW))
+    head = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    size = np.diff(np.append(head, len(at)))
+    text, starts, at = text[head], starts[head], at[head]
+    packed = (((starts - first[text]) << _STARTS | size) << _OFFSET | (at - starts)) << _BAND
+    powers, inverse = (np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(hashes), x, np.uint64)))) for x in (_BASE, _UNBASE))
+    total = np.concatenate(([np.uint64(0)], np.cumsum(hashes * powers[:-1])))
+    found = []
+    for band, low in ((BANDS, at), (BANDS + 1, at - CONTEXT + 1)):
+        inside = (low >= first[text]) & (low + CONTEXT <= first[text + 1])
+        low = low[inside]
+        keys = mix((total[low + CONTEXT] - total[low]) * inverse[low], 80 + band)
+        found.append((text[inside], keys, packed[inside] | band))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def unpacked(place: np.ndarray) -> tuple[np.ndarray, ...]:
     """First start, starts, place of the smallest hash, band."""
     band = place & ((1 << _BAND) - 1)
@@ -125,8 +162,9 @@ def all_windows(docs: DataFrame, bands: int) -> DataFrame:
             found = []
             base = 0
             for piece in parts(batch):
-                text, keys, place = windows(*Words(piece.column("text")).shingles(), bands)
-                found.append((text + base, keys, place))
+                shingles = Words(piece.column("text")).shingles()
+                for text, keys, place in (windows(*shingles, bands), contexts(*shingles)):
+                    found.append((text + base, keys, place))
                 base += piece.num_rows
             if not found:
                 continue
