@@ -224,41 +224,64 @@ def candidates(at_a: np.ndarray, at_b: np.ndarray) -> list[tuple[int, int, int]]
 
 
 def chain(at_a: np.ndarray, at_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A longest sequence of shared places that goes forward in both texts."""
+    """A longest sequence of shared places that goes forward in both texts.
+
+    A place that lies after all places before it, and before all after it, in both
+    texts belongs to every such sequence; only the others are looked through.
+    """
     order = np.lexsort((-at_b, at_a))
     at_a, at_b = at_a[order], at_b[order]
-    if (np.diff(at_a) > 0).all() and (np.diff(at_b) > 0).all():
+    solid = np.ones(len(at_a), bool)
+    solid[1:] &= (at_a[1:] > at_a[:-1]) & (at_b[1:] > np.maximum.accumulate(at_b)[:-1])
+    solid[:-1] &= (at_a[1:] > at_a[:-1]) & (at_b[:-1] < np.minimum.accumulate(at_b[::-1])[::-1][1:])
+    rest = np.flatnonzero(~solid)
+    if not len(rest):
         return at_a, at_b
     ends: list[int] = []
     last: list[int] = []
     before = []
-    for i, b in enumerate(at_b.tolist()):
+    for i, b in enumerate(at_b[rest].tolist()):
         k = bisect_left(ends, b)
         before.append(last[k - 1] if k else -1)
-        ends[k : k + 1], last[k : k + 1] = [b], [i]
-    i, out = last[-1], []
+        if k < len(ends):
+            ends[k], last[k] = b, i
+        else:
+            ends.append(b)
+            last.append(i)
+    i = last[-1]
     while i >= 0:
-        out.append(i)
+        solid[rest[i]] = True
         i = before[i]
-    return at_a[out[::-1]], at_b[out[::-1]]
+    return at_a[solid], at_b[solid]
+
+
+def shared(a: np.ndarray, b: np.ndarray, shifts: np.ndarray) -> dict[int, np.ndarray]:
+    """Places of a, by alignment, that have the same shingle in b; alignments without any are left out."""
+    out = {}
+    for s in shifts.tolist():
+        low, high = max(0, -s), min(len(a), len(b) - s)
+        if high > low:
+            same = np.flatnonzero(a[low:high] == b[low + s : high + s])
+            if len(same):
+                out[s] = same + low
+    return out
 
 
 def alike(a: np.ndarray, b: np.ndarray, shifts: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """``forward`` of the places that two texts share on some alignments."""
+    return forward(list(shared(a, b, shifts).items()))
+
+
+def forward(places: list[tuple[int, np.ndarray]]) -> list[tuple[int, int, int, int]]:
     """Passages of any length from ``LENGTH`` shingles on, first and last shingle in a and in b.
 
     They begin and end with a shared shingle, and the shared ones of those on these
     alignments are at least ``SIMILARITY`` of all: n / (length in a + in b - n). With
     each first place goes the last one for which that holds.
     """
-    pairs = []
-    for s in shifts.tolist():
-        low, high = max(0, -s), min(len(a), len(b) - s)
-        if high > low:
-            same = np.flatnonzero(a[low:high] == b[low + s : high + s]) + low
-            pairs.append((same, same + s))
-    if not pairs or sum(len(x) for x, _ in pairs) < LENGTH * SIMILARITY:
+    if sum(len(same) for _, same in places) < LENGTH * SIMILARITY:
         return []
-    at_a, at_b = chain(*(np.concatenate(x) for x in zip(*pairs)))
+    at_a, at_b = chain(np.concatenate([same for _, same in places]), np.concatenate([same + s for s, same in places]))
     worth = (1 + SIMILARITY) / SIMILARITY * np.arange(len(at_a)) - at_a - at_b
     best = np.maximum.accumulate(worth[::-1])  # of the places from one on, the last first
     least = worth - (1 + SIMILARITY) / SIMILARITY + 2 - 1e-9
@@ -275,42 +298,49 @@ def matched_spans(a: np.ndarray, b: np.ndarray, found: list[tuple[int, int, int]
     """Passages of a and of b (first shingle, last shingle) of which enough shingles
     stand in the other text about where the alignment puts them, or that are alike in
     all, whatever their lengths."""
-    seen_a, seen_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+    seen = np.zeros(len(a), bool), np.zeros(len(b), bool)
     shifts = np.array(sorted({s for s, _, _ in found}))
-    whole = sorted(set((shifts[:, None] + np.arange(-1, 2)).ravel().tolist()))
-    for s in whole:
-        low, high = max(0, -s), min(len(a), len(b) - s)
-        if high > low:
-            same = np.flatnonzero(a[low:high] == b[low + s : high + s]) + low
-            seen_a[same] = True
-            seen_b[same + s] = True
     wide = np.unique(shifts[:, None] + np.arange(-SHIFT, SHIFT + 1))
+    places = shared(a, b, wide)
+    if not places:
+        return [], []
+    for s in set((shifts[:, None] + np.arange(-1, 2)).ravel().tolist()) & places.keys():
+        seen[0][places[s]] = True
+        seen[1][places[s] + s] = True
+    at = []
+    for side in seen:
+        total = np.concatenate(([0], np.cumsum(side)))
+        at.append(np.flatnonzero(total[LENGTH:] - total[:-LENGTH] >= MATCHED))
+    steps = [np.zeros(len(side) + 1, np.int64) for side in seen]
+    if len(at[0]) and len(at[1]):
+        for step, starts in zip(steps, at):
+            step[starts] += 1
+            step[starts + LENGTH] -= 1
+    out = [spans(seen[i], steps[i]) for i in (0, 1)]
+    # One span on each side that holds all shared places cannot grow.
+    reach = [(min(int(x[0]) + s * i for s, x in places.items()), max(int(x[-1]) + s * i for s, x in places.items())) for i in (0, 1)]
+    if all(len(out[i]) == 1 and out[i][0][0] <= reach[i][0] and reach[i][1] <= out[i][0][1] for i in (0, 1)):
+        return out[0], out[1]
     groups = np.split(wide, np.flatnonzero(np.diff(wide) > 1) + 1)
     passed = []
-    if not (seen_a.all() and seen_b.all()):  # else the windows cover both texts
-        passed = [x for g in [*groups, *([wide] if len(groups) > 1 else [])] for x in alike(a, b, g)]
-    out, at = [], []
-    for seen in (seen_a, seen_b):
-        total = np.concatenate(([0], np.cumsum(seen)))
-        at.append(np.flatnonzero(total[LENGTH:] - total[:-LENGTH] >= MATCHED))
-    both = len(at[0]) and len(at[1])
-    for side, seen in enumerate((seen_a, seen_b)):
-        cover = np.zeros(len(seen) + 1, np.int64)
-        if both:
-            np.add.at(cover, at[side], 1)
-            np.add.at(cover, at[side] + LENGTH, -1)
-        for x in passed:
-            seen[[x[2 * side], x[2 * side + 1]]] = True
-            cover[x[2 * side]] += 1
-            cover[x[2 * side + 1] + 1] -= 1
-        cover = np.cumsum(cover)[:-1] > 0
-        spans = []
-        for i, j in zip(*runs(cover)):
-            hit = np.flatnonzero(seen[i:j]) + i  # a span begins and ends with a shared shingle
-            if hit[-1] - hit[0] + 1 >= LENGTH:
-                spans.append((int(hit[0]), int(hit[-1])))
-        out.append(spans)
-    return out[0], out[1]
+    for group in [*groups, *([wide] if len(groups) > 1 else [])]:
+        passed += forward([(s, places[s]) for s in group.tolist() if s in places])
+    for x in passed:
+        for i in (0, 1):
+            seen[i][[x[2 * i], x[2 * i + 1]]] = True
+            steps[i][x[2 * i]] += 1
+            steps[i][x[2 * i + 1] + 1] -= 1
+    return spans(seen[0], steps[0]), spans(seen[1], steps[1])
+
+
+def spans(seen: np.ndarray, steps: np.ndarray) -> list[tuple[int, int]]:
+    """What the steps cover, from its first to its last shared shingle, if long enough."""
+    out = []
+    for i, j in zip(*runs(np.cumsum(steps)[:-1] > 0)):
+        hit = np.flatnonzero(seen[i:j]) + i
+        if hit[-1] - hit[0] + 1 >= LENGTH:
+            out.append((int(hit[0]), int(hit[-1])))
+    return out
 
 
 def verified(pairs: DataFrame, docs: DataFrame, kept: Kept) -> DataFrame:
@@ -328,19 +358,23 @@ def verified(pairs: DataFrame, docs: DataFrame, kept: Kept) -> DataFrame:
         for batch in batches:
             for piece in parts(batch, "text_a", "text_b"):
                 rows = []
-                wa, wb = Words(piece.column("text_a")), Words(piece.column("text_b"))
+                # The pairs of a document lie side by side, so its words are split once.
+                _, once, same = np.unique(piece.column("a").to_numpy(), return_index=True, return_inverse=True)
+                wa, wb = Words(piece.column("text_a").take(pa.array(once))), Words(piece.column("text_b"))
                 (ha, fa), (hb, fb) = wa.shingles(), wb.shingles()
+                text_a = same.tolist()
                 for k, (a, b, at_a, at_b) in enumerate(zip(*(piece.column(c).to_pylist() for c in ("a", "b", "at_a", "at_b")))):
                     found = candidates(np.array(at_a), np.array(at_b))
                     if not found:
                         continue
-                    spans = matched_spans(ha[fa[k] : fa[k + 1]], hb[fb[k] : fb[k + 1]], found)
-                    if not (spans[0] and spans[1]):
+                    i = text_a[k]
+                    own = matched_spans(ha[fa[i] : fa[i + 1]], hb[fb[k] : fb[k + 1]], found)
+                    if not (own[0] and own[1]):
                         continue
-                    for mine, words, role, own, other in ((spans[0], wa, "source", a, b), (spans[1], wb, "copy", b, a)):
-                        low = code_points(words, k, np.array([s for s, _ in mine]), False)
-                        high = code_points(words, k, np.array([e + SHINGLE - 1 for _, e in mine]), True)
-                        rows += [(own, role, int(s), int(e), other) for s, e in zip(low, high)]
+                    for mine, words, at, role, doc, other in ((own[0], wa, i, "source", a, b), (own[1], wb, k, "copy", b, a)):
+                        low = code_points(words, at, np.array([s for s, _ in mine]), False)
+                        high = code_points(words, at, np.array([e + SHINGLE - 1 for _, e in mine]), True)
+                        rows += [(doc, role, int(s), int(e), other) for s, e in zip(low, high)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), SPAN.types)], schema=SPAN)
 
