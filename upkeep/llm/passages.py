@@ -38,6 +38,8 @@ BANDS = 6
 ENOUGH = 1
 #: Shingles of a word-for-word key: one side of any place in a passage has as many.
 CONTEXT = LENGTH // 2 + 1
+#: Windows of a batch that are held and sorted at once, about (a text's are never divided).
+HELD = 1 << 20
 #: Places by which the alignment may shift within a passage.
 SHIFT = 8
 
@@ -149,39 +151,46 @@ def star(keys: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarr
 
 
 def all_windows(docs: DataFrame, bands: int) -> DataFrame:
-    """Windows of all documents and links found within a batch.
+    """Windows of all documents and links found within a part of a batch.
 
-    A batch links its own documents of equal keys to the first of them and passes that
+    A part links its own documents of equal keys to the first of them and passes that
     one on alone. So a passage in very many documents reaches a key's task once per
-    batch. Links have their own slot, spread evenly; windows have their key as slot
+    part. Links have their own slot, spread evenly; windows have their key as slot
     and no b.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            base = 0
+            doc_id = batch.column("doc_id").to_numpy()
+            found, base, held = [], 0, 0
             for piece in parts(batch):
                 shingles = Words(piece.column("text")).shingles()
                 for text, keys, place in (windows(*shingles, bands), contexts(*shingles)):
-                    found.append((text + base, keys, place))
+                    found.append((doc_id[text + base], keys, place))
+                    held += len(text)
                 base += piece.num_rows
-            if not found:
-                continue
-            text, keys, place = (np.concatenate(x) for x in zip(*found))
-            doc = batch.column("doc_id").to_numpy()[text]
-            order = np.lexsort((place, doc, keys))
-            keys, doc, place = keys[order], doc[order], place[order]
-            a, b, own = star(keys, doc, place)
-            none = pa.nulls(int(own.sum()), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(keys[own].view(np.int64)), pa.array(doc[own]), pa.array(place[own]), none, none], schema=SCHEMA)
-            if len(a):
-                slot = mix(doc[b].astype(np.uint64) + keys[b], 70).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (slot, doc[a], place[a], doc[b], place[b])], schema=SCHEMA)
+                if held >= HELD:
+                    yield from first_links(found)
+                    found, held = [], 0
+            if found:
+                yield from first_links(found)
 
     return docs.mapInArrow(run, "slot long, a long, at_a long, b long, at_b long")
 
 
+def first_links(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Windows of each key's first document among these (doc_id, key, place), then the links to them."""
+    doc, keys, place = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((place, doc, keys))
+    keys, doc, place = keys[order], doc[order], place[order]
+    a, b, own = star(keys, doc, place)
+    none = pa.nulls(int(own.sum()), pa.int64())
+    yield pa.RecordBatch.from_arrays([pa.array(keys[own].view(np.int64)), pa.array(doc[own]), pa.array(place[own]), none, none], schema=SCHEMA)
+    if len(a):
+        slot = mix(doc[b].astype(np.uint64) + keys[b], 70).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (slot, doc[a], place[a], doc[b], place[b])], schema=SCHEMA)
+
+
 def links(found: DataFrame) -> DataFrame:
     """Pairs of windows (a, at_a, b, at_b) of equal keys, each with the first of its key."""
 
