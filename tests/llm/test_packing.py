@@ -3,11 +3,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm.data import CLASHES, documents, odd_rows
-from upkeep.llm.packing import best_fit, exact_then_best_fit, lower_bound, pack, plan
+from upkeep.llm.packing import Sums, best_fit, exact_then_best_fit, lower_bound, pack, plan
 from upkeep.llm.tokens import tokenizer
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,14 +32,50 @@ def test_plan_uses_every_piece_once(counts):
 
 
 def test_exact_complements():
-    assert exact_then_best_fit({700: 2, 324: 2}, 1024, 3) == [((700, 324), 2)]
-    assert exact_then_best_fit({700: 3, 200: 3, 124: 3}, 1024, 3) == [((700, 200, 124), 3)]
-    assert exact_then_best_fit({600: 1, 300: 1, 100: 1, 24: 1}, 1024, 3) == [((600, 300, 100, 24), 1)]
-    assert exact_then_best_fit({512: 4}, 1024, 1) == [((512, 512), 2)]
+    assert exact_then_best_fit({700: 2, 324: 2}, 1024) == ([((700, 324), 2)], 0)
+    assert exact_then_best_fit({700: 3, 200: 3, 124: 3}, 1024) == ([((700, 200, 124), 3)], 3)
+    assert exact_then_best_fit({600: 1, 300: 1, 100: 1, 24: 1}, 1024) == ([((600, 300, 100, 24), 1)], 1)
+    assert exact_then_best_fit({700: 1, 200: 1, 124: 1}, 1024, 125)[1] == 0
+    assert exact_then_best_fit({512: 4}, 1024) == ([((512, 512), 2)], 0)
     assert plan({1024: 5}, 1024) == [((1024,), 5)]
     assert plan({}, 1024) == []
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.integers(1, 3), max_size=12), st.integers(2, 40), st.data())
+def test_sums_find_what_there_is(counts, total, data):
+    """Also after lengths were spent between the lookups."""
+    left = Counter(counts)
+    sums = Sums(left, 0, 0)
+    for _ in range(6):
+        pairs = [(a, b) for b in left for a in left if a + b == total and a >= b and not Counter((a, b)) - left]
+        triples = [(a, b, c) for c in left for b in left for a in [total - b - c] if a >= b >= c and not Counter((a, b, c)) - left]
+        pair, triple = sums.pair(total, 0), sums.triple(total)
+        assert pair == (max(pairs, key=lambda p: p[1]) if pairs else None)
+        assert (triple in triples and triple[2] == max(t[2] for t in triples)) if triples else triple is None
+        some = [n for n in left if left[n] > 0]
+        if some:
+            left[data.draw(st.sampled_from(some))] -= 1
+
+
+def test_plan_of_real_lengths_uses_pairs_and_triples():
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist()
+    counts = Counter()
+    for e in tokenizer(PATH).encode_batch([t or "" for t in texts], add_special_tokens=False):
+        counts[len(e.ids) % 1024 + 1] += 1
+        counts[1024] += len(e.ids) // 1024
+    for times in (1, 97):
+        many = Counter({n: c * times for n, c in counts.items()})
+        found = plan(many, 1024)
+        assert used(found, 1024) == many
+        needed, plain = sum(t for _, t in found), sum(t for _, t in best_fit(Counter(many), 1024))
+        assert needed <= plain and (times == 1 or needed < plain)
+        full = Counter()
+        for content, t in found:
+            full[len(content)] += t * (sum(content) == 1024)
+        assert full[3] > 0 and full[4] > 0
+
+
 def test_pack_odd_rows(spark):
     rows = odd_rows()
     got = pack(documents(spark, rows, CLASHES), PATH, 2, 1024).collect()

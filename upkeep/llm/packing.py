@@ -25,80 +25,109 @@ from upkeep.llm.words import parts
 Pattern = tuple[tuple[int, ...], int]
 
 
+#: Shortest members of pairs and of triples that are tried, in 32nds of the sequence length.
+PAIR_FLOORS = (0, 5, 6, 7, 8, 9, 10)
+TRIPLE_FLOORS = (0, 4, 5, 6, 7)
+
+
 class Sums:
-    """Single lengths, pairs and triples of available lengths by their sum."""
+    """Index from a sum to the single length, pair or triple of available lengths with it.
 
-    def __init__(self, counts: Counter):
-        self.counts = counts
-        self.lengths = sorted(counts)
+    Of each sum the pairs are looked up by how balanced they are, so short lengths are
+    spent last. Lengths only get fewer, so a pair or triple once spent stays so: the index
+    holds, per sum, the shorter length of the first pair (shortest length of the first
+    triple) that may still be there, and moves on from it, never back.
+    """
 
-    def _pair(self, total: int, left: Counter) -> tuple[int, int] | None:
-        """Two available lengths with this sum, the longer as long as can be."""
-        for a in reversed(self.lengths[: bisect_right(self.lengths, total - 1)]):
-            b = total - a
-            if b > a:
+    def __init__(self, left: Counter, pair_floor: int, triple_floor: int):
+        self.left = left
+        self.pair_floor = pair_floor
+        self.triple_floor = triple_floor
+        self.pairs: dict[int, int] = {}
+        self.triples: dict[int, int] = {}
+
+    def pair(self, total: int, floor: int) -> tuple[int, int] | None:
+        """The most balanced available pair with this sum, the longer length first."""
+        left = self.left
+        b = self.pairs.get(total, total // 2)
+        while b > 0 and (left[b] <= 0 or left[total - b] <= (2 * b == total)):
+            b -= 1
+        self.pairs[total] = b
+        return (total - b, b) if b > 0 and b >= floor else None
+
+    def triple(self, total: int) -> tuple[int, int, int] | None:
+        """An available triple with this sum whose shortest length is as long as can be.
+
+        Of the pairs beside ``c`` the most balanced one stands for all: one less balanced
+        would hold a length shorter than ``c`` whenever this one does.
+        """
+        left = self.left
+        least = max(1, self.triple_floor)
+        c = self.triples.get(total, total // 3)
+        found = None
+        while c >= least:
+            two = self.pair(total - c, c) if left[c] > 0 else None
+            if two and left[c] > (two[0] == c) + (two[1] == c):
+                found = (*two, c)
                 break
-            if left[a] > 0 and left[b] > (a == b):
-                return a, b
-        return None
+            c -= 1
+        self.triples[total] = c
+        return found
 
-    def exact(self, gap: int, left: Counter, most: int = 3) -> tuple[int, ...] | None:
-        """One to ``most`` available lengths that fill the gap exactly, the longest first."""
-        if left[gap] > 0:
+    def exact(self, gap: int) -> tuple[int, ...] | None:
+        """One, three or two available lengths that fill the gap exactly."""
+        if self.left[gap] > 0:
             return (gap,)
-        found = self._pair(gap, left) if most > 1 else None
-        if found or most < 3:
-            return found
-        for a in reversed(self.lengths[: bisect_right(self.lengths, gap - 2)]):
-            if 3 * a < gap:
-                break
-            if left[a] > 0:
-                left[a] -= 1
-                found = self._pair(gap - a, left)
-                left[a] += 1
-                if found and found[0] <= a:
-                    return (a, *found)
-        return None
+        return self.triple(gap) or self.pair(gap, self.pair_floor)
 
 
 def plan(counts: dict[int, int], size: int) -> list[Pattern]:
     """Patterns that use every piece exactly once; each fills ``size`` at most.
 
-    The best of three plans: gaps filled exactly by single lengths, by pairs too, by
-    triples too. Triples fill more gaps but use up the short lengths that would have
-    gone beside others.
+    Pairs and triples fill more gaps than single lengths but use up the short lengths
+    that fill what best fit leaves. How short their members may be is therefore tried
+    over a grid; of the plans with the fewest sequences the one that fills most of them
+    by pairs and triples is taken. Best fit alone is among them, as the last resort.
     """
-    plans = [exact_then_best_fit(counts, size, most) for most in (1, 2, 3)]
-    return min(plans, key=lambda p: sum(times for _, times in p))
+    if not any(counts.values()):
+        return []
+    floors = [(size * p // 32, size * t // 32) for p in PAIR_FLOORS for t in TRIPLE_FLOORS]
+    plans = [exact_then_best_fit(counts, size, *f) for f in [*floors, (size, size)]]
+    plans.append((best_fit(Counter(counts), size), 0))
+    return min(plans, key=lambda p: (sum(times for _, times in p[0]), -p[1]))[0]
+
 
+def exact_then_best_fit(counts: dict[int, int], size: int, pair_floor: int = 0, triple_floor: int = 0) -> tuple[list[Pattern], int]:
+    """Patterns, and how many sequences of them a pair or triple has filled.
 
-def exact_then_best_fit(counts: dict[int, int], size: int, most: int) -> list[Pattern]:
-    """From the longest length down, the gap beside it is filled exactly by up to
-    ``most`` shorter lengths, as often as all of them last. What finds no complement
-    is put, longest first, where it leaves the smallest gap.
+    From the longest length down, the gap beside it is filled exactly by one, three or
+    two lengths, as often as all of them last. What finds no complement is put, longest
+    first, where it leaves the smallest gap. Members of pairs and triples are no shorter
+    than the floors.
     """
     left = Counter({n: c for n, c in counts.items() if c > 0})
     patterns: list[Pattern] = []
-    sums = Sums(Counter(left))
+    sums = Sums(left, pair_floor, triple_floor)
     residue: Counter = Counter()
+    combined = 0
     for n in sorted(left, reverse=True):
         while left[n] > 0:
-            if n == size:
-                found: tuple[int, ...] | None = ()
-            else:
-                left[n] -= 1
-                found = sums.exact(size - n, left, most)
-                left[n] += 1
+            found: tuple[int, ...] | None = ()
+            left[n] -= 1
+            if n < size:
+                found = sums.exact(size - n)
             if found is None:
-                residue[n] += left[n]
+                residue[n] += left[n] + 1
                 left[n] = 0
                 break
+            left[n] += 1
             need = Counter((n, *found))
             times = min(left[k] // v for k, v in need.items())
             for k, v in need.items():
                 left[k] -= v * times
             patterns.append(((n, *found), times))
-    return patterns + best_fit(residue, size)
+            combined += times * (len(found) > 1)
+    return patterns + best_fit(residue, size), combined
 
 
 def best_fit(counts: Counter, size: int) -> list[Pattern]:
