@@ -225,10 +225,10 @@ def candidates(at_a: np.ndarray, at_b: np.ndarray) -> list[tuple[int, int, int]]
     cuts = np.flatnonzero(np.diff(shift) > SHIFT) + 1
     out = []
     for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(shift)]):
-        if len(np.unique(band[i:j])) >= ENOUGH:
-            for s in np.unique(shift[i:j]):
-                mine = shift[i:j] == s
-                out.append((int(s), int(low[i:j][mine].min()), int(high[i:j][mine].max())))
+        if ENOUGH == 1 and i < j or len(np.unique(band[i:j])) >= ENOUGH:
+            head = np.flatnonzero(np.concatenate(([True], shift[i + 1 : j] != shift[i : j - 1]))) + i
+            ends = np.minimum.reduceat(low[:j], head), np.maximum.reduceat(high[:j], head)
+            out += zip(shift[head].tolist(), ends[0].tolist(), ends[1].tolist())
     return out
 
 
@@ -276,20 +276,21 @@ def shared(a: np.ndarray, b: np.ndarray, shifts: np.ndarray) -> dict[int, np.nda
     return out
 
 
-def alike(a: np.ndarray, b: np.ndarray, shifts: np.ndarray) -> list[tuple[int, int, int, int]]:
+def alike(a: np.ndarray, b: np.ndarray, shifts: np.ndarray) -> np.ndarray:
     """``forward`` of the places that two texts share on some alignments."""
     return forward(list(shared(a, b, shifts).items()))
 
 
-def forward(places: list[tuple[int, np.ndarray]]) -> list[tuple[int, int, int, int]]:
-    """Passages of any length from ``LENGTH`` shingles on, first and last shingle in a and in b.
+def forward(places: list[tuple[int, np.ndarray]]) -> np.ndarray:
+    """Passages of any length from ``LENGTH`` shingles on: rows of first and last shingle
+    in a, first and last in b.
 
     They begin and end with a shared shingle, and the shared ones of those on these
     alignments are at least ``SIMILARITY`` of all: n / (length in a + in b - n). With
     each first place goes the last one for which that holds.
     """
     if sum(len(same) for _, same in places) < LENGTH * SIMILARITY:
-        return []
+        return np.zeros((0, 4), np.int64)
     at_a, at_b = chain(np.concatenate([same for _, same in places]), np.concatenate([same + s for s, same in places]))
     worth = (1 + SIMILARITY) / SIMILARITY * np.arange(len(at_a)) - at_a - at_b
     best = np.maximum.accumulate(worth[::-1])  # of the places from one on, the last first
@@ -300,7 +301,7 @@ def forward(places: list[tuple[int, np.ndarray]]) -> list[tuple[int, int, int, i
     first, end = first[good], end[good]
     long = np.minimum(at_a[end] - at_a[first], at_b[end] - at_b[first]) + 1 >= LENGTH
     first, end = first[long], end[long]
-    return list(zip(at_a[first].tolist(), at_a[end].tolist(), at_b[first].tolist(), at_b[end].tolist()))
+    return np.stack((at_a[first], at_a[end], at_b[first], at_b[end]), axis=1)
 
 
 def matched_spans(a: np.ndarray, b: np.ndarray, found: list[tuple[int, int, int]]) -> tuple[list, list]:
@@ -331,14 +332,12 @@ def matched_spans(a: np.ndarray, b: np.ndarray, found: list[tuple[int, int, int]
     if all(len(out[i]) == 1 and out[i][0][0] <= reach[i][0] and reach[i][1] <= out[i][0][1] for i in (0, 1)):
         return out[0], out[1]
     groups = np.split(wide, np.flatnonzero(np.diff(wide) > 1) + 1)
-    passed = []
-    for group in [*groups, *([wide] if len(groups) > 1 else [])]:
-        passed += forward([(s, places[s]) for s in group.tolist() if s in places])
-    for x in passed:
-        for i in (0, 1):
-            seen[i][[x[2 * i], x[2 * i + 1]]] = True
-            steps[i][x[2 * i]] += 1
-            steps[i][x[2 * i + 1] + 1] -= 1
+    groups += [wide] if len(groups) > 1 else []
+    passed = np.concatenate([forward([(s, places[s]) for s in group.tolist() if s in places]) for group in groups])
+    for i in (0, 1):
+        first, last = passed[:, 2 * i], passed[:, 2 * i + 1]
+        seen[i][first] = seen[i][last] = True
+        steps[i] += np.bincount(first, minlength=len(steps[i])) - np.bincount(last + 1, minlength=len(steps[i]))
     return spans(seen[0], steps[0]), spans(seen[1], steps[1])
 
 
