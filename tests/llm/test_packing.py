@@ -3,12 +3,14 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm.data import CLASHES, documents, odd_rows
-from upkeep.llm.packing import Sums, best_fit, exact_then_best_fit, lower_bound, pack, plan
+from upkeep.llm import tokens
+from upkeep.llm.packing import Sums, best_fit, exact_then_best_fit, lower_bound, pack, pieces_of, plan
 from upkeep.llm.tokens import tokenizer
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -119,3 +121,19 @@ def test_pack_over_several_parts(spark):
 
 def test_pack_no_rows(spark):
     assert pack(documents(spark, []), PATH).collect() == []
+
+
+def test_a_task_forgets_its_units(spark):
+    """Workers stay for later tasks, where units and tokenizers would count in the executor's memory."""
+
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    rows = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words and some more", None]})
+    found = pa.Table.from_batches(pieces_of(Docs(), PATH, 2, 1024)(iter([rows]))).to_pylist()
+    assert [(r["doc_id"], r["piece"], r["start"]) for r in found] == [(1, 0, 0), (2, 0, 0)] and found[1]["length"] == 1
+    assert not tokens._KNOWN and not tokens.tokenizer.cache_info().currsize

@@ -1,3 +1,4 @@
+import inspect
 import random
 import re
 
@@ -263,3 +264,41 @@ def test_cut(spark):
         (3, None, None, "cuts!"),
         (4, "stay", 4, "cuts!"),
     ]
+
+
+def test_links_are_sent_in_bounded_batches():
+    """An executor holds what a worker sends at once, so no batch has all links of a million windows."""
+    rng = np.random.default_rng(3)
+    n = 3 * P.SENT
+    doc, keys, place = rng.integers(0, 500, n), rng.integers(0, n // 4, n).astype(np.uint64), rng.permutation(n)
+    order = np.lexsort((place, doc, keys))
+    a, b, own = P.star(keys[order], doc[order], place[order])
+    found = [(doc[i : i + 10_000], keys[i : i + 10_000], place[i : i + 10_000]) for i in range(0, n, 10_000)]
+    sent = list(P.first_links(found))
+    assert not found and len(sent) > 2 and max(x.num_rows for x in sent) <= P.SENT
+    rows = [r for x in sent for r in zip(*(x.column(c).to_pylist() for c in ("a", "at_a", "b", "at_b")))]
+    doc, place = doc[order].tolist(), place[order].tolist()
+    assert [r for r in rows if r[2] is None] == [(doc[i], place[i], None, None) for i in np.flatnonzero(own)]
+    assert [r for r in rows if r[2] is not None] == [(doc[i], place[i], doc[j], place[j]) for i, j in zip(a.tolist(), b.tolist())]
+    slots = [s for x in sent if x.column("b").null_count for s in x.column("slot").to_pylist()]
+    assert slots == keys[order][own].view(np.int64).tolist()
+
+
+def test_a_task_gives_memory_back_at_its_end(monkeypatch):
+    from upkeep.llm import store
+
+    given = []
+    monkeypatch.setattr(store, "give_back", lambda: given.append(1))
+
+    def run(batches: list) -> list:
+        yield from batches
+
+    whole = store.returning(run)
+    assert list(whole([1, 2])) == [1, 2] and given == [1]
+    broken = whole([1, 2])
+    assert next(broken) == 1
+    broken.close()
+    assert given == [1, 1]
+    assert inspect.signature(whole) == inspect.signature(run)
+    monkeypatch.undo()
+    store.give_back()

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.llm.components import blocked, components
-from upkeep.llm.store import SMALL_BATCH, Kept, few
+from upkeep.llm.store import SMALL_BATCH, Kept, few, returning
 from upkeep.llm.words import Words, mix, parts, sequence_hash
 
 K = 80
@@ -136,7 +136,7 @@ def sign(docs: DataFrame) -> DataFrame:
                     ["doc_id", "one", "two", "signature"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, one long, two long, signature binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(returning(run), "doc_id long, one long, two long, signature binary")
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
@@ -170,7 +170,7 @@ def verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 yield frame.filter(pa.array(found >= least))
 
     joined = pairs.join(two.hint("merge"), "b").join(one.hint("merge"), "a")
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "text_a", "text_b").mapInArrow(returning(run), "a long, b long")
 
 
 def _across(words: Words, component: np.ndarray, block: np.ndarray, least: float) -> list[tuple[int, int]]:
@@ -256,7 +256,7 @@ def join_across(open_rows: DataFrame, least: float) -> DataFrame:
             yield done()
 
     dealt = rows.select(*group, "block", "component", "text").repartition(*group).sortWithinPartitions(*group)
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(returning(run), "a long, b long").distinct()
 
 
 def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:

@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from upkeep.llm.store import MOST_PARTITIONS, Kept
-from upkeep.llm.tokens import Encoder
+from upkeep.llm.store import MOST_PARTITIONS, SMALL_BATCH, Kept, returning
+from upkeep.llm.tokens import Encoder, forget
 from upkeep.llm.words import parts
 
 #: Lengths in one sequence, and how many sequences are filled that way.
@@ -205,8 +205,9 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFr
                     [part.column("doc_id").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())],
                     ["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+        forget()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(returning(run), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def assign(pieces: DataFrame, kept: Kept, size: int, per_part: int = 100_000) -> DataFrame:
@@ -270,7 +271,7 @@ def assign(pieces: DataFrame, kept: Kept, size: int, per_part: int = 100_000) ->
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     ordered = numbered.join(before, ["part", "length"]).repartition(parts_wanted, "part").sortWithinPartitions("part", "doc_id", "piece", "ids_crc32")
-    return ordered.mapInArrow(run, schema)
+    return ordered.mapInArrow(returning(run), schema)
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 1024) -> DataFrame:
@@ -281,5 +282,5 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 1024) ->
     documents of their own. An empty table gives no row. Other columns are not read.
     """
     kept = Kept(docs.sparkSession)
-    pieces = kept.keep(pieces_of(docs, tokenizer, end_id, size), "pieces")
+    pieces = kept.keep(pieces_of(docs, tokenizer, end_id, size), "pieces", SMALL_BATCH)
     return assign(pieces, kept, size)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.llm.spans import code_points, merged, runs
-from upkeep.llm.store import SMALL_BATCH, Kept, few
+from upkeep.llm.store import SMALL_BATCH, Kept, few, returning
 from upkeep.llm.tokens import ranges
 from upkeep.llm.words import _BASE, _UNBASE, SHINGLE, Words, mix, parts
 
@@ -40,6 +40,8 @@ ENOUGH = 1
 CONTEXT = LENGTH // 2 + 1
 #: Windows of a batch that are held and sorted at once, about (a text's are never divided).
 HELD = 1 << 20
+#: Rows handed back to Spark at once, at most: the executor holds each such batch whole.
+SENT = 1 << 16
 #: Places by which the alignment may shift within a passage.
 SHIFT = 8
 
@@ -160,9 +162,9 @@ def all_windows(docs: DataFrame, bands: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
         for batch in batches:
-            doc_id = batch.column("doc_id").to_numpy()
-            found, base, held = [], 0, 0
+            doc_id, base = batch.column("doc_id").to_numpy(), 0
             for piece in parts(batch):
                 shingles = Words(piece.column("text")).shingles()
                 for text, keys, place in (windows(*shingles, bands), contexts(*shingles)):
@@ -171,24 +173,38 @@ def all_windows(docs: DataFrame, bands: int) -> DataFrame:
                 base += piece.num_rows
                 if held >= HELD:
                     yield from first_links(found)
-                    found, held = [], 0
-            if found:
-                yield from first_links(found)
+                    held = 0
+        if found:
+            yield from first_links(found)
 
-    return docs.mapInArrow(run, "slot long, a long, at_a long, b long, at_b long")
+    return docs.mapInArrow(returning(run), "slot long, a long, at_a long, b long, at_b long")
 
 
 def first_links(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """Windows of each key's first document among these (doc_id, key, place), then the links to them."""
-    doc, keys, place = (np.concatenate(x) for x in zip(*found))
-    order = np.lexsort((place, doc, keys))
-    keys, doc, place = keys[order], doc[order], place[order]
+    """Windows of each key's first document among these (doc_id, key, place), then the links
+    to them. The list is emptied."""
+    columns = [np.concatenate(x) for x in zip(*found)]
+    found.clear()
+    order = np.lexsort((columns[2], columns[0], columns[1]))
+    for i in range(len(columns)):
+        columns[i] = columns[i][order]
+    doc, keys, place = columns
     a, b, own = star(keys, doc, place)
-    none = pa.nulls(int(own.sum()), pa.int64())
-    yield pa.RecordBatch.from_arrays([pa.array(keys[own].view(np.int64)), pa.array(doc[own]), pa.array(place[own]), none, none], schema=SCHEMA)
-    if len(a):
-        slot = mix(doc[b].astype(np.uint64) + keys[b], 70).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (slot, doc[a], place[a], doc[b], place[b])], schema=SCHEMA)
+    own = np.flatnonzero(own)
+    for at in pieces(len(own)):
+        rows = own[at]
+        none = pa.nulls(len(rows), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(keys[rows].view(np.int64)), pa.array(doc[rows]), pa.array(place[rows]), none, none], schema=SCHEMA)
+    for at in pieces(len(a)):
+        one, two = a[at], b[at]
+        slot = mix(doc[two].astype(np.uint64) + keys[two], 70).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (slot, doc[one], place[one], doc[two], place[two])], schema=SCHEMA)
+
+
+def pieces(rows: int) -> Iterator[slice]:
+    """Slices of ``SENT`` rows at most."""
+    for i in range(0, rows, SENT):
+        yield slice(i, min(rows, i + SENT))
 
 
 def links(found: DataFrame) -> DataFrame:
@@ -206,10 +222,12 @@ def links(found: DataFrame) -> DataFrame:
             a, b, own = star(slot, doc, place)
             last = np.flatnonzero(own & (slot == slot[-1]))
             held = [slot[last], doc[last], place[last]]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[a], place[a], doc[b], place[b])], ["a", "at_a", "b", "at_b"])
+            for at in pieces(len(a)):
+                one, two = a[at], b[at]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[one], place[one], doc[two], place[two])], ["a", "at_a", "b", "at_b"])
 
     ordered = found.repartition("slot").sortWithinPartitions("slot", "a", "at_a")
-    return ordered.mapInArrow(run, "a long, at_a long, b long, at_b long")
+    return ordered.mapInArrow(returning(run), "a long, at_a long, b long, at_b long")
 
 
 def candidates(at_a: np.ndarray, at_b: np.ndarray) -> list[tuple[int, int, int]]:
@@ -387,7 +405,7 @@ def verified(pairs: DataFrame, docs: DataFrame, kept: Kept) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), SPAN.types)], schema=SPAN)
 
     joined = pairs.join(two.hint("merge"), "b").join(one.hint("merge"), "a").select("a", "b", "at_a", "at_b", "text_a", "text_b")
-    return joined.mapInArrow(run, "doc_id long, role string, start long, end long, other long")
+    return joined.mapInArrow(returning(run), "doc_id long, role string, start long, end long, other long")
 
 
 SPAN = pa.schema([("doc_id", pa.int64()), ("role", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("other", pa.int64())])
@@ -409,7 +427,7 @@ def passages(docs: DataFrame, bands: int = BANDS) -> DataFrame:
     kept = Kept(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
     pairs = links(all_windows(docs, bands)).groupBy("a", "b").agg(F.collect_list("at_a").alias("at_a"), F.collect_list("at_b").alias("at_b"))
-    pairs = kept.keep(pairs, "pairs")
+    pairs = kept.keep(pairs, "pairs", SMALL_BATCH)
     kept.release()  # the windows' shuffle is larger than the texts
     spans = kept.keep(verified(pairs, docs, kept), "spans", SMALL_BATCH)
     kept.drop_all_but(spans)

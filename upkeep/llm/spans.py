@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from upkeep.llm.store import free_name
+from upkeep.llm.store import free_name, returning
 from upkeep.llm.words import Words, parts
 
 
@@ -85,4 +85,4 @@ def cut(docs: DataFrame, copies: DataFrame) -> DataFrame:
             columns.append(column)
         return pa.RecordBatch.from_arrays(columns, schema.names).filter(keep)
 
-    return marked.select(*schema.names, mark).mapInArrow(run, schema)
+    return marked.select(*schema.names, mark).mapInArrow(returning(run), schema)

@@ -56,6 +56,13 @@ def encode_units(path: str, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(found), np.uint32), places
 
 
+def forget() -> None:
+    """Give up what a task's encoders have remembered: units, and the tokenizers themselves."""
+    _KNOWN.clear()
+    for cached in (tokenizer, splits_letters, borders):
+        cached.cache_clear()
+
+
 @functools.lru_cache(maxsize=4)
 def splits_letters(path: str) -> tuple[bool, bool]:
     """Whether the tokenizer keeps letters apart from signs, and whether it lowers case."""
