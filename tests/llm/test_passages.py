@@ -1,6 +1,7 @@
 import inspect
 import random
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pytest
@@ -302,3 +303,74 @@ def test_a_task_gives_memory_back_at_its_end(monkeypatch):
     assert inspect.signature(whole) == inspect.signature(run)
     monkeypatch.undo()
     store.give_back()
+
+
+def longest_forward(at_a, at_b):
+    """Value by value: each is put after the last one that ends a sequence one shorter."""
+    ends, before = [], []
+    for i, b in enumerate(at_b):
+        k = next((k for k, e in enumerate(ends) if at_b[e] >= b), len(ends))
+        before.append(ends[k - 1] if k else -1)
+        ends[k : k + 1] = [i]
+    i, out = ends[-1], []
+    while i >= 0:
+        out.append((at_a[i], at_b[i]))
+        i = before[i]
+    return out[::-1]
+
+
+def test_chain_is_the_one_found_place_by_place():
+    rng = np.random.default_rng(3)
+    for n, span in ((1, 1), (6, 4), (40, 12), (200, 60), (200, 9)):
+        for _ in range(20):
+            places = np.unique(np.stack((rng.integers(0, span, n), rng.integers(0, span, n)), 1), axis=0)
+            at_a, at_b = P.together([tuple(x.T) for x in np.array_split(places, min(3, len(places)))])
+            assert sorted(zip(at_a, -at_b)) == list(zip(at_a, -at_b)) and len(at_a) == len(places)
+            assert list(zip(*P.chain(at_a, at_b))) == longest_forward(at_a.tolist(), at_b.tolist())
+
+
+def test_shared_places_are_all_of_them(monkeypatch):
+    rng = np.random.default_rng(4)
+    for compared in (1 << 20, 40, 1):
+        monkeypatch.setattr(P, "COMPARED", compared)
+        for n, m in ((1, 1), (30, 90), (90, 30), (70, 70)):
+            a, b = (mix(rng.integers(0, 9, k).astype(np.uint64)) for k in (n, m))
+            a[0] = b[-1] = 0  # what the ends are padded with
+            shifts = np.unique(np.concatenate([c + np.arange(-8, 9) for c in (-100, -60, 3, 6, 85)]))
+            got = P.shared(a, b, shifts)
+            want = {(i, i + s) for s in shifts.tolist() for i in range(n) if 0 <= i + s < m and a[i] == b[i + s]}
+            assert {x for group in got for x in zip(*(p.tolist() for p in group))} == want
+            assert sum(len(x) for x, _ in got) == len(want)
+
+
+def test_settled_texts_are_not_searched(monkeypatch):
+    """Words that repeat make places that cross; within a span that is found already,
+    and apart from all others, no sequence through them is looked for."""
+    searched = []
+    monkeypatch.setattr(P, "bisect_left", lambda ends, b: searched.append(b) or bisect_left(ends, b))
+    rng = np.random.default_rng(5)
+
+    def own(n):
+        return mix(rng.integers(0, 1 << 60, n).astype(np.uint64))
+
+    line, one, two = own(3), own(80), own(90)
+    block = np.concatenate((one, np.tile(line, 8), two))
+    a = np.concatenate((own(60), block, own(400), two))
+    b = np.concatenate((own(70), block, own(900), two))
+    at = 60 + len(block) + 400, 70 + len(block) + 900
+    found = [(10, 60, 70), (at[1] - at[0], at[0], at[0] + 1)]
+    spans = P.matched_spans(a, b, found)
+    assert not searched
+    assert spans == tuple([(x, x + len(block) - 1), (y, y + 89)] for x, y in ((60, at[0]), (70, at[1])))
+    # Two spans that a passage over both could join are still searched as one.
+    a, b = np.concatenate((one, two)), np.concatenate((one, own(20), two))
+    assert P.matched_spans(a, b, [(0, 0, 1), (20, 80, 81)]) == ([(0, 169)], [(0, 189)])
+
+
+def test_order_of_windows_is_by_key_document_and_place():
+    rng = np.random.default_rng(6)
+    for n, keys in ((0, 1), (1, 1), (500, 3), (500, 400), (500, 1 << 40)):
+        k, d, q = rng.integers(0, keys, n).astype(np.uint64), rng.integers(-5, 5, n), rng.integers(0, 4, n)
+        order = P.order_of(k, d, q)
+        assert sorted(order.tolist()) == list(range(n))
+        assert list(zip(k[order], d[order], q[order])) == sorted(zip(k, d, q))

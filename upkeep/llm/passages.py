@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,8 @@ HELD = 1 << 20
 SENT = 1 << 16
 #: Places by which the alignment may shift within a passage.
 SHIFT = 8
+#: Pairs of places compared at once, at most (of a place of a, all its alignments).
+COMPARED = 1 << 20
 
 # A place of a window in a long: first start (36 bits), starts (12), offset of the
 # smallest hash from the first start (6), band (3).
@@ -185,7 +188,7 @@ def first_links(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Itera
     to them. The list is emptied."""
     columns = [np.concatenate(x) for x in zip(*found)]
     found.clear()
-    order = np.lexsort((columns[2], columns[0], columns[1]))
+    order = order_of(columns[1], columns[0], columns[2])
     for i in range(len(columns)):
         columns[i] = columns[i][order]
     doc, keys, place = columns
@@ -201,6 +204,16 @@ def first_links(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Itera
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (slot, doc[one], place[one], doc[two], place[two])], schema=SCHEMA)
 
 
+def order_of(keys: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Order by key, document and place; most keys stand alone, only the others need more."""
+    order = np.argsort(keys)
+    same = keys[order[1:]] == keys[order[:-1]]
+    tied = np.flatnonzero(np.append(same, False) | np.append(False, same)) if len(keys) else order
+    rows = order[tied]
+    order[tied] = rows[np.lexsort((place[rows], doc[rows], keys[rows]))]
+    return order
+
+
 def pieces(rows: int) -> Iterator[slice]:
     """Slices of ``SENT`` rows at most."""
     for i in range(0, rows, SENT):
@@ -253,53 +266,87 @@ def candidates(at_a: np.ndarray, at_b: np.ndarray) -> list[tuple[int, int, int]]
 def chain(at_a: np.ndarray, at_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A longest sequence of shared places that goes forward in both texts.
 
-    A place that lies after all places before it, and before all after it, in both
+    The places come in ascending order in a, those of one place in a in descending order
+    in b. A place that lies after all places before it, and before all after it, in both
     texts belongs to every such sequence; only the others are looked through.
     """
-    order = np.lexsort((-at_b, at_a))
-    at_a, at_b = at_a[order], at_b[order]
     solid = np.ones(len(at_a), bool)
-    solid[1:] &= (at_a[1:] > at_a[:-1]) & (at_b[1:] > np.maximum.accumulate(at_b)[:-1])
-    solid[:-1] &= (at_a[1:] > at_a[:-1]) & (at_b[:-1] < np.minimum.accumulate(at_b[::-1])[::-1][1:])
+    new = at_a[1:] > at_a[:-1]
+    solid[1:] &= new & (at_b[1:] > np.maximum.accumulate(at_b)[:-1])
+    solid[:-1] &= new & (at_b[:-1] < np.minimum.accumulate(at_b[::-1])[::-1][1:])
     rest = np.flatnonzero(~solid)
     if not len(rest):
         return at_a, at_b
+    # How long a sequence gets up to each place, the last place first.
+    before = places_before(at_b[rest].tolist())[::-1]
+    # Before a place goes the nearest one that ends a sequence one shorter.
+    i, back = -1, []
+    for k in range(max(before), -1, -1):
+        i = before.index(k, i + 1)
+        back.append(i)
+    solid[rest[len(rest) - 1 - np.array(back)]] = True
+    return at_a[solid], at_b[solid]
+
+
+def places_before(values: list[int]) -> list[int]:
+    """How many values a longest ascending sequence has before each one that it ends with."""
     ends: list[int] = []
-    last: list[int] = []
-    before = []
-    for i, b in enumerate(at_b[rest].tolist()):
+    out = []
+    n = 0
+    for b in values:
         k = bisect_left(ends, b)
-        before.append(last[k - 1] if k else -1)
-        if k < len(ends):
-            ends[k], last[k] = b, i
+        if k < n:
+            ends[k] = b
         else:
             ends.append(b)
-            last.append(i)
-    i = last[-1]
-    while i >= 0:
-        solid[rest[i]] = True
-        i = before[i]
-    return at_a[solid], at_b[solid]
+            n += 1
+        out.append(k)
+    return out
 
 
-def shared(a: np.ndarray, b: np.ndarray, shifts: np.ndarray) -> dict[int, np.ndarray]:
-    """Places of a, by alignment, that have the same shingle in b; alignments without any are left out."""
-    out = {}
-    for s in shifts.tolist():
-        low, high = max(0, -s), min(len(a), len(b) - s)
-        if high > low:
-            same = np.flatnonzero(a[low:high] == b[low + s : high + s])
-            if len(same):
-                out[s] = same + low
+def shared(a: np.ndarray, b: np.ndarray, shifts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Places with the same shingle in a and in b, for each run of neighbouring alignments.
+
+    They come in the order that ``chain`` takes. Runs without any are left out.
+    """
+    out = []
+    heads = np.flatnonzero(np.concatenate(([True], np.diff(shifts) > 1)))
+    for least, width in zip(shifts[heads].tolist(), np.diff(np.append(heads, len(shifts))).tolist()):
+        low, high = max(0, 1 - width - least), min(len(a), len(b) - least)
+        if high <= low:
+            continue
+        # Row i holds b at i + alignment, the last alignment first.
+        none = np.zeros(width, b.dtype)
+        beside = sliding_window_view(np.concatenate((none, b, none)), width)[low + least + width : high + least + width, ::-1]
+        step = max(1, COMPARED // width)
+        hits = [np.flatnonzero(beside[k : k + step] == a[low + k : min(high, low + k + step), None]) + k * width for k in range(0, high - low, step)]
+        hit = np.concatenate(hits) if len(hits) > 1 else hits[0]
+        at_a = hit // width + low
+        at_b = at_a + least + width - 1 - hit % width
+        inside = (at_b >= 0) & (at_b < len(b))
+        if not inside.all():
+            at_a, at_b = at_a[inside], at_b[inside]
+        if len(at_a):
+            out.append((at_a, at_b))
     return out
 
 
+def together(places: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The places of several runs of alignments, in the order that ``chain`` takes."""
+    if len(places) == 1:
+        return places[0]
+    at_a, at_b = (np.concatenate(x) for x in zip(*places))
+    order = np.lexsort((-at_b, at_a))
+    return at_a[order], at_b[order]
+
+
 def alike(a: np.ndarray, b: np.ndarray, shifts: np.ndarray) -> np.ndarray:
     """``forward`` of the places that two texts share on some alignments."""
-    return forward(list(shared(a, b, shifts).items()))
+    places = shared(a, b, shifts)
+    return forward(*together(places)) if places else np.zeros((0, 4), np.int64)
 
 
-def forward(places: list[tuple[int, np.ndarray]]) -> np.ndarray:
+def forward(at_a: np.ndarray, at_b: np.ndarray) -> np.ndarray:
     """Passages of any length from ``LENGTH`` shingles on: rows of first and last shingle
     in a, first and last in b.
 
@@ -307,9 +354,9 @@ def forward(places: list[tuple[int, np.ndarray]]) -> np.ndarray:
     alignments are at least ``SIMILARITY`` of all: n / (length in a + in b - n). With
     each first place goes the last one for which that holds.
     """
-    if sum(len(same) for _, same in places) < LENGTH * SIMILARITY:
+    if len(at_a) < LENGTH * SIMILARITY:
         return np.zeros((0, 4), np.int64)
-    at_a, at_b = chain(np.concatenate([same for _, same in places]), np.concatenate([same + s for s, same in places]))
+    at_a, at_b = chain(at_a, at_b)
     worth = (1 + SIMILARITY) / SIMILARITY * np.arange(len(at_a)) - at_a - at_b
     best = np.maximum.accumulate(worth[::-1])  # of the places from one on, the last first
     least = worth - (1 + SIMILARITY) / SIMILARITY + 2 - 1e-9
@@ -332,9 +379,12 @@ def matched_spans(a: np.ndarray, b: np.ndarray, found: list[tuple[int, int, int]
     places = shared(a, b, wide)
     if not places:
         return [], []
-    for s in set((shifts[:, None] + np.arange(-1, 2)).ravel().tolist()) & places.keys():
-        seen[0][places[s]] = True
-        seen[1][places[s] + s] = True
+    close = np.zeros(wide[-1] - wide[0] + 1, bool)
+    close[(shifts[:, None] - wide[0] + np.arange(-1, 2)).ravel()] = True
+    for at_a, at_b in places:
+        hit = close[at_b - at_a - wide[0]]
+        seen[0][at_a[hit]] = True
+        seen[1][at_b[hit]] = True
     at = []
     for side in seen:
         total = np.concatenate(([0], np.cumsum(side)))
@@ -345,13 +395,14 @@ def matched_spans(a: np.ndarray, b: np.ndarray, found: list[tuple[int, int, int]
             step[starts] += 1
             step[starts + LENGTH] -= 1
     out = [spans(seen[i], steps[i]) for i in (0, 1)]
-    # One span on each side that holds all shared places cannot grow.
-    reach = [(min(int(x[0]) + s * i for s, x in places.items()), max(int(x[-1]) + s * i for s, x in places.items())) for i in (0, 1)]
-    if all(len(out[i]) == 1 and out[i][0][0] <= reach[i][0] and reach[i][1] <= out[i][0][1] for i in (0, 1)):
+    # What lies within one span on each side cannot make it grow.
+    groups = [group for group in places if not settled(*group, *out)]
+    if len(places) > 1:
+        whole = together(places)
+        groups += [] if settled(*whole, *out) else [whole]
+    if not groups:
         return out[0], out[1]
-    groups = np.split(wide, np.flatnonzero(np.diff(wide) > 1) + 1)
-    groups += [wide] if len(groups) > 1 else []
-    passed = np.concatenate([forward([(s, places[s]) for s in group.tolist() if s in places]) for group in groups])
+    passed = np.concatenate([forward(*group) for group in groups])
     for i in (0, 1):
         first, last = passed[:, 2 * i], passed[:, 2 * i + 1]
         seen[i][first] = seen[i][last] = True
@@ -359,9 +410,46 @@ def matched_spans(a: np.ndarray, b: np.ndarray, found: list[tuple[int, int, int]
     return spans(seen[0], steps[0]), spans(seen[1], steps[1])
 
 
+def settled(at_a: np.ndarray, at_b: np.ndarray, own_a: list[tuple[int, int]], own_b: list[tuple[int, int]]) -> bool:
+    """Whether each passage that ``forward`` could find among these places lies within a span on each side."""
+    sides = (at_a, own_a), (at_b, own_b)
+    if all(any(first <= x.min() and x.max() <= last for first, last in own) for x, own in sides):
+        return True
+    able = [stretches(x) for x, _ in sides]
+    return not all(len(first) for first, _ in able) or all(held(*x, own) for x, (_, own) in zip(able, sides))
+
+
+def stretches(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First places, and the last ones that go with them, of what could be one side of a passage.
+
+    Of such a stretch, ``LENGTH`` shingles at least, ``SIMILARITY`` are shared places:
+    n / (length in a + in b - n) is no more than n / length on either side.
+    """
+    low = int(places.min())
+    mark = np.zeros(int(places.max()) - low + 1, bool)
+    mark[places - low] = True
+    at = np.flatnonzero(mark) + low
+    worth = np.arange(len(at)) / SIMILARITY - at
+    best = np.maximum.accumulate(worth[::-1])
+    end = at[len(at) - 1 - np.searchsorted(best, worth - 1 / SIMILARITY + 1 - 1e-6)]
+    able = end - at + 1 >= LENGTH
+    return at[able], end[able]
+
+
+def held(first: np.ndarray, end: np.ndarray, own: list[tuple[int, int]]) -> bool:
+    """Whether each stretch lies within one of the spans, which ascend."""
+    if not own:
+        return False
+    firsts, lasts = np.array(own).T
+    k = np.searchsorted(firsts, first, "right") - 1
+    return bool(((k >= 0) & (end <= lasts[k])).all())
+
+
 def spans(seen: np.ndarray, steps: np.ndarray) -> list[tuple[int, int]]:
     """What the steps cover, from its first to its last shared shingle, if long enough."""
     out = []
+    if not steps.any():
+        return out
     for i, j in zip(*runs(np.cumsum(steps)[:-1] > 0)):
         hit = np.flatnonzero(seen[i:j]) + i
         if hit[-1] - hit[0] + 1 >= LENGTH:

@@ -53,11 +53,12 @@ def _mark(data: np.ndarray) -> np.ndarray:
     """Which bytes belong to words."""
     inside = _IS_WORD[data]
     if len(data) and data.max() >= 0x80:
-        follow = np.append(data[1:], 0)
-        two = np.flatnonzero((data == 0xC2) & ~np.isin(follow, (0xAA, 0xB5, 0xBA)) | (data == 0xC3) & np.isin(follow, (0x97, 0xB7)))
+        follow = np.append(data[1:], np.zeros(2, np.uint8))  # that of a lead byte at its place, the one after it at the next
+        lead = {x: np.flatnonzero(data == x) for x in (0xC2, 0xC3, 0xE2, 0xE3)}
+        two = np.concatenate((lead[0xC2][~np.isin(follow[lead[0xC2]], (0xAA, 0xB5, 0xBA))], lead[0xC3][np.isin(follow[lead[0xC3]], (0x97, 0xB7))]))
         inside[two] = inside[two + 1] = False
-        third = np.append(data[2:], (0, 0))[: len(data)]
-        three = np.flatnonzero((data == 0xE2) & ((follow == 0x80) | (follow == 0x81) & (third <= 0xAF)) | (data == 0xE3) & (follow == 0x80))
+        second, third = follow[lead[0xE2]], follow[lead[0xE2] + 1]
+        three = np.concatenate((lead[0xE2][(second == 0x80) | (second == 0x81) & (third <= 0xAF)], lead[0xE3][follow[lead[0xE3]] == 0x80]))
         for i in range(3):
             inside[three + i] = False
     return inside
